@@ -1,0 +1,52 @@
+"""Normalisation of names (the driver-side helpers and the Column expressions agree)."""
+
+import re
+import unicodedata
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from feedwell.functions.names import key_of, key_text, marker_key, marker_of, marker_text, prefix_key
+
+PAIRS = [
+    ("Prénom  X", "prenomx"), ("ß", ""), ("ø", ""), ("ﬁn", "fin"), ("²", "2"), ("№", "no"), ("½", "12"),
+    ("Ａ", "a"), (" a b", "ab"), ("—x", "x"), ("a\x1cb\x0bc", "abc"), (None, ""), ("", ""),
+    ("ÉCOLE", "ecole"), ("\x1c\x1d\x1e\x1f \t\n\x0b\x0c\r", ""), ("İI", "ii"), ("\x00a\x7f", "\x00a\x7f"),
+]
+
+
+def expected(text):
+    return re.sub(r"\s+", "", unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode().lower())
+
+
+@pytest.mark.parametrize("text,key", PAIRS)
+def test_key_pairs(text, key):
+    assert key_of(text) == key
+
+
+def test_columns_equal_the_helpers_on_all_code_points(spark):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # Newer Unicode versions than Python's may decompose code points it does not know.
+    texts = [f"X{c} y" for c in points if unicodedata.category(c) != "Cn"] + [t for t, _ in PAIRS]
+    df = spark.createDataFrame([(t, key_of(t), marker_of(t)) for t in texts], "t string, k string, m string")
+    found = df.repartition(8).select("t", "k", "m", key_text("t").alias("k2"), marker_text("t").alias("m2"))
+    assert found.filter("not (k <=> k2 and m <=> m2)").collect() == []
+
+
+def test_marker_text_removes_the_space_only():
+    assert marker_of("a b\tc\nd e") == "ab\tc\nde"
+
+
+@given(st.text())
+def test_key_is_ascii_idempotent_and_as_defined(text):
+    key = key_of(text)
+    assert key.isascii() and key_of(key) == key and key == expected(text)
+
+
+@pytest.mark.parametrize("text", ["", "  ", "ß", None])
+def test_empty_prefix_is_refused(text):
+    with pytest.raises(ValueError):
+        prefix_key(text)
+    with pytest.raises(ValueError):
+        marker_key(text)
