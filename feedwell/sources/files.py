@@ -53,7 +53,7 @@ def read_files(spark: SparkSession, chosen: DataFrame) -> DataFrame:
     in any case: this is what lets the scan skip the other files, where a join
     on the path would first read them all. The bytes stay on the executors.
     """
-    paths = [_escaped(row.path) for row in chosen.select("path").toLocalIterator()]
+    paths = [_escaped(row.path) for row in chosen.select("path").collect()]
     if not paths:
         return (
             spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")

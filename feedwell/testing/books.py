@@ -19,7 +19,7 @@ _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
 
 
 class Raw(str):
-    """A cell given as ready XML, for the cell kinds that Python values do not cover."""
+    """A cell, row or string given as ready XML, for what Python values do not cover."""
 
 
 def book_bytes(
@@ -59,7 +59,7 @@ def book_bytes(
         archive.writestr("xl/sharedStrings.xml", f'<sst xmlns="{_MAIN}">{shared}</sst>')
         archive.writestr("xl/styles.xml", f'<styleSheet xmlns="{_MAIN}">{styles}</styleSheet>')
         for i, rows in enumerate(sheets.values(), 1):
-            body = "".join(f"<row>{''.join(map(_cell, row))}</row>" for row in rows)
+            body = "".join(map(_row, rows))
             archive.writestr(
                 f"xl/worksheets/sheet{i}.xml",
                 f'<worksheet xmlns="{_MAIN}"><sheetData>{body}</sheetData></worksheet>',
@@ -92,6 +92,10 @@ def books_of(
     return df.mapInArrow(write, f"{by} {df.schema[by].dataType.simpleString()}, path string, content binary")
 
 
+def _row(row: Sequence) -> str:
+    return str(row) if isinstance(row, Raw) else f"<row>{''.join(map(_cell, row))}</row>"
+
+
 def _cell(value) -> str:
     if isinstance(value, Raw):
         return str(value)

@@ -1,0 +1,146 @@
+"""The whole job on directories of workbooks."""
+
+import os
+from datetime import datetime
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedwell import FeedSpec, Totals, ingest, ingest_file
+from feedwell.sinks import append_history, read_history, write_current
+from feedwell.testing.books import book_bytes
+
+HEAD = ["Column_A", "Column_B", "Flag (marker1)"]
+ONE = dict(
+    name_regex=r"^FILE_PREFIX_[^ ]+\.xlsx$", sheet_prefix="data", columns={"column_a": "column_a", "column_b": "column_b"},
+    key="column_a", flag_prefix="flag", flag_markers=("marker1", "marker2"),
+)
+SPEC = FeedSpec(**ONE)
+FEEDS = FeedSpec(**{**ONE, "name_regex": r"^[a-z]+_[^ ]+\.xlsx$", "feed": lambda name: F.substring_index(name, "_", 1)})
+
+
+def put(folder, name, when, rows, head=HEAD, sheet="Datà 1"):
+    path = folder / name
+    path.write_bytes(rows if isinstance(rows, bytes) else book_bytes({"Intro": [], sheet: [head, *rows]}))
+    os.utime(path, (1_700_000_000 + when,) * 2)
+
+
+class Job:
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.runs = spark, folder, 0
+        self.current, self.history, self.rejects = (f"{t}_{uuid4().hex}" for t in ("cur", "his", "rej"))
+
+    def run(self, spec=SPEC, rejects=False):
+        self.runs += 1
+        at = datetime(2024, 1, 1, 0, self.runs)
+        return ingest(
+            self.spark, str(self.folder), spec, self.current, self.history,
+            self.rejects if rejects else None, recorded_at=at,
+        )
+
+    def rows(self):
+        return sorted(tuple(r) for r in self.spark.table(self.current).drop("path", "feed").collect())
+
+    def log(self):
+        return [tuple(r)[:4] for r in self.spark.table(self.history).orderBy("recorded_at", "feed").collect()]
+
+
+@pytest.fixture()
+def job(spark, tmp_path):
+    return Job(spark, tmp_path)
+
+
+def test_newest_file_is_loaded_and_the_log_grows_on_change_only(job):
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["old", 1, "y"]])
+    put(job.folder, "FILE_PREFIX_2.xlsx", 1, [["k1", 7, "y"], [None, 8, "y"], ["k2", "007", None]])
+    put(job.folder, "other.xlsx", 2, b"never read")
+    assert job.run() == Totals(1, 0, 3, 2, 1)
+    assert job.rows() == [("k1", "7", "y", True), ("k2", "007", None, True)]
+    job.run()
+    first = ("", "FILE_PREFIX_2.xlsx", "2024-01-01 00:01", 1)
+    assert job.log() == [first]
+    put(job.folder, "FILE_PREFIX_2.xlsx", 3, [["k1", 7, "y"], ["k2", "007", "n"]])
+    job.run()
+    put(job.folder, "FILE_PREFIX_3.xlsx", 4, [["k3", 1, "y"], ["k4", 1, "y"]], head=["COLUMN_A", "Cölumn_B (x)", "flag - Marker 2"])
+    job.run()
+    assert job.log() == [
+        first, ("", "FILE_PREFIX_2.xlsx", "2024-01-01 00:03", 2), ("", "FILE_PREFIX_3.xlsx", "2024-01-01 00:04", 2),
+    ]
+    assert job.rows() == [("k3", "1", "y", True), ("k4", "1", "y", True)]
+
+
+def test_many_feeds_at_once(job):
+    put(job.folder, "north_1.xlsx", 0, [["a", 1, "y"]])
+    put(job.folder, "north_2.xlsx", 1, [["b", 1, "y"], ["c", 2, "y"]])
+    put(job.folder, "south_1.xlsx", 0, [["d", 1]], head=HEAD[:2])
+    assert job.run(FEEDS) == Totals(2, 0, 3, 3, 2)
+    assert job.rows() == [("b", "1", "y", True), ("c", "2", "y", True), ("d", "1", None, False)]
+    put(job.folder, "south_2.xlsx", 2, [])
+    assert job.run(FEEDS) == Totals(2, 0, 2, 2, 2)
+    assert job.log() == [
+        ("north", "north_2.xlsx", "2024-01-01 00:01", 2), ("south", "south_1.xlsx", "2024-01-01 00:01", 0),
+        ("south", "south_2.xlsx", "2024-01-01 00:02", 0),
+    ]
+
+
+def test_no_matching_file_touches_nothing(job):
+    put(job.folder, "other.xlsx", 0, b"x")
+    assert job.run() == job.run(FEEDS) == Totals()
+    assert not job.spark.catalog.tableExists(job.current) and not job.spark.catalog.tableExists(job.history)
+
+
+def test_a_bad_workbook_raises_before_any_table_changes(job):
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["a", 1, "y"]])
+    job.run()
+    put(job.folder, "FILE_PREFIX_2.xlsx", 1, [["a", 1]], head=["Column_A", "other"])
+    with pytest.raises(ValueError, match=r"FILE_PREFIX_2.xlsx: no header starts with 'column_b'"):
+        job.run()
+    put(job.folder, "FILE_PREFIX_2.xlsx", 1, [["a", 1]], sheet="none")
+    with pytest.raises(ValueError, match="sheets: Intro, none"):
+        job.run()
+    assert job.rows() == [("a", "1", "y", True)] and len(job.log()) == 1
+
+
+def test_rejects_are_listed_and_the_others_loaded(job):
+    put(job.folder, "north_1.xlsx", 0, [["a", 1, "y"]])
+    put(job.folder, "south_1.xlsx", 0, b"junk")
+    assert job.run(FEEDS, rejects=True) == Totals(1, 1, 1, 1, 1)
+    bad = job.spark.table(job.rejects).first()
+    assert (bad.feed, os.path.basename(bad.path)) == ("south", "south_1.xlsx") and "unreadable" in bad.reason
+    assert [r[0] for r in job.log()] == ["north"]
+
+
+def test_one_file_by_path(job):
+    put(job.folder, "any name.xlsx", 0, [["a", 1, "y"]])
+    done = ingest_file(job.spark, str(job.folder / "any name.xlsx"), SPEC, job.current, job.history)
+    assert done == Totals(1, 0, 1, 1, 1) and job.log()[0][1] == "any name.xlsx"
+    with pytest.raises(FileNotFoundError):
+        ingest_file(job.spark, str(job.folder / "none.xlsx"), SPEC, job.current, job.history)
+
+
+def test_staged_rows_are_dropped(job):
+    root = job.spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["a", 1, "y"]])
+    job.run()
+    put(job.folder, "FILE_PREFIX_2.xlsx", 1, b"junk")
+    with pytest.raises(ValueError):
+        job.run()
+    assert set(os.listdir(root)) == before
+
+
+def test_overwrite_replaces_the_schema_and_append_checks_it(spark):
+    table, log = f"cur_{uuid4().hex}", f"his_{uuid4().hex}"
+    write_current(spark.range(3).toDF("a"), table)
+    write_current(spark.range(2).selectExpr("id as b", "id as c"), table)
+    assert spark.table(table).columns == ["b", "c"] and spark.table(table).count() == 2
+    with pytest.raises(Exception):
+        write_current(spark.table(table), table)
+    assert read_history(spark, log).count() == 0
+    append_history(spark.range(3).toDF("a"), log)
+    append_history(spark.range(2).toDF("a"), log)
+    append_history(spark.table(log).limit(0), log)
+    assert read_history(spark, log).count() == 5
+    with pytest.raises(Exception):
+        append_history(spark.range(2).selectExpr("id as a", "id as c"), log)

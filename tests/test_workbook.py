@@ -1,5 +1,8 @@
 """Sheets, headers and cells of workbooks, one test per rule."""
 
+import io
+import zipfile
+
 import pytest
 
 from feedwell.plans import FeedSpec, feed_counts, rejects, sheet_rows
@@ -136,9 +139,25 @@ def test_1904_calendar(spark):
 
 
 def test_row_numbers_with_gaps(spark):
-    data = book_bytes({"S": [["h"]]}).replace(b"", b"")
+    data = book_bytes({"S": [["h"], Raw('<row r="4"><c r="B4"><v>1</v></c></row>'), ["z"], Raw('<row r="9"/>')]})
     books = pick_sheet(list_sheets(loaded(spark, x=data)), "s")
-    assert [(r.row_no, r.cells, r.error) for r in scan_rows(books, ["path"]).collect()] == [(0, ["h"], None)]
+    found = [(r.row_no, r.cells, r.error) for r in scan_rows(books, ["path"]).orderBy("row_no").collect()]
+    assert found == [(0, ["h"], None), (1, [], None), (2, [], None), (3, [None, "1"], None), (4, ["z"], None)]
+
+
+def test_a_prefixed_namespace(spark):
+    ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    data = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(book_bytes({"S": []}))) as old, zipfile.ZipFile(data, "w") as new:
+        for name in old.namelist():
+            body = old.read(name).decode()
+            if "sheet1" in name:
+                body = (
+                    f'<x:worksheet xmlns:x="{ns}"><x:sheetData><x:row><x:c t="inlineStr"><x:is><x:t>h</x:t></x:is></x:c>'
+                    "</x:row></x:sheetData></x:worksheet>"
+                )
+            new.writestr(name, body)
+    assert cells(spark, data.getvalue()) == [["h"]]
 
 
 def test_a_damaged_workbook_does_not_stop_the_others(spark):
