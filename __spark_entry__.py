@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import feedwell
 from feedwell.functions import basename, key_text, marker_text, minute_stamp, non_blank
 from feedwell.operators import (
     canonical_rows, change_gate, drop_blank_keys, flag_counts, history_record, keep_changes, latest_per,
@@ -18,6 +20,9 @@ from feedwell.sinks import append_history, read_history, shared_folder, write_cu
 from feedwell.sources import list_sheets, match_names, pick_sheet, scan_rows
 from feedwell.testing.books import books_of
 
+# The package's functions travel with the tasks, so that workers need no copy of it.
+cloudpickle.register_pickle_by_value(feedwell)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RECORD = ["filename", "processing_timestamp", "flagged_line_count"]
 

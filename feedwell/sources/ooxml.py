@@ -13,7 +13,6 @@ import re
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
-from functools import lru_cache
 from xml.etree import ElementTree as ET
 from xml.parsers import expat
 
@@ -22,7 +21,7 @@ from xml.parsers import expat
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 ELAPSED_FORMATS = {46}
 
-ERROR = object()
+ERROR = ("error",)
 """Stands for a cell that holds an error: present, but without a value."""
 
 
@@ -147,16 +146,16 @@ class Book:
         return links
 
 
-class _TextEvents:
-    """Collects the text of ``<t>`` (and ``<v>``) elements, without phonetic hints."""
+class _StringEvents:
+    """Shared strings, one per ``<si>``: its own text or its rich-text runs, no phonetic hints."""
 
     def __init__(self):
-        self.done: list = []
+        self.done: list[str] = []
         self._text: list[str] = []
         self._reading = self._hint = False
 
     def start(self, tag: str, attributes: dict) -> None:
-        if tag == "t" or tag == "v":
+        if tag == "t":
             self._reading = not self._hint
         elif tag == "rPh":
             self._hint = True
@@ -166,33 +165,22 @@ class _TextEvents:
             self._text.append(text)
 
     def end(self, tag: str) -> None:
-        if tag == "t" or tag == "v":
+        if tag == "t":
             self._reading = False
         elif tag == "rPh":
             self._hint = False
+        elif tag == "si":
+            self.done.append("".join(self._text))
+            self._text.clear()
 
-    def taken(self) -> str:
-        text = "".join(self._text)
-        self._text.clear()
-        return text
 
-
-class _StringEvents(_TextEvents):
-    """Shared strings, one per ``<si>``."""
-
-    def end(self, tag: str) -> None:
-        if tag == "si":
-            self.done.append(self.taken())
-        else:
-            super().end(tag)
-
-
-class _SheetEvents(_TextEvents):
+class _SheetEvents(_StringEvents):
     """Rows of a sheet as (row number from 0, cells)."""
 
     def __init__(self, value: Callable):
         super().__init__()
         self._value = value
+        self._columns = _Columns()
         self._number = -1
         self._cells: list = []
         self._cell: dict = {}
@@ -200,6 +188,8 @@ class _SheetEvents(_TextEvents):
     def start(self, tag: str, attributes: dict) -> None:
         if tag == "c":
             self._cell = attributes
+        elif tag == "v":
+            self._reading = True
         elif tag == "row":
             self._number = int(attributes["r"]) - 1 if "r" in attributes else self._number + 1
             self._cells = []
@@ -209,32 +199,45 @@ class _SheetEvents(_TextEvents):
     def end(self, tag: str) -> None:
         if tag == "c":
             self._end_cell()
+        elif tag == "v":
+            self._reading = False
         elif tag == "row":
             self.done.append((self._number, self._cells))
         else:
             super().end(tag)
 
     def _end_cell(self) -> None:
-        cells, cell = self._cells, self._cell
-        at = _column(cell["r"].rstrip("0123456789")) if "r" in cell else len(cells)
+        cells, cell, text = self._cells, self._cell, self._text
+        at = self._columns[cell["r"].rstrip("0123456789")] if "r" in cell else len(cells)
         value = None
-        if self._text:
+        if text:
+            raw = text[0] if len(text) == 1 else "".join(text)
+            text.clear()
             try:
-                value = self._value(cell.get("t", "n"), cell.get("s", "0"), self.taken())
+                value = self._value(cell.get("t", "n"), cell.get("s", "0"), raw)
             except (ValueError, OverflowError, IndexError):
                 value = ERROR
         if at >= len(cells):
-            cells.extend([None] * (at + 1 - len(cells)))
-        cells[at] = value
+            cells.extend([None] * (at - len(cells)))
+            cells.append(value)
+        else:
+            cells[at] = value
 
 
-def _parse(stream, events: _TextEvents) -> Iterator:
+def _parse(stream, events: _StringEvents) -> Iterator:
     """What ``events`` completes, chunk by chunk of the XML in ``stream``."""
-    parser = expat.ParserCreate(namespace_separator="}")
+    parser = expat.ParserCreate()
     parser.buffer_text = True
-    local = _Local()
-    parser.StartElementHandler = lambda tag, attributes: events.start(local[tag], attributes)
-    parser.EndElementHandler = lambda tag: events.end(local[tag])
+
+    def root(tag: str, attributes: dict) -> None:
+        prefix = len(tag.rpartition(":")[0])
+        if prefix:  # all names carry the prefix of the root
+            parser.StartElementHandler = lambda t, a: events.start(t[prefix + 1:], a)
+            parser.EndElementHandler = lambda t: events.end(t[prefix + 1:])
+        else:
+            parser.StartElementHandler, parser.EndElementHandler = events.start, events.end
+
+    parser.StartElementHandler = root
     parser.CharacterDataHandler = events.data
     while chunk := stream.read(65_536):
         parser.Parse(chunk)
@@ -244,12 +247,15 @@ def _parse(stream, events: _TextEvents) -> Iterator:
     yield from events.done
 
 
-class _Local(dict):
-    """Local name of a qualified one, remembered."""
+class _Columns(dict):
+    """Position from 0 of a column's letters, remembered: A is 0, Z is 25, AA is 26."""
 
-    def __missing__(self, tag: str) -> str:
-        self[tag] = tag.rpartition("}")[2]
-        return self[tag]
+    def __missing__(self, letters: str) -> int:
+        number = 0
+        for letter in letters:
+            number = number * 26 + int(letter, 36) - 9
+        self[letters] = number - 1
+        return number - 1
 
 
 def _local(node: ET.Element) -> str:
@@ -263,15 +269,6 @@ def _children(node: ET.Element, *path: str) -> list[ET.Element]:
     return found
 
 
-@lru_cache(maxsize=None)
-def _column(letters: str) -> int:
-    """Position from 0: A is 0, Z is 25, AA is 26."""
-    number = 0
-    for letter in letters:
-        number = number * 26 + int(letter, 36) - 9
-    return number - 1
-
-
 def _format_kind(code: str) -> tuple[bool, bool]:
     """(shows a date or time, shows an elapsed time) of a custom number format."""
     positive = code.split(";")[0]

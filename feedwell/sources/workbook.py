@@ -105,6 +105,9 @@ def scan_rows(
     width = len(carry)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return joined(scan_each(batches), ROWS_PER_BATCH)
+
+    def scan_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 kept = batch.slice(i, 1).columns[:width]
@@ -138,10 +141,24 @@ def _read_one(content: bytes | None, number: int | None, positions: list | None)
                 chunks = []
             if positions is not None:
                 cells = [cells[p] if p is not None and p < len(cells) else None for p in positions]
-            rows.append((row_no, [None if c is ERROR else c for c in cells]))
+            rows.append((row_no, [None if c == ERROR else c for c in cells]))
             if len(rows) == ROWS_PER_BATCH:
                 chunks.append((rows, None))
                 rows = []
     except Exception as problem:  # any damage makes this one workbook a reject
         return [([(0, None)], _message(problem))]
     return [*chunks, (rows, None)] if rows else chunks
+
+
+def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Small batches joined until they have ``size`` rows: a batch costs the same however small."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= size:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if held:
+        yield pa.concat_batches(held)

@@ -13,6 +13,8 @@ from xml.sax.saxutils import escape, quoteattr
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from feedwell.sources.workbook import joined
+
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
@@ -78,6 +80,9 @@ def books_of(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return joined(write_each(batches), 100)
+
+    def write_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups: dict = {}
             for row in batch.to_pylist():
