@@ -17,7 +17,7 @@ from feedwell.operators import (
 )
 from feedwell.plans import FeedSpec, feed_counts, rejects, sheet_rows
 from feedwell.sinks import append_history, read_history, shared_folder, write_current
-from feedwell.sources import list_sheets, match_names, pick_sheet, scan_rows
+from feedwell.sources import list_headers, list_sheets, match_names, pick_sheet, scan_rows
 from feedwell.testing.books import books_of
 
 # The package's functions travel with the tasks, so that workers need no copy of it.
@@ -257,7 +257,7 @@ def _page_books(spark, d):
         (row,) = rows
         return {f"Ｍain {row['host']}": [[row["name"]]], f" {row['lang']} ": [["Ｎame", row["name"]], ["x", 1]], "End": []}
 
-    return books_of(pages, sheets, by="page_id")
+    return books_of(pages, sheets, by="page_id", each_row=True)
 
 
 def _workbook_sheets(spark, d):
@@ -268,6 +268,13 @@ def _workbook_sheets(spark, d):
     )
 
 
+def _workbook_headers(spark, d):
+    """The chosen sheets' headers as a table, and the first header per target."""
+    books = pick_sheet(list_sheets(_page_books(spark, d)), "Ë")
+    targets = {"name": "NÀME", "four": "4", "five": "5"}
+    return resolve_headers(list_headers(books, ["page_id"]), targets, ["page_id"])
+
+
 def _document_rows(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text", "source", "lang")
     return docs.join(_table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left")
@@ -358,6 +365,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_table": _current_table,
     "history_table": _history_table,
     "workbook_sheets": _workbook_sheets,
+    "workbook_headers": _workbook_headers,
     "workbook_rows": _workbook_rows,
     "workbook_load": _workbook_load,
     "workbook_counts": _workbook_counts,
@@ -523,6 +531,13 @@ def oracle_sql() -> dict[str, str]:
                 case when lang like 'e%' then ' ' || lang || ' ' else 'End' end as sheet,
                 case when lang not like 'e%' then '' when name = '' then 'Ｎame' else 'Ｎame|' || name end as headers
             from ({_PAGES})""",
+        "workbook_headers": f"""
+            select page_id, target, cast(ordinal as integer) as ordinal, header from (
+                select page_id, 'name' as target, 0 as ordinal, 'Ｎame' as header from ({_PAGES}) where lang like 'e%'
+                union all
+                select page_id, 'four', 1, name from ({_PAGES}) where lang like 'e%' and name like '4%'
+                union all
+                select page_id, 'five', 1, name from ({_PAGES}) where lang like 'e%' and name like '5%')""",
         "workbook_rows": """
             select source, cast(doc_id as varchar) as column_a, md5(text) as text_md5,
                 cast(toxic as varchar) as flag

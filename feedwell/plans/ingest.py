@@ -12,10 +12,10 @@ from feedwell.operators.history import change_gate, history_record
 from feedwell.plans.load import feed_counts, kept_rows, rejects, sheet_rows
 from feedwell.plans.spec import FeedSpec
 from feedwell.sinks.folder import staged
-from feedwell.sinks.tables import append_history, read_history, write_current
+from feedwell.sinks.tables import append_history, read_history, with_feed_and_time, write_current
 from feedwell.sources.files import latest_files, list_files, read_file, read_files
 
-HISTORY_ORDER = ("processing_timestamp", "recorded_at")
+HISTORY_ORDER = ("recorded_at", "processing_timestamp")
 _SHOWN = 20
 
 
@@ -69,6 +69,9 @@ def ingest_loaded(
     on shared storage, and the tables, counts and history come from the copy.
     """
     spark = loaded.sparkSession
+    history = read_history(spark, history_table)
+    if spec.feed is not None and "feed" not in history.columns:
+        raise ValueError(f"{history_table} has no feed column, so it can hold one unnamed feed only")
     rows = sheet_rows(loaded.withColumn("feed", spec.feed_of()), spec)
     with staged(rows) as rows:
         bad = rejects(rows)
@@ -83,8 +86,8 @@ def ingest_loaded(
         counts = feed_counts(rows, spec)
         stamp = F.current_timestamp() if recorded_at is None else F.lit(recorded_at).cast("timestamp")
         new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
-        history = read_history(spark, history_table)
-        append_history(change_gate(new, history, ["feed"], HISTORY_ORDER), history_table)
+        changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
+        append_history(changed.select(*history.columns), history_table)
 
         sums = counts.agg(
             F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]

@@ -1,4 +1,6 @@
 from feedwell.sinks.folder import shared_folder, staged
-from feedwell.sinks.tables import append_history, read_history, write_current
+from feedwell.sinks.tables import append_history, read_history, with_feed_and_time, write_current
 
-__all__ = ["append_history", "read_history", "shared_folder", "staged", "write_current"]
+__all__ = [
+    "append_history", "read_history", "shared_folder", "staged", "with_feed_and_time", "write_current",
+]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 HISTORY_SCHEMA = (
     "feed string, filename string, processing_timestamp string, flagged_line_count bigint, "
@@ -31,3 +32,15 @@ def read_history(spark: SparkSession, table: str, schema: str = HISTORY_SCHEMA)
     if spark.catalog.tableExists(table):
         return spark.table(table)
     return spark.createDataFrame([], schema)
+
+
+def with_feed_and_time(history: DataFrame) -> DataFrame:
+    """History with ``feed`` and ``recorded_at``, which a three-column log of one feed lacks.
+
+    Such a log is one unnamed feed, and its order is known to the minute.
+    """
+    added = {
+        "feed": F.lit(""),
+        "recorded_at": F.to_timestamp("processing_timestamp", "yyyy-MM-dd HH:mm"),
+    }
+    return history.withColumns({n: c for n, c in added.items() if n not in history.columns})

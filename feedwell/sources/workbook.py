@@ -79,6 +79,11 @@ def pick_sheet(books: DataFrame, prefix: str) -> DataFrame:
     )
 
 
+def list_headers(books: DataFrame, carry: Sequence[str], headers: str = "headers") -> DataFrame:
+    """The header lists as a header table: (carry, ordinal, header)."""
+    return books.select(*carry, F.posexplode(headers).alias("ordinal", "header"))
+
+
 def scan_rows(
     books: DataFrame, carry: Sequence[str], sheet_no: str = "sheet_no", wanted: str | None = None,
     content: str = "content",
@@ -112,42 +117,43 @@ def scan_rows(
             for i in range(batch.num_rows):
                 kept = batch.slice(i, 1).columns[:width]
                 content, number, positions = (c[i].as_py() for c in batch.columns[width:])
-                for rows, error in _read_one(content, number, positions):
-                    size = len(rows)
-                    columns = [c.take(pa.array([0] * size, pa.int32())) for c in kept]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *columns,
-                            pa.array([r[0] for r in rows], pa.int64()),
-                            pa.array([r[1] for r in rows], pa.list_(pa.string())),
-                            pa.array([error] * size, pa.string()),
-                        ],
-                        names=schema.names,
-                    )
+                for chunk in _read_one(content, number, positions):
+                    repeat = pa.array([0] * len(chunk[0]), pa.int32())
+                    yield pa.RecordBatch.from_arrays([*(c.take(repeat) for c in kept), *chunk], names=schema.names)
 
     return inputs.mapInArrow(scan, schema)
 
 
 def _read_one(content: bytes | None, number: int | None, positions: list | None) -> list:
-    """Chunks of (rows, error) of one workbook, complete or replaced by one error row."""
+    """Chunks of one workbook as (row_no, cells, error) arrays, complete or replaced by one error row."""
     if number is None:
-        return [([(0, None)], None)]
-    chunks: list = [([(0, [None] * len(positions) if positions else [])], None)]
+        return [_chunk([0], [None])]
+    chunks: list = []
+    numbers: list = []
+    values: list = []
     try:
         book = Book(content)
-        rows: list = []
         for row_no, cells in book.rows(book.sheets[number][1]):
-            if row_no == 0:
-                chunks = []
             if positions is not None:
                 cells = [cells[p] if p is not None and p < len(cells) else None for p in positions]
-            rows.append((row_no, [None if c == ERROR else c for c in cells]))
-            if len(rows) == ROWS_PER_BATCH:
-                chunks.append((rows, None))
-                rows = []
+            numbers.append(row_no)
+            values.append([None if c == ERROR else c for c in cells])
+            if len(numbers) == ROWS_PER_BATCH:
+                chunks.append(_chunk(numbers, values))
+                numbers, values = [], []
     except Exception as problem:  # any damage makes this one workbook a reject
-        return [([(0, None)], _message(problem))]
-    return [*chunks, (rows, None)] if rows else chunks
+        return [_chunk([0], [None], _message(problem))]
+    if not chunks and not numbers:  # an empty sheet
+        return [_chunk([0], [[None] * len(positions or [])])]
+    return [*chunks, _chunk(numbers, values)]
+
+
+def _chunk(numbers: list, values: list, error: str | None = None) -> tuple[pa.Array, pa.Array, pa.Array]:
+    return (
+        pa.array(numbers, pa.int64()),
+        pa.array(values, pa.list_(pa.string())),
+        pa.array([error] * len(numbers), pa.string()),
+    )
 
 
 def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:

@@ -71,12 +71,14 @@ def book_bytes(
 
 def books_of(
     df: DataFrame, sheets: Callable[[list[dict]], Mapping[str, Sequence[Sequence]]], by: str,
+    each_row: bool = False,
 ) -> DataFrame:
     """Workbooks (``by``, path, content) holding the rows of ``df``.
 
     Each Arrow batch of each task is split by ``by`` and every part becomes one
     workbook, so there is no shuffle and no workbook larger than a batch; a
-    large group is spread over many workbooks.
+    large group is spread over many workbooks. With ``each_row`` every row
+    becomes a workbook of its own.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,9 +87,9 @@ def books_of(
     def write_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups: dict = {}
-            for row in batch.to_pylist():
-                groups.setdefault(row[by], []).append(row)
-            for key, rows in groups.items():
+            for i, row in enumerate(batch.to_pylist()):
+                groups.setdefault((row[by], i if each_row else 0), []).append(row)
+            for (key, _), rows in groups.items():
                 yield pa.RecordBatch.from_pydict({
                     by: pa.array([key], batch.schema.field(by).type),
                     "path": [f"/books/{key}.xlsx"],

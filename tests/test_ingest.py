@@ -130,6 +130,24 @@ def test_staged_rows_are_dropped(job):
     assert set(os.listdir(root)) == before
 
 
+def test_a_three_column_log_is_continued(job):
+    old = [("FILE_PREFIX_1.xlsx", "2023-12-31 10:00", 1), ("FILE_PREFIX_0.xlsx", "2023-12-30 10:00", 5)]
+    append_history(
+        job.spark.createDataFrame(old, "filename string, processing_timestamp string, flagged_line_count long"), job.history
+    )
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["a", 1, "y"]])
+    job.run()
+    assert job.spark.table(job.history).count() == 2
+    put(job.folder, "FILE_PREFIX_1.xlsx", 1, [["a", 1, "y"], ["b", 1, "y"]])
+    job.run()
+    job.run()
+    found = [tuple(r) for r in job.spark.table(job.history).orderBy("processing_timestamp").collect()]
+    assert found == [*reversed(old), ("FILE_PREFIX_1.xlsx", "2024-01-01 00:02", 2)]
+    put(job.folder, "north_1.xlsx", 2, [["a", 1, "y"]])
+    with pytest.raises(ValueError, match="no feed column"):
+        job.run(FEEDS)
+
+
 def test_overwrite_replaces_the_schema_and_append_checks_it(spark):
     table, log = f"cur_{uuid4().hex}", f"his_{uuid4().hex}"
     write_current(spark.range(3).toDF("a"), table)

@@ -1,0 +1,53 @@
+"""Shape of the physical plans of the registered queries."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_points
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = entry_points.queries()
+# One row per task meets in one place only where the answer is one row.
+GLOBAL = {"load_stats", "flag_total"}
+NO_SHUFFLE = {
+    "normalise_key", "normalise_substring", "path_filter", "basename", "minute_stamp", "nonblank_rows",
+    "canonical_select", "optional_flag", "current_table", "workbook_sheets", "workbook_rows", "workbook_load",
+    "workbook_rejects",
+}
+
+
+def plan_of(spark, name):
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_shape(spark, name):
+    plan = plan_of(spark, name)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan
+    if name not in GLOBAL:
+        assert "SinglePartition" not in plan
+    if name in NO_SHUFFLE:
+        assert not re.search(r"(?<!Broadcast)Exchange (hash|range|Round|Single)", plan)
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("flag_summary", {"doc_id", "text", "source", "toxic"}), ("canonical_select", {"doc_id", "source"}),
+    ("history_record", {"ts", "event_type", "value"}), ("load_stats", {"o_orderstatus", "o_orderpriority"}),
+    ("missing_columns", {"p_name", "p_brand"}), ("basename", {"page_id", "url"}),
+])
+def test_only_needed_columns_are_read(spark, name, columns):
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", QUERIES[name](spark, SF_DIR)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+    assert {c.split(":")[0] for schema in read for c in schema.split(",")} == columns
+
+
+def test_text_is_dropped_before_the_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(spark, "flag_summary")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin"):plan.index("FileScan")]
+    assert "text" not in join.split("Filter")[0]
