@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark import cloudpickle
@@ -15,7 +17,7 @@ from feedwell.operators import (
     canonical_rows, change_gate, drop_blank_keys, flag_counts, history_record, keep_changes, latest_per,
     latest_record, load_stats, missing_columns, resolve_flag, resolve_headers, resolve_headers_all,
 )
-from feedwell.plans import FeedSpec, feed_counts, rejects, sheet_rows
+from feedwell.plans import FeedSpec, feed_counts, ingest_loaded, rejects, sheet_rows
 from feedwell.sinks import append_history, read_history, shared_folder, write_current
 from feedwell.sources import list_headers, list_sheets, match_names, pick_sheet, scan_rows
 from feedwell.testing.books import books_of
@@ -300,28 +302,32 @@ def _load_spec():
     )
 
 
-def _load_books(spark, d):
+def _load_books(docs, by):
     """Workbooks with drifting headers; the key is spaces in German rows, missing in Spanish ones."""
     blank = {"de": "  ", "es": None}
-    drift = {"src1": "  DOC_ID (new)", "src2": "Döc_id"}
+    drift = {"src1": "  DOC_ID (new)", "src2": "Döc_id", "src3_en": "ｄｏｃ_id"}
 
     def sheets(rows):
-        header = ["n", "Läng", drift.get(rows[0]["source"], "Doc_ID"), "Flag - Tóxic"]
+        header = ["n", "Läng", drift.get(rows[0][by], "Doc_ID"), "Flag - Tóxic"]
         body = [[i, r["lang"], blank.get(r["lang"], r["doc_id"]), r["toxic"]] for i, r in enumerate(rows)]
         return {"Intro": [["nothing"]], "DONNEES 2024": [header, *body]}
 
-    docs = _document_rows(spark, d).select("doc_id", "source", "lang", "toxic")
-    return books_of(docs, sheets, by="source").withColumnRenamed("source", "feed")
+    return books_of(docs, sheets, by)
+
+
+def _source_books(spark, d):
+    docs = _document_rows(spark, d).select("doc_id", F.col("source").alias("feed"), "lang", "toxic")
+    return _load_books(docs, "feed")
 
 
 def _workbook_load(spark, d):
-    rows = sheet_rows(_load_books(spark, d), _load_spec())
+    rows = sheet_rows(_source_books(spark, d), _load_spec())
     data = rows.filter((F.col("row_no") > 0) & non_blank("column_a"))
     return data.select("feed", "column_a", "column_b", "flag", "has_flag")
 
 
 def _workbook_counts(spark, d):
-    counts = feed_counts(sheet_rows(_load_books(spark, d), _load_spec()), _load_spec())
+    counts = feed_counts(sheet_rows(_source_books(spark, d), _load_spec()), _load_spec())
     return counts.groupBy("feed").agg(
         *[F.sum(c).alias(c) for c in ("rows_read", "rows_kept", "flagged")]
     )
@@ -336,6 +342,34 @@ def _workbook_rejects(spark, d):
     return rejects(sheet_rows(books, spec)).select("feed", "reason")
 
 
+def _jobs(spark, d, flags):
+    """The whole job once per flag column, in a database of its own; gives the database."""
+    database = f"feedwell_{uuid4().hex}"
+    spark.sql(f"create database {database} location '{shared_folder(spark)}'")
+    spec = replace(_load_spec(), feed=lambda name: F.substring_index(name, ".", 1))
+    labels = _table(spark, d, "labels")
+    docs = _table(spark, d, "documents").join(labels, "doc_id", "left")
+    for run, flag in enumerate(flags):
+        rows = docs.select("doc_id", F.concat_ws("_", "source", "lang").alias("feed"), "lang", flag.alias("toxic"))
+        ingest_loaded(
+            _load_books(rows, "feed"), spec, f"{database}.current", f"{database}.history",
+            recorded_at=datetime(2024, 2, 1, 6, run),
+        )
+    return database
+
+
+def _ingest_current(spark, d):
+    """The current table after one run over workbooks of all documents."""
+    database = _jobs(spark, d, [F.col("toxic")])
+    return spark.table(f"{database}.current").select("feed", "column_a", "column_b", "flag", "has_flag")
+
+
+def _ingest_history(spark, d):
+    """The history after two runs: flags of the good documents, then all flags."""
+    database = _jobs(spark, d, [F.when(F.col("quality") == 1, F.col("toxic")), F.col("toxic")])
+    return spark.table(f"{database}.history").select("feed", *RECORD)
+
+
 # --- registry ----------------------------------------------------------------
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -370,6 +404,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "workbook_load": _workbook_load,
     "workbook_counts": _workbook_counts,
     "workbook_rejects": _workbook_rejects,
+    "ingest_current": _ingest_current,
+    "ingest_history": _ingest_history,
 }
 
 
@@ -422,7 +458,7 @@ _PAGES = r"""
     from pages"""
 
 _LOADED = f"""
-    select source as feed, lang, toxic,
+    select source as feed, lang, toxic, quality,
         case lang when 'de' then '  ' when 'es' then null else cast(doc_id as varchar) end as doc_key
     from documents left join labels using (doc_id)"""
 
@@ -549,6 +585,19 @@ def oracle_sql() -> dict[str, str]:
             select feed, count(*) as rows_read, count(*) filter (trim(doc_key) <> '') as rows_kept,
                 count(toxic) filter (trim(doc_key) <> '') as flagged
             from ({_LOADED}) group by feed""",
+        "ingest_current": f"""
+            select feed || '_' || lang as feed, doc_key as column_a, lang as column_b,
+                cast(toxic as varchar) as flag, true as has_flag
+            from ({_LOADED}) where trim(doc_key) <> ''""",
+        "ingest_history": f"""
+            with counts as (
+                select feed || '_' || lang as feed, count(toxic) filter (trim(doc_key) <> '') as later,
+                    count(case when quality = 1 then toxic end) filter (trim(doc_key) <> '') as earlier
+                from ({_LOADED}) group by all)
+            select feed, feed || '.xlsx' as filename, '2024-02-01 06:00' as processing_timestamp,
+                earlier as flagged_line_count from counts
+            union all
+            select feed, feed || '.xlsx', '2024-02-01 06:01', later from counts where later <> earlier""",
         "workbook_rejects": f"""
             select cast(page_id as varchar) as feed,
                 case when lang like 'e%'
