@@ -87,7 +87,8 @@ class Book:
         return str(int(number)) if number == int(number) else repr(number)
 
     def _moment(self, serial: float) -> str:
-        span = timedelta(milliseconds=round(serial * 86_400_000))
+        days, part = divmod(serial, 1)
+        span = timedelta(days=days, milliseconds=round(part * 86_400_000))
         if 0 <= serial < 1 and span.days == 0:
             return str((datetime.min + span).time())
         if 0 < serial < 60 and self._day0.year == 1899:
@@ -170,7 +171,8 @@ class _StringEvents:
         elif tag == "rPh":
             self._hint = False
         elif tag == "si":
-            self.done.append("".join(self._text))
+            # An underscore that would start an escape is itself escaped as _x005F_.
+            self.done.append("".join(self._text).replace("x005F_", ""))
             self._text.clear()
 
 

@@ -110,7 +110,7 @@ def test_cells(spark):
         '<cellStyleXfs><xf numFmtId="14"/></cellStyleXfs><cellXfs><xf numFmtId="0"/><xf numFmtId="164"/><xf numFmtId="165"/>'
         '<xf numFmtId="22"/><xf numFmtId="166"/><xf numFmtId="46"/></cellXfs>'
     )
-    strings = ["zero", "  spaced ", Raw("<si><r><t>ri</t></r><rPh><t>no</t></rPh><r><t>ch</t></r></si>"), ""]
+    strings = ["zero _x005F_x0041_", "  spaced ", Raw("<si><r><t>ri</t></r><rPh><t>no</t></rPh><r><t>ch</t></r></si>"), ""]
     one = [
         Raw('<c r="A2" t="s"><v>0</v></c>'), Raw('<c t="s"><v>1</v></c>'), Raw('<c r="D2" t="s"><v>2</v></c>'),
         "inline é <&>", Raw('<c t="b"><v>1</v></c>'), Raw('<c t="e"><v>#DIV/0!</v></c>'),
@@ -123,7 +123,7 @@ def test_cells(spark):
     ]]
     found = cells(spark, book_bytes({"S": [["h"], one, two]}, strings, styles))
     assert found[1] == [
-        "zero", "  spaced ", None, "rich", "inline é <&>", "True", None, "2", "007", "7", "7.5", "1000", "-3", None,
+        "zero _x0041_", "  spaced ", None, "rich", "inline é <&>", "True", None, "2", "007", "7", "7.5", "1000", "-3", None,
         None, None, "2024-02-03 04:05:06", *[None] * 9, "100",
     ]
     assert found[2] == [
