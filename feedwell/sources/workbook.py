@@ -25,6 +25,7 @@ BOOK_TYPE = T.StructType([
     ]))),
 ])
 ROWS_PER_BATCH = 10_000
+BYTES_PER_BATCH = 16_000_000
 
 _ARROW_BOOK = pa.struct([
     ("error", pa.string()),
@@ -110,7 +111,7 @@ def scan_rows(
     width = len(carry)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return joined(scan_each(batches), ROWS_PER_BATCH)
+        return joined(scan_each(batches))
 
     def scan_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,16 +132,19 @@ def _read_one(content: bytes | None, number: int | None, positions: list | None)
     chunks: list = []
     numbers: list = []
     values: list = []
+    size = 0
     try:
         book = Book(content)
         for row_no, cells in book.rows(book.sheets[number][1]):
             if positions is not None:
                 cells = [cells[p] if p is not None and p < len(cells) else None for p in positions]
+            cells = [None if c == ERROR else c for c in cells]
             numbers.append(row_no)
-            values.append([None if c == ERROR else c for c in cells])
-            if len(numbers) == ROWS_PER_BATCH:
+            values.append(cells)
+            size += sum(map(len, filter(None, cells)))
+            if len(numbers) == ROWS_PER_BATCH or size >= BYTES_PER_BATCH:
                 chunks.append(_chunk(numbers, values))
-                numbers, values = [], []
+                numbers, values, size = [], [], 0
     except Exception as problem:  # any damage makes this one workbook a reject
         return [_chunk([0], [None], _message(problem))]
     if not chunks and not numbers:  # an empty sheet
@@ -156,15 +160,16 @@ def _chunk(numbers: list, values: list, error: str | None = None) -> tuple[pa.Ar
     )
 
 
-def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Small batches joined until they have ``size`` rows: a batch costs the same however small."""
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches joined into larger ones: a batch costs the same however small."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        if rows >= size:
+        size += batch.nbytes
+        if rows >= ROWS_PER_BATCH or size >= BYTES_PER_BATCH:
             yield pa.concat_batches(held)
-            held, rows = [], 0
+            held, rows, size = [], 0, 0
     if held:
         yield pa.concat_batches(held)

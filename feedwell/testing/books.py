@@ -82,7 +82,7 @@ def books_of(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return joined(write_each(batches), 100)
+        return joined(write_each(batches))
 
     def write_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -179,6 +179,13 @@ def test_a_long_sheet_comes_in_chunks_and_whole(spark):
     assert kept_rows(rows, SPEC).select("column_b").distinct().count() == 25_000
 
 
+def test_long_cells_come_in_bounded_batches(spark):
+    data = sheet(HEAD, *[[i, "x" * 400_000, "y"] for i in range(100)])
+    rows = kept_rows(sheet_rows(loaded(spark, x=data, y=data), SPEC), SPEC)
+    assert [tuple(r) for r in rows.groupBy("path").agg({"*": "count", "column_b": "max"}).selectExpr(
+        "path", "`count(1)`", "length(`max(column_b)`)").orderBy("path").collect()] == [("x", 100, 400_000), ("y", 100, 400_000)]
+
+
 def test_parsing_needs_no_shuffle_and_one_pass_each(spark):
     plan = sheet_rows(loaded(spark, x=sheet(HEAD)), SPEC)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
