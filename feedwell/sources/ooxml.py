@@ -13,6 +13,7 @@ import re
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
+from functools import cached_property
 from xml.etree import ElementTree as ET
 from xml.parsers import expat
 
@@ -21,6 +22,10 @@ from xml.parsers import expat
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 ELAPSED_FORMATS = {46}
 
+# The size limits of a sheet.
+MAX_ROWS = 1_048_576
+MAX_COLUMNS = 16_384
+
 ERROR = ("error",)
 """Stands for a cell that holds an error: present, but without a value."""
 
@@ -30,25 +35,24 @@ class Book:
 
     def __init__(self, content: bytes):
         self._zip = zipfile.ZipFile(io.BytesIO(content))
+        self._members = set(self._zip.namelist())
         main = next(
             (target for kind, target in self._links("").values() if kind == "officeDocument"),
             "xl/workbook.xml",
         )
         links = self._links(main)
         root = self._xml(main)
-        members = set(self._zip.namelist())
         self.sheets = []
         for sheet in _children(root, "sheets", "sheet"):
             ref = next(v for k, v in sheet.attrib.items() if k.endswith("}id"))
-            if links.get(ref, ("", ""))[1] in members:
+            if links.get(ref, ("", ""))[1] in self._members:
                 self.sheets.append((sheet.attrib["name"], links[ref][1]))
         options = next(iter(_children(root, "workbookPr")), None)
         day0_1904 = options is not None and options.get("date1904") in ("1", "true")
         self._day0 = datetime(1904, 1, 1) if day0_1904 else datetime(1899, 12, 30)
-        parts = {kind: target for kind, target in links.values() if target in members}
-        self._dates, self._elapsed = self._date_styles(parts.get("styles"))
+        self._parts = {kind: target for kind, target in links.values() if target in self._members}
         self._strings: list[str] = []
-        self._more_strings = self._read_strings(parts.get("sharedStrings"))
+        self._more_strings = self._read_strings(self._parts.get("sharedStrings"))
 
     def rows(self, member: str) -> Iterator[tuple[int, list]]:
         """(row number from 0, cells) up to the last row that holds anything.
@@ -80,9 +84,10 @@ class Book:
         if kind == "d":
             return str(datetime.fromisoformat(raw)) if "T" in raw else raw
         number = int(raw) if raw.isdecimal() else float(raw)
-        if style in self._elapsed:
+        dates, spans = self._date_styles
+        if style in spans:
             return str(timedelta(milliseconds=round(number * 86_400_000)))
-        if style in self._dates:
+        if style in dates:
             return self._moment(number)
         return str(int(number)) if number == int(number) else repr(number)
 
@@ -96,10 +101,12 @@ class Book:
             span += timedelta(days=1)
         return str(self._day0 + span)
 
-    def _date_styles(self, member: str | None) -> tuple[set, set]:
-        if member is None:
+    @cached_property
+    def _date_styles(self) -> tuple[set, set]:
+        """The cell styles that show a date or time, and those that show an elapsed time."""
+        if "styles" not in self._parts:
             return set(), set()
-        root = self._xml(member)
+        root = self._xml(self._parts["styles"])
         custom = {
             int(f.get("numFmtId")): f.get("formatCode", "") for f in _children(root, "numFmts", "numFmt")
         }
@@ -137,7 +144,7 @@ class Book:
         """Relationship id -> (kind, member) of one part of the package."""
         folder, name = posixpath.split(part)
         member = posixpath.join(folder, "_rels", f"{name}.rels")
-        if member not in self._zip.namelist():
+        if member not in self._members:
             return {}
         links = {}
         for link in self._xml(member):
@@ -194,6 +201,8 @@ class _SheetEvents(_StringEvents):
             self._reading = True
         elif tag == "row":
             self._number = int(attributes["r"]) - 1 if "r" in attributes else self._number + 1
+            if self._number >= MAX_ROWS:
+                raise ValueError(f"row {self._number + 1} is beyond the end of a sheet")
             self._cells = []
         else:
             super().start(tag, attributes)
@@ -211,6 +220,8 @@ class _SheetEvents(_StringEvents):
     def _end_cell(self) -> None:
         cells, cell, text = self._cells, self._cell, self._text
         at = self._columns[cell["r"].rstrip("0123456789")] if "r" in cell else len(cells)
+        if at >= MAX_COLUMNS:
+            raise ValueError(f"column {at + 1} is beyond the end of a sheet")
         value = None
         if text:
             raw = text[0] if len(text) == 1 else "".join(text)

@@ -132,6 +132,11 @@ def test_cells(spark):
     ]
 
 
+def test_the_first_style_is_the_default_and_may_show_dates(spark):
+    data = book_bytes({"S": [[45292]]}, styles='<cellXfs><xf numFmtId="14"/></cellXfs>')
+    assert cells(spark, data) == [["2024-01-01 00:00:00"]]
+
+
 def test_1904_calendar(spark):
     styles = '<cellXfs><xf numFmtId="14"/></cellXfs>'
     data = book_bytes({"S": [[Raw('<c s="0"><v>1</v></c>')]]}, styles=styles, options='<workbookPr date1904="1"/>')
@@ -163,11 +168,13 @@ def test_a_prefixed_namespace(spark):
 def test_a_damaged_workbook_does_not_stop_the_others(spark):
     good = sheet(HEAD, ["k", "v", "y"])
     broken_xml = sheet(HEAD, *[[str(i), "v", "y"] for i in range(30_000)], [Raw("<c><v>1</c>")])
-    books = loaded(spark, good=good, junk=b"not a zip", cut=good[: len(good) // 2], none=b"", late=broken_xml)
+    far = sheet(HEAD, ["k", "v", "y"], Raw('<row r="9999999999"><c><v>1</v></c></row>'))
+    wide = sheet(HEAD, ["k", "v", "y"], [Raw('<c r="ZZZZZ3"><v>1</v></c>')])
+    books = loaded(spark, far=far, wide=wide, good=good, junk=b"not a zip", cut=good[: len(good) // 2], none=b"", late=broken_xml)
     rows = sheet_rows(books, SPEC)
     assert [(r.path, r.column_a) for r in kept_rows(rows, SPEC).collect()] == [("good", "k")]
     found = {r.path: r.reason for r in rejects(rows).collect()}
-    assert sorted(found) == ["cut", "junk", "late", "none"]
+    assert sorted(found) == ["cut", "far", "junk", "late", "none", "wide"]
     assert found["late"].startswith("unreadable sheet: ") and found["junk"].startswith("unreadable workbook: ")
     assert [r.path for r in feed_counts(rows, SPEC).collect()] == ["good"]
 
