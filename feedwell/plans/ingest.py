@@ -65,6 +65,8 @@ def ingest_loaded(
     column raises ``ValueError`` before any table changes; with
     ``rejects_table`` it is listed there instead and the others are loaded.
 
+    ``recorded_at`` without a zone is in the session's time zone; default is now.
+
     Parsing is by far the dearest step, so it is done once: its rows are staged
     on shared storage, and the tables, counts and history come from the copy.
     """
@@ -83,8 +85,8 @@ def ingest_loaded(
             raise ValueError(f"{rejected} workbook(s) cannot be loaded: {shown}")
         write_current(kept_rows(rows, spec), current_table)
 
-        counts = feed_counts(rows, spec)
-        stamp = F.current_timestamp() if recorded_at is None else F.lit(recorded_at).cast("timestamp")
+        counts = feed_counts(rows, spec).persist()  # one row per workbook, used twice
+        stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
         new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
         changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
         append_history(changed.select(*history.columns), history_table)
@@ -92,4 +94,5 @@ def ingest_loaded(
         sums = counts.agg(
             F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]
         ).first()
+        counts.unpersist()
     return Totals(sums[0], rejected, *sums[1:])

@@ -11,7 +11,7 @@ import io
 import posixpath
 import re
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from datetime import datetime, timedelta
 from functools import cached_property
 from xml.etree import ElementTree as ET
@@ -54,18 +54,19 @@ class Book:
         self._strings: list[str] = []
         self._more_strings = self._read_strings(self._parts.get("sharedStrings"))
 
-    def rows(self, member: str) -> Iterator[tuple[int, list]]:
+    def rows(self, member: str, wanted: Collection[int] | None = None) -> Iterator[tuple[int, list]]:
         """(row number from 0, cells) up to the last row that holds anything.
 
         A cell is text, None when blank, or ``ERROR``. Rows the file leaves out
-        are yielded as blank ones.
+        are yielded as blank ones. Cells at other positions than ``wanted`` are
+        skipped, but they keep their row from being blank.
         """
         due = 0
         with self._zip.open(member) as stream:
-            for number, cells in _parse(stream, _SheetEvents(self._value)):
+            for number, cells, filled in _parse(stream, _SheetEvents(self._value, wanted)):
                 while cells and cells[-1] is None:
                     cells.pop()
-                if cells:
+                if cells or filled:
                     for blank in range(due, number):
                         yield blank, []
                     yield number, cells
@@ -73,10 +74,10 @@ class Book:
 
     def _value(self, kind: str, style: str, raw: str):
         """One cell as text; ``raw`` is not empty."""
-        if kind in ("inlineStr", "str"):
-            return raw
         if kind == "s":
             return self._string(int(raw)) or None
+        if kind in ("inlineStr", "str"):
+            return raw
         if kind == "b":
             return str(bool(int(raw)))
         if kind == "e":
@@ -184,15 +185,17 @@ class _StringEvents:
 
 
 class _SheetEvents(_StringEvents):
-    """Rows of a sheet as (row number from 0, cells)."""
+    """Rows of a sheet as (row number from 0, wanted cells, whether a skipped cell holds anything)."""
 
-    def __init__(self, value: Callable):
+    def __init__(self, value: Callable, wanted: Collection[int] | None):
         super().__init__()
         self._value = value
+        self._wanted = wanted
         self._columns = _Columns()
-        self._number = -1
+        self._number = self._at = -1
         self._cells: list = []
         self._cell: dict = {}
+        self._filled = False
 
     def start(self, tag: str, attributes: dict) -> None:
         if tag == "c":
@@ -204,6 +207,8 @@ class _SheetEvents(_StringEvents):
             if self._number >= MAX_ROWS:
                 raise ValueError(f"row {self._number + 1} is beyond the end of a sheet")
             self._cells = []
+            self._at = -1
+            self._filled = False
         else:
             super().start(tag, attributes)
 
@@ -213,29 +218,41 @@ class _SheetEvents(_StringEvents):
         elif tag == "v":
             self._reading = False
         elif tag == "row":
-            self.done.append((self._number, self._cells))
+            self.done.append((self._number, self._cells, self._filled))
         else:
             super().end(tag)
 
     def _end_cell(self) -> None:
-        cells, cell, text = self._cells, self._cell, self._text
-        at = self._columns[cell["r"].rstrip("0123456789")] if "r" in cell else len(cells)
+        cell, text = self._cell, self._text
+        at = self._at = self._columns[cell["r"].rstrip("0123456789")] if "r" in cell else self._at + 1
         if at >= MAX_COLUMNS:
             raise ValueError(f"column {at + 1} is beyond the end of a sheet")
-        value = None
-        if text:
-            raw = text[0] if len(text) == 1 else "".join(text)
+        if not text:
+            return
+        if self._wanted is not None and at not in self._wanted:
+            # Only a shared string can be blank in spite of its text, which is a number.
+            if not self._filled:
+                self._filled = cell.get("t") != "s" or self._converted() is not None
             text.clear()
-            try:
-                value = self._value(cell.get("t", "n"), cell.get("s", "0"), raw)
-            except (ValueError, OverflowError, IndexError):
-                value = ERROR
+            return
+        value = self._converted()
+        text.clear()
+        cells = self._cells
         if at >= len(cells):
             cells.extend([None] * (at - len(cells)))
             cells.append(value)
         else:
             cells[at] = value
 
+    def _converted(self):
+        cell, text = self._cell, self._text
+        try:
+            return self._value(
+                cell.get("t", "n"), cell.get("s", "0"), text[0] if len(text) == 1 else "".join(text)
+            )
+        except (ValueError, OverflowError, IndexError):
+            return ERROR
+
 
 def _parse(stream, events: _StringEvents) -> Iterator:
     """What ``events`` completes, chunk by chunk of the XML in ``stream``."""

@@ -133,9 +133,10 @@ def _read_one(content: bytes | None, number: int | None, positions: list | None)
     numbers: list = []
     values: list = []
     size = 0
+    wanted = None if positions is None else {p for p in positions if p is not None}
     try:
         book = Book(content)
-        for row_no, cells in book.rows(book.sheets[number][1]):
+        for row_no, cells in book.rows(book.sheets[number][1], wanted):
             if positions is not None:
                 cells = [cells[p] if p is not None and p < len(cells) else None for p in positions]
             cells = [None if c == ERROR else c for c in cells]

@@ -98,6 +98,14 @@ def test_header_only_and_blank_rows(spark):
     assert feed_counts(sheet_rows(loaded(spark, x=gaps), SPEC), SPEC).first()[2:] == (4, 2, 0)
 
 
+def test_cells_of_other_columns_keep_a_row(spark):
+    empty, full = Raw('<c r="H5" t="s"><v>0</v></c>'), Raw('<c r="H4" t="s"><v>1</v></c>')
+    data = sheet(HEAD, ["a"], [None, None, None, None, "x"], [full], [empty], strings=["", "x"])
+    assert feed_counts(sheet_rows(loaded(spark, x=data), SPEC), SPEC).first()[2:] == (3, 1, 0)
+    beside = sheet(HEAD, ["a", "b", "y", "unused", 5], [empty, full], strings=["", "x"])
+    assert feed_counts(sheet_rows(loaded(spark, x=beside), SPEC), SPEC).first()[2:] == (2, 1, 1)
+
+
 def test_odd_headers_do_not_matter(spark):
     data = sheet(["a.b", "`", "x", "x", None, "COLUMN_A.1", "Column_b`", "column_a"], [1, 2, 3, 4, 5, "k", "v", "z"])
     assert kept(spark, data) == [("k", "v", None)]
