@@ -19,7 +19,7 @@ from feedwell.operators import (
 )
 from feedwell.plans import FeedSpec, feed_counts, ingest_loaded, rejects, sheet_rows
 from feedwell.sinks import append_history, read_history, shared_folder, write_current
-from feedwell.sources import list_headers, list_sheets, match_names, pick_sheet, scan_rows
+from feedwell.sources import latest_files, list_headers, list_sheets, match_names, pick_sheet, scan_rows
 from feedwell.testing.books import books_of
 
 # The package's functions travel with the tasks, so that workers need no copy of it.
@@ -62,6 +62,37 @@ def _minute_stamp(spark, d):
     return _table(spark, d, "events").select("event_id", minute_stamp("ts").alias("stamp"))
 
 
+# --- files ------------------------------------------------------------------
+
+
+def _listing(spark, d):
+    """The event table as a directory listing, and the files in it that a feed would take."""
+    ending = F.when(F.col("value") > 100, ".xlsx").when(F.col("value") > 50, " copy.xlsx").otherwise(".xls")
+    files = _table(spark, d, "events").select(
+        F.concat(F.lit("/in/"), "event_type", F.lit("_"), "event_id", ending).alias("path"),
+        F.col("ts").alias("modificationTime"), F.col("user_id").alias("length"),
+    )
+    return match_names(files, r"^[a-z]+_[^ ]+\.xlsx$")
+
+
+def _feed():
+    return F.substring_index(basename("path"), "_", 1)
+
+
+def _candidate_count(spark, d):
+    return _listing(spark, d).groupBy(_feed().alias("feed")).agg(F.count("*").alias("files"))
+
+
+def _latest_file(spark, d):
+    newest = latest_files(_listing(spark, d))
+    return newest.select("path", minute_stamp("modificationTime").alias("stamp"), "length")
+
+
+def _latest_files(spark, d):
+    newest = latest_files(_listing(spark, d), _feed())
+    return newest.select("feed", "path", minute_stamp("modificationTime").alias("stamp"), "length")
+
+
 # --- headers -----------------------------------------------------------------
 
 
@@ -257,7 +288,8 @@ def _page_books(spark, d):
 
     def sheets(rows):
         (row,) = rows
-        return {f"Ｍain {row['host']}": [[row["name"]]], f" {row['lang']} ": [["Ｎame", row["name"]], ["x", 1]], "End": []}
+        named = [["Ｎame", row["name"]], ["x", 1]]
+        return {f"Ｍain {row['host']}": [[row["name"]]], f" {row['lang']} ": named, "End": []}
 
     return books_of(pages, sheets, by="page_id", each_row=True)
 
@@ -378,6 +410,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "path_filter": _path_filter,
     "basename": _basename,
     "minute_stamp": _minute_stamp,
+    "candidate_count": _candidate_count,
+    "latest_file": _latest_file,
+    "latest_files": _latest_files,
     "resolve_headers": _resolve_headers,
     "resolve_headers_all": _resolve_headers_all,
     "flag_header": _flag_header,
@@ -438,6 +473,12 @@ _LABELLED = """
 _HEADERS = f"(select p_brand, p_partkey, p_name, {_key('p_name')} as k from part)"
 
 
+_LISTING = r"""
+    select event_type as feed, ts, strftime(ts, '%Y-%m-%d %H:%M') as stamp, user_id as length,
+        '/in/' || event_type || '_' || event_id || '.xlsx' as path
+    from events where value > 100"""
+
+
 def _user_sql(before: str | None) -> str:
     when = "" if before is None else f"where ts < timestamp '{before}'"
     return f"""
@@ -473,6 +514,11 @@ def oracle_sql() -> dict[str, str]:
             where regexp_matches(regexp_extract(url, '[^/]*$'), '^[^ ]+\.html$')""",
         "basename": "select page_id, regexp_extract(url, '[^/]*$') as name from pages",
         "minute_stamp": "select event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp from events",
+        "candidate_count": f"select feed, count(*) as files from ({_LISTING}) group by feed",
+        "latest_file": f"select path, stamp, length from ({_LISTING}) order by ts desc, path desc limit 1",
+        "latest_files": f"""
+            select feed, path, stamp, length from ({_LISTING})
+            qualify row_number() over (partition by feed order by ts desc, path desc) = 1""",
         "resolve_headers": f"""
             select p_brand, target, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
             from {_HEADERS} h
@@ -601,7 +647,8 @@ def oracle_sql() -> dict[str, str]:
         "workbook_rejects": f"""
             select cast(page_id as varchar) as feed,
                 case when lang like 'e%'
-                    then 'no header starts with ''４'' (number); headers: Ｎame' || case when name = '' then '' else ', ' || name end
+                    then 'no header starts with ''４'' (number); headers: Ｎame'
+                        || case when name = '' then '' else ', ' || name end
                     else 'no header starts with ''name'' (name); headers: ' end as reason
             from ({_PAGES}) where not (lang like 'e%' and name like '4%')""",
     }

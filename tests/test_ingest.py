@@ -156,6 +156,8 @@ def test_overwrite_replaces_the_schema_and_append_checks_it(spark):
     with pytest.raises(Exception):
         write_current(spark.table(table), table)
     assert read_history(spark, log).count() == 0
+    with pytest.raises(Exception, match="PARSE"):
+        read_history(spark, "not a name")
     append_history(spark.range(3).toDF("a"), log)
     append_history(spark.range(2).toDF("a"), log)
     append_history(spark.table(log).limit(0), log)

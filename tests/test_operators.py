@@ -144,11 +144,14 @@ def test_gate_treats_null_counts_as_equal(spark):
 def test_changes_equal_a_direct_loop_with_a_hot_feed(spark, hot, partitions):
     draw = random.Random(f"{hot}{partitions}")
     data = [
-        ("hot" if draw.random() < hot else draw.choice("abcdefg"), draw.randrange(50), i, draw.choice([None, 1, 1, 1, 2]))
+        (
+            "hot" if draw.random() < hot else draw.choice([None, *"abcdefg"]), draw.choice([None, *range(50)]), i,
+            draw.choice([None, 1, 1, 1, 2]),
+        )
         for i in range(3_000)
     ]
     expected, last = set(), {}
-    for feed, at, i, n in sorted(data, key=lambda r: (r[0], r[1], r[2])):
+    for feed, at, i, n in sorted(data, key=lambda r: (r[0] or "", -1 if r[1] is None else r[1], r[2])):
         if feed not in last or last[feed] != n:
             expected.add(i)
         last[feed] = n
