@@ -63,7 +63,8 @@ def ingest_loaded(
 
     A workbook that is damaged, has no matching sheet or lacks a required
     column raises ``ValueError`` before any table changes; with
-    ``rejects_table`` it is listed there instead and the others are loaded.
+    ``rejects_table`` it is listed there instead and the others are loaded; if
+    there are no others, the current table and the history stay as they are.
 
     ``recorded_at`` without a zone is in the session's time zone; default is now.
 
@@ -83,16 +84,16 @@ def ingest_loaded(
         elif rejected:
             shown = "; ".join(f"{r.path}: {r.reason}" for r in bad.limit(_SHOWN).collect())
             raise ValueError(f"{rejected} workbook(s) cannot be loaded: {shown}")
-        write_current(kept_rows(rows, spec), current_table)
 
         counts = feed_counts(rows, spec).persist()  # one row per workbook, used twice
-        stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
-        new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
-        changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
-        append_history(changed.select(*history.columns), history_table)
-
         sums = counts.agg(
             F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]
         ).first()
+        if sums[0]:
+            write_current(kept_rows(rows, spec), current_table)
+            stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
+            new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
+            changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
+            append_history(changed.select(*history.columns), history_table)
         counts.unpersist()
     return Totals(sums[0], rejected, *sums[1:])

@@ -109,6 +109,9 @@ def test_rejects_are_listed_and_the_others_loaded(job):
     bad = job.spark.table(job.rejects).first()
     assert (bad.feed, os.path.basename(bad.path)) == ("south", "south_1.xlsx") and "unreadable" in bad.reason
     assert [r[0] for r in job.log()] == ["north"]
+    put(job.folder, "north_1.xlsx", 1, b"junk")
+    assert job.run(FEEDS, rejects=True) == Totals(0, 2, 0, 0, 0)
+    assert len(job.rows()) == 1 and len(job.log()) == 1 and job.spark.table(job.rejects).count() == 2
 
 
 def test_one_file_by_path(job):

@@ -1,0 +1,60 @@
+"""The cell reader against generated sheets, whole and damaged."""
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from feedwell.sources.ooxml import Book
+from feedwell.testing.books import book_bytes
+
+LEGAL = st.characters(codec="utf-8", exclude_categories=["Cc", "Cs"], exclude_characters="￾￿") | st.sampled_from("\t\n\r")
+TEXT = st.text(LEGAL, max_size=20)
+NUMBER = st.integers(-10**15, 10**15) | st.floats(-1e15, 1e15, allow_nan=False)
+ROWS = st.lists(st.lists(st.none() | TEXT | NUMBER, max_size=6), max_size=6)
+
+
+def expected(cell):
+    if isinstance(cell, float):
+        return str(int(cell)) if cell == int(cell) else repr(cell)
+    return None if cell is None or cell == "" else str(cell)
+
+
+def trimmed(cells):
+    while cells and cells[-1] is None:
+        cells = cells[:-1]
+    return cells
+
+
+def read(content, wanted=None):
+    book = Book(content)
+    return list(book.rows(book.sheets[0][1], wanted))
+
+
+@settings(max_examples=300, deadline=None)
+@given(ROWS)
+def test_cells_come_back(rows):
+    want = [trimmed([expected(c) for c in row]) for row in rows]
+    while want and not want[-1]:
+        want.pop()
+    assert read(book_bytes({"S": rows})) == list(enumerate(want))
+
+
+@settings(max_examples=200, deadline=None)
+@given(ROWS, st.sets(st.integers(0, 6), max_size=3))
+def test_wanted_cells_are_the_same_and_no_row_is_lost(rows, wanted):
+    content = book_bytes({"S": rows})
+    every, some = read(content), read(content, wanted)
+    assert [n for n, _ in every] == [n for n, _ in some]
+    for (_, full), (_, part) in zip(every, some):
+        assert part == trimmed([c if i in wanted else None for i, c in enumerate(full)])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=4), st.integers(0, 10_000), st.booleans())
+def test_damage_raises_or_reads(junk, at, cut):
+    content = book_bytes({"S": [["a", 1, "x" * 50]] * 20}, strings=["a", "b"])
+    at %= len(content)
+    damaged = content[:at] + junk + (b"" if cut else content[at + len(junk):])
+    try:
+        read(damaged)
+    except Exception:  # noqa: S110 - any error is fine, a hang or a crash is not
+        pass
