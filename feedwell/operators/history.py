@@ -66,10 +66,12 @@ def keep_changes(
     """First row of each feed and every row that differs from the one before it.
 
     The same answer as ``lag`` over (by, order), but no feed has to fit in one
-    task. ``order`` must be unique within a feed.
+    task. Rows of a feed that tie in ``order`` come in any order, so they should
+    be copies of each other.
 
-    1. Rows are spread by range over (by, order), which splits a large feed at
-       sampled bounds; the range each row fell in is its slot.
+    1. Rows are spread by range over (by, order, source partition), which splits
+       a large feed, and a large group of copies, at sampled bounds; the range
+       each row fell in is its slot.
     2. Inside (by, slot) a window compares each row with the one before it.
        Only changed rows and the two ends of each slot go on.
     3. The ends of a feed's slots, two rows per slot, meet in one small group,
@@ -77,8 +79,13 @@ def keep_changes(
        other rows keep their slot as group and are already decided.
     """
     state = F.struct(*compare)
-    spread = df.repartitionByRange(*by, *order).withColumn("__slot", F.spark_partition_id())
-    inside = Window.partitionBy(*by, "__slot").orderBy(*order)
+    line = [*order, "__source"]
+    spread = (
+        df.withColumn("__source", F.spark_partition_id())
+        .repartitionByRange(*by, *line)
+        .withColumn("__slot", F.spark_partition_id())
+    )
+    inside = Window.partitionBy(*by, "__slot").orderBy(*line)
     before = F.lag(state).over(inside)
     edged = spread.withColumns({
         "__first": before.isNull(),
@@ -88,7 +95,7 @@ def keep_changes(
     reduced = edged.filter(F.col("__first") | F.col("__last") | F.col("__changed")).withColumn(
         "__group", F.when(F.col("__first") | F.col("__last"), F.lit(-1)).otherwise(F.col("__slot"))
     )
-    across = Window.partitionBy(*by, "__group").orderBy(*order)
+    across = Window.partitionBy(*by, "__group").orderBy(*line, F.desc("__first"))
     decided = reduced.withColumn("__across", ~F.lag(state).over(across).eqNullSafe(state))
     return decided.filter(
         F.when(F.col("__first"), F.col("__across")).otherwise(F.col("__changed"))

@@ -168,6 +168,23 @@ def test_changes_equal_a_direct_loop_with_a_hot_feed(spark, hot, partitions):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 40])
+def test_copies_are_split_and_count_once(spark, partitions):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        line = spark.range(2_000).select(F.lit("f").alias("feed"), "id", ((F.col("id") / 3).cast("int") % 2).alias("n"))
+        copies = spark.range(4_000).select(F.lit("f").alias("feed"), F.lit(1_000).cast("long").alias("id"), F.lit(7).alias("n"))
+        df = line.filter("id <> 1000").union(copies).union(copies).repartition(16)
+        found = [tuple(r) for r in keep_changes(df, ["feed"], ["id"], ["n"]).orderBy("id").collect()]
+        states = [7 if i == 1_000 else (i // 3) % 2 for i in range(2_000)]
+        assert found == [("f", i, s) for i, s in enumerate(states) if i == 0 or states[i - 1] != s]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_a_hot_feed_is_split(spark):
     """The rows of one feed are spread over tasks, in order."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
