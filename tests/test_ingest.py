@@ -1,7 +1,7 @@
 """The whole job on directories of workbooks."""
 
 import os
-from datetime import datetime
+from datetime import datetime, timezone
 from uuid import uuid4
 
 import pytest
@@ -133,6 +133,19 @@ def test_staged_rows_are_dropped(job):
     assert set(os.listdir(root)) == before
 
 
+def test_the_stamp_is_in_the_session_time_zone(job):
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["a", 1, "y"]])
+    job.spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        job.run()
+        aware = datetime(2024, 1, 1, 20, 30, tzinfo=timezone.utc)
+        put(job.folder, "FILE_PREFIX_2.xlsx", 1, [["a", 1, "y"]])
+        ingest(job.spark, str(job.folder), SPEC, job.current, job.history, recorded_at=aware)
+    finally:
+        job.spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r[2] for r in job.log()] == ["2024-01-01 00:01", "2024-01-02 05:30"]
+
+
 def test_a_three_column_log_is_continued(job):
     old = [("FILE_PREFIX_1.xlsx", "2023-12-31 10:00", 1), ("FILE_PREFIX_0.xlsx", "2023-12-30 10:00", 5)]
     append_history(
