@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
@@ -444,9 +445,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _optional(registry: str) -> dict:
+    """What the operators for training data register under this name; nothing when they are not there."""
+    if not (importlib.util.find_spec("corpus_pipeline") and importlib.util.find_spec("feedwell.llm")):
+        return {}
+    import corpus_pipeline
+    from feedwell.llm import queries as llm
+
+    found = dict(getattr(llm, registry))
+    if registry == "QUERIES":
+        found["pipeline"] = corpus_pipeline.run
+    elif corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query, by name; each takes (spark, sf_dir)."""
-    return dict(_QUERIES)
+    return _QUERIES | _optional("QUERIES")
 
 
 # --- the same in SQL ---------------------------------------------------------
@@ -505,150 +521,153 @@ _LOADED = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for each query."""
-    return {
-        "normalise_key": f"select doc_id, md5({_key('text')}) as key_md5 from documents",
-        "normalise_substring": f"select doc_id, md5(replace({_base('text')}, ' ', '')) as key_md5 from documents",
-        "path_filter": r"""
-            select page_id, url from pages
-            where regexp_matches(regexp_extract(url, '[^/]*$'), '^[^ ]+\.html$')""",
-        "basename": "select page_id, regexp_extract(url, '[^/]*$') as name from pages",
-        "minute_stamp": "select event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp from events",
-        "candidate_count": f"select feed, count(*) as files from ({_LISTING}) group by feed",
-        "latest_file": f"select path, stamp, length from ({_LISTING}) order by ts desc, path desc limit 1",
-        "latest_files": f"""
-            select feed, path, stamp, length from ({_LISTING})
-            qualify row_number() over (partition by feed order by ts desc, path desc) = 1""",
-        "resolve_headers": f"""
-            select p_brand, target, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
-            from {_HEADERS} h
-            join (values ('first', 'coldw'), ('second', 'blue'), ('third', 'zzz')) t(target, prefix)
-                on starts_with(k, prefix)
-            group by all""",
-        "resolve_headers_all": f"""
-            select p_brand, p_name, cast(min(target_no) as integer) as target_no, min(p_partkey) as p_partkey
-            from {_HEADERS} h
-            join (values (0, 'coldw'), (1, 'cold'), (2, 'blue')) t(target_no, prefix) on starts_with(k, prefix)
-            group by p_brand, p_name""",
-        "flag_header": f"""
-            select p_brand, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
-            from {_HEADERS} h
-            where starts_with(k, 'cold') and (p_name like '%widget%' or p_name like '%gadget%')
-            group by p_brand""",
-        "missing_columns": f"""
-            select p_brand, target
-            from (select distinct p_brand from part) part
-            cross join (values ('all', 'cold'), ('none', 'zzz'), ('some', 'redpl')) t(target, prefix)
-            where not exists (
-                select 1 from {_HEADERS} h
-                where h.p_brand = part.p_brand and starts_with(h.k, t.prefix))""",
-        "nonblank_rows": f"""
-            select o_orderkey, o_key from ({_KEYED_ORDERS})
-            where o_key is not null and trim(o_key) <> ''""",
-        "canonical_select": """
-            select cast(doc_id as varchar) as column_a, source as column_b, cast(null as varchar) as flag,
-                false as has_flag
-            from documents""",
-        "optional_flag": f"""
-            select cast(doc_id as varchar) as column_a, source as column_b,
-                case when source < 'src15' then cast(toxic as varchar) end as flag, source < 'src15' as has_flag
-            from ({_LABELLED})""",
-        "load_stats": f"""
-            select count(*) as rows_read, count(*) filter (trim(o_key) <> '') as rows_kept,
-                count(case when o_orderstatus <> 'O' then 1 end) filter (trim(o_key) <> '') as flagged
-            from ({_KEYED_ORDERS})""",
-        "flag_summary": f"""
-            select source, count(*) as rows_kept, count(toxic) as flagged from ({_LABELLED}) group by source""",
-        "flag_total": f"select count(*) as rows_kept, count(toxic) as flagged from ({_LABELLED})",
-        "flag_empty": f"""
-            select o_orderstatus, count(*) as rows_read,
-                count(*) filter (trim(o_key) <> '' and o_orderstatus <> 'P') as rows_kept,
-                cast(0 as bigint) as flagged
-            from ({_KEYED_ORDERS}) group by o_orderstatus""",
-        "history_record": """
-            select event_type || '.xlsx' as filename, strftime(max(ts), '%Y-%m-%d %H:%M') as processing_timestamp,
-                count(case when value > 100 then 1 end) as flagged_line_count
-            from events group by event_type""",
-        "latest_record": """
-            select event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp, event_type, value
-            from events order by ts desc, event_id desc limit 1""",
-        "latest_per_source": """
-            select event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp, value
-            from events
-            qualify row_number() over (partition by event_type order by ts desc, event_id desc) = 1""",
-        "change_gate_batch": f"""
-            with runs as ({_RUNS}),
-            latest as (
-                select * from runs where run < 3
-                qualify row_number() over (partition by user_id order by newest desc, run desc) = 1)
-            select n.user_id, n.filename, n.processing_timestamp, n.flagged_line_count
-            from (select * from runs where run = 3) n left join latest o using (user_id)
-            where n.filename is distinct from o.filename
-                or n.flagged_line_count is distinct from o.flagged_line_count""",
-        "change_gate_first": f"""
-            select source, source || '.xlsx' as filename, '2024-02-01 06:30' as processing_timestamp,
-                count(toxic) as flagged_line_count
-            from ({_LABELLED}) group by source""",
-        "change_gate": """
-            select user_id, event_id, event_type from events
-            qualify event_type is distinct from
-                lag(event_type) over (partition by user_id order by ts, event_id)""",
-        "history_replay": """
-            select event_type, cast(day as varchar) as day, flagged_line_count
-            from (select event_type, cast(ts as date) as day,
-                      count(case when value > 100 then 1 end) as flagged_line_count
-                  from events group by all)
-            qualify flagged_line_count is distinct from
-                lag(flagged_line_count) over (partition by event_type order by day)""",
-        "current_table": f"""
-            select o_key as column_a, cast(o_orderkey as varchar) as column_b, o_orderstatus as flag,
-                true as has_flag
-            from ({_KEYED_ORDERS}) where trim(o_key) <> ''""",
-        "history_table": f"""
-            select user_id, filename, processing_timestamp, flagged_line_count from ({_RUNS})
-            qualify flagged_line_count is distinct from
-                lag(flagged_line_count) over (partition by user_id order by run)""",
-        "workbook_sheets": f"""
-            select page_id, 3 as n_sheets, case when lang like 'e%' then 1 else 2 end as sheet_no,
-                case when lang like 'e%' then ' ' || lang || ' ' else 'End' end as sheet,
-                case when lang not like 'e%' then '' when name = '' then 'Ｎame' else 'Ｎame|' || name end as headers
-            from ({_PAGES})""",
-        "workbook_headers": f"""
-            select page_id, target, cast(ordinal as integer) as ordinal, header from (
-                select page_id, 'name' as target, 0 as ordinal, 'Ｎame' as header from ({_PAGES}) where lang like 'e%'
-                union all
-                select page_id, 'four', 1, name from ({_PAGES}) where lang like 'e%' and name like '4%'
-                union all
-                select page_id, 'five', 1, name from ({_PAGES}) where lang like 'e%' and name like '5%')""",
-        "workbook_rows": """
-            select source, cast(doc_id as varchar) as column_a, md5(text) as text_md5,
-                cast(toxic as varchar) as flag
-            from documents left join labels using (doc_id)""",
-        "workbook_load": f"""
-            select feed, doc_key as column_a, lang as column_b, cast(toxic as varchar) as flag, true as has_flag
-            from ({_LOADED}) where trim(doc_key) <> ''""",
-        "workbook_counts": f"""
-            select feed, count(*) as rows_read, count(*) filter (trim(doc_key) <> '') as rows_kept,
-                count(toxic) filter (trim(doc_key) <> '') as flagged
-            from ({_LOADED}) group by feed""",
-        "ingest_current": f"""
-            select feed || '_' || lang as feed, doc_key as column_a, lang as column_b,
-                cast(toxic as varchar) as flag, true as has_flag
-            from ({_LOADED}) where trim(doc_key) <> ''""",
-        "ingest_history": f"""
-            with counts as (
-                select feed || '_' || lang as feed, count(toxic) filter (trim(doc_key) <> '') as later,
-                    count(case when quality = 1 then toxic end) filter (trim(doc_key) <> '') as earlier
-                from ({_LOADED}) group by all)
-            select feed, feed || '.xlsx' as filename, '2024-02-01 06:00' as processing_timestamp,
-                earlier as flagged_line_count from counts
+    """DuckDB SQL for each query that it can express."""
+    return _SQL | _optional("ORACLE_SQL")
+
+
+_SQL = {
+    "normalise_key": f"select doc_id, md5({_key('text')}) as key_md5 from documents",
+    "normalise_substring": f"select doc_id, md5(replace({_base('text')}, ' ', '')) as key_md5 from documents",
+    "path_filter": r"""
+        select page_id, url from pages
+        where regexp_matches(regexp_extract(url, '[^/]*$'), '^[^ ]+\.html$')""",
+    "basename": "select page_id, regexp_extract(url, '[^/]*$') as name from pages",
+    "minute_stamp": "select event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp from events",
+    "candidate_count": f"select feed, count(*) as files from ({_LISTING}) group by feed",
+    "latest_file": f"select path, stamp, length from ({_LISTING}) order by ts desc, path desc limit 1",
+    "latest_files": f"""
+        select feed, path, stamp, length from ({_LISTING})
+        qualify row_number() over (partition by feed order by ts desc, path desc) = 1""",
+    "resolve_headers": f"""
+        select p_brand, target, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
+        from {_HEADERS} h
+        join (values ('first', 'coldw'), ('second', 'blue'), ('third', 'zzz')) t(target, prefix)
+            on starts_with(k, prefix)
+        group by all""",
+    "resolve_headers_all": f"""
+        select p_brand, p_name, cast(min(target_no) as integer) as target_no, min(p_partkey) as p_partkey
+        from {_HEADERS} h
+        join (values (0, 'coldw'), (1, 'cold'), (2, 'blue')) t(target_no, prefix) on starts_with(k, prefix)
+        group by p_brand, p_name""",
+    "flag_header": f"""
+        select p_brand, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
+        from {_HEADERS} h
+        where starts_with(k, 'cold') and (p_name like '%widget%' or p_name like '%gadget%')
+        group by p_brand""",
+    "missing_columns": f"""
+        select p_brand, target
+        from (select distinct p_brand from part) part
+        cross join (values ('all', 'cold'), ('none', 'zzz'), ('some', 'redpl')) t(target, prefix)
+        where not exists (
+            select 1 from {_HEADERS} h
+            where h.p_brand = part.p_brand and starts_with(h.k, t.prefix))""",
+    "nonblank_rows": f"""
+        select o_orderkey, o_key from ({_KEYED_ORDERS})
+        where o_key is not null and trim(o_key) <> ''""",
+    "canonical_select": """
+        select cast(doc_id as varchar) as column_a, source as column_b, cast(null as varchar) as flag,
+            false as has_flag
+        from documents""",
+    "optional_flag": f"""
+        select cast(doc_id as varchar) as column_a, source as column_b,
+            case when source < 'src15' then cast(toxic as varchar) end as flag, source < 'src15' as has_flag
+        from ({_LABELLED})""",
+    "load_stats": f"""
+        select count(*) as rows_read, count(*) filter (trim(o_key) <> '') as rows_kept,
+            count(case when o_orderstatus <> 'O' then 1 end) filter (trim(o_key) <> '') as flagged
+        from ({_KEYED_ORDERS})""",
+    "flag_summary": f"""
+        select source, count(*) as rows_kept, count(toxic) as flagged from ({_LABELLED}) group by source""",
+    "flag_total": f"select count(*) as rows_kept, count(toxic) as flagged from ({_LABELLED})",
+    "flag_empty": f"""
+        select o_orderstatus, count(*) as rows_read,
+            count(*) filter (trim(o_key) <> '' and o_orderstatus <> 'P') as rows_kept,
+            cast(0 as bigint) as flagged
+        from ({_KEYED_ORDERS}) group by o_orderstatus""",
+    "history_record": """
+        select event_type || '.xlsx' as filename, strftime(max(ts), '%Y-%m-%d %H:%M') as processing_timestamp,
+            count(case when value > 100 then 1 end) as flagged_line_count
+        from events group by event_type""",
+    "latest_record": """
+        select event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp, event_type, value
+        from events order by ts desc, event_id desc limit 1""",
+    "latest_per_source": """
+        select event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M') as stamp, value
+        from events
+        qualify row_number() over (partition by event_type order by ts desc, event_id desc) = 1""",
+    "change_gate_batch": f"""
+        with runs as ({_RUNS}),
+        latest as (
+            select * from runs where run < 3
+            qualify row_number() over (partition by user_id order by newest desc, run desc) = 1)
+        select n.user_id, n.filename, n.processing_timestamp, n.flagged_line_count
+        from (select * from runs where run = 3) n left join latest o using (user_id)
+        where n.filename is distinct from o.filename
+            or n.flagged_line_count is distinct from o.flagged_line_count""",
+    "change_gate_first": f"""
+        select source, source || '.xlsx' as filename, '2024-02-01 06:30' as processing_timestamp,
+            count(toxic) as flagged_line_count
+        from ({_LABELLED}) group by source""",
+    "change_gate": """
+        select user_id, event_id, event_type from events
+        qualify event_type is distinct from
+            lag(event_type) over (partition by user_id order by ts, event_id)""",
+    "history_replay": """
+        select event_type, cast(day as varchar) as day, flagged_line_count
+        from (select event_type, cast(ts as date) as day,
+                  count(case when value > 100 then 1 end) as flagged_line_count
+              from events group by all)
+        qualify flagged_line_count is distinct from
+            lag(flagged_line_count) over (partition by event_type order by day)""",
+    "current_table": f"""
+        select o_key as column_a, cast(o_orderkey as varchar) as column_b, o_orderstatus as flag,
+            true as has_flag
+        from ({_KEYED_ORDERS}) where trim(o_key) <> ''""",
+    "history_table": f"""
+        select user_id, filename, processing_timestamp, flagged_line_count from ({_RUNS})
+        qualify flagged_line_count is distinct from
+            lag(flagged_line_count) over (partition by user_id order by run)""",
+    "workbook_sheets": f"""
+        select page_id, 3 as n_sheets, case when lang like 'e%' then 1 else 2 end as sheet_no,
+            case when lang like 'e%' then ' ' || lang || ' ' else 'End' end as sheet,
+            case when lang not like 'e%' then '' when name = '' then 'Ｎame' else 'Ｎame|' || name end as headers
+        from ({_PAGES})""",
+    "workbook_headers": f"""
+        select page_id, target, cast(ordinal as integer) as ordinal, header from (
+            select page_id, 'name' as target, 0 as ordinal, 'Ｎame' as header from ({_PAGES}) where lang like 'e%'
+            union all
+            select page_id, 'four', 1, name from ({_PAGES}) where lang like 'e%' and name like '4%'
             union all
-            select feed, feed || '.xlsx', '2024-02-01 06:01', later from counts where later <> earlier""",
-        "workbook_rejects": f"""
-            select cast(page_id as varchar) as feed,
-                case when lang like 'e%'
-                    then 'no header starts with ''４'' (number); headers: Ｎame'
-                        || case when name = '' then '' else ', ' || name end
-                    else 'no header starts with ''name'' (name); headers: ' end as reason
-            from ({_PAGES}) where not (lang like 'e%' and name like '4%')""",
-    }
+            select page_id, 'five', 1, name from ({_PAGES}) where lang like 'e%' and name like '5%')""",
+    "workbook_rows": """
+        select source, cast(doc_id as varchar) as column_a, md5(text) as text_md5,
+            cast(toxic as varchar) as flag
+        from documents left join labels using (doc_id)""",
+    "workbook_load": f"""
+        select feed, doc_key as column_a, lang as column_b, cast(toxic as varchar) as flag, true as has_flag
+        from ({_LOADED}) where trim(doc_key) <> ''""",
+    "workbook_counts": f"""
+        select feed, count(*) as rows_read, count(*) filter (trim(doc_key) <> '') as rows_kept,
+            count(toxic) filter (trim(doc_key) <> '') as flagged
+        from ({_LOADED}) group by feed""",
+    "ingest_current": f"""
+        select feed || '_' || lang as feed, doc_key as column_a, lang as column_b,
+            cast(toxic as varchar) as flag, true as has_flag
+        from ({_LOADED}) where trim(doc_key) <> ''""",
+    "ingest_history": f"""
+        with counts as (
+            select feed || '_' || lang as feed, count(toxic) filter (trim(doc_key) <> '') as later,
+                count(case when quality = 1 then toxic end) filter (trim(doc_key) <> '') as earlier
+            from ({_LOADED}) group by all)
+        select feed, feed || '.xlsx' as filename, '2024-02-01 06:00' as processing_timestamp,
+            earlier as flagged_line_count from counts
+        union all
+        select feed, feed || '.xlsx', '2024-02-01 06:01', later from counts where later <> earlier""",
+    "workbook_rejects": f"""
+        select cast(page_id as varchar) as feed,
+            case when lang like 'e%'
+                then 'no header starts with ''４'' (number); headers: Ｎame'
+                    || case when name = '' then '' else ', ' || name end
+                else 'no header starts with ''name'' (name); headers: ' end as reason
+        from ({_PAGES}) where not (lang like 'e%' and name like '4%')""",
+}
