@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedwell.llm import licenses, secret_scan
+from feedwell.llm.html_text import extract_text
+from feedwell.llm.jaccard import link_documents
+from feedwell.llm.neighbours import nearest
 from feedwell.llm.packing import pack_sequences
 from feedwell.llm.shared import Scratch
+from feedwell.llm.sharding import MOST_BITS, assign_shards
+from feedwell.llm.tiling import contaminated
 from feedwell.llm.token_file import write_tokens
+from feedwell.llm.toxicity import fit_toxicity
 
+#: Bytes of text in a shard.
+SHARD_BYTES = 1 << 20
 #: Folder-independent names of the vocabularies; their paths are parameters of the operators.
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -17,6 +29,22 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    vectors = _table(spark, d, "embeddings")
+    with Scratch(spark) as scratch:
+        return scratch.result(nearest(vectors, vectors.filter("vec_id % 100 = 0"), scratch))
+
+
+def op2_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of every fifth document, by a checksum of its id, are not learnt from."""
+    docs = _table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    with Scratch(spark) as scratch:
+        model = fit_toxicity(docs, _table(spark, d, "labels").filter(~held_out), scratch)
+    scored = model.score(docs).withColumn("held_out", held_out)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("sentences").alias("offending"))
+
+
 def op3_token_ids(spark: SparkSession, d: str) -> DataFrame:
     """Written as token files, then read back from them."""
     with Scratch(spark) as scratch:
@@ -24,13 +52,120 @@ def op3_token_ids(spark: SparkSession, d: str) -> DataFrame:
     return files.read()
 
 
+def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return extract_text(_table(spark, d, "pages"))
+
+
+def op5_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        return scratch.result(link_documents(_table(spark, d, "documents"), scratch, width=3, percent=90))
+
+
+def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage and the share of its words found."""
+    hits = contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+    return hits.select("doc_id", "item_id", "n_words", "covered", "coverage")
+
+
 def op7_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack_sequences(_table(spark, d, "documents"), public_tokenizers.path(BYTE_BPE), 0).drop("ids")
 
 
+def _is_kind(number: int):
+    return lambda s: s["kind"] == number
+
+
+def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    with Scratch(spark) as scratch:
+        found = secret_scan.find_secrets(docs.select("doc_id", "text"), scratch, keep_text=False)
+        counts = [
+            F.size(F.filter("_base", _is_kind(n))).cast("long").alias(f"n_{kind}")
+            for n, kind in enumerate(secret_scan.BASE)
+        ]
+        base = F.sha2(secret_scan.listed("_base"), 256).alias("base_sha256")
+        return scratch.result(found.select("doc_id", *counts, base, secret_scan.listed("_secrets").alias("spans")))
+
+
+def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, d, "documents"), licenses.known_texts(spark))
+
+
+def op10_shards(spark: SparkSession, d: str) -> DataFrame:
+    return assign_shards(_table(spark, d, "documents"), SHARD_BYTES)
+
+
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
+    "op2_toxicity": op2_toxicity,
     "op3_token_ids": op3_token_ids,
+    "op4_main_text": op4_main_text,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
+    "op8_secrets": op8_secrets,
+    "op9_licenses": op9_licenses,
+    "op10_shards": op10_shards,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+# --- the same in SQL ---------------------------------------------------------
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    folded = f"translate({text}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    words = f"regexp_replace({folded}, {_quoted(licenses.COPYRIGHT)}, chr(10), 'g')"
+    words = rf"regexp_replace(' ' || {words} || ' ', '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    words = rf"regexp_replace({words}, ' ?\n ?', ' ' || chr(10) || ' ', 'g')"
+    for pattern, instead in licenses.SPELLINGS:
+        words = f"regexp_replace({words}, {_quoted(pattern)}, {_quoted(instead.replace('$', chr(92)))}, 'g')"
+    return words
+
+
+def _joined_sql(lines: str) -> str:
+    return rf"trim(regexp_replace({lines}, '[ \n]+', ' ', 'g'))"
+
+
+def _licenses_sql() -> str:
+    known = ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in [*licenses.NOTICES.items(), *licenses.TEXTS.items()])
+    return f"""
+        with known as (
+            select distinct name as license, {_joined_sql(_canonical_sql('body'))} as whole
+            from (values {known}) t(name, body)),
+        lined as (select doc_id, {_canonical_sql('text')} as body from documents where text is not null),
+        units as (
+            select doc_id, 0 as line_no, {_joined_sql('body')} as unit from lined
+            union all
+            select doc_id, unnest(range(1, len(parts) + 1)), trim(unnest(parts))
+            from (select doc_id, string_split(body, chr(10)) as parts from lined where contains(body, chr(10))))
+        select doc_id, cast(line_no as integer) as line_no, license
+        from units join known on unit = whole where unit <> ''"""
+
+
+def _shards_sql(limit: int) -> str:
+    """The first prefix of a key's bits whose rows fit; by sums over all prefixes of up to 24 bits."""
+    return f"""
+        with keyed as (
+            select doc_id, cast(octet_length(encode(coalesce(text, ''))) as bigint) as bytes,
+                cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 14) as bigint) as bits
+            from documents),
+        levels as (
+            select *, unnest(range(25)) as depth from keyed),
+        sized as (
+            select doc_id, bytes, bits, depth,
+                sum(bytes) over (partition by depth, bits >> ({MOST_BITS} - depth)) as size
+            from levels)
+        select doc_id, bytes, cast(min(depth) as integer) as depth,
+            case min(depth) when 0 then 'all'
+                else substr(lpad(format('{{:b}}', bits), {MOST_BITS}, '0'), 1, cast(min(depth) as integer)) end as shard
+        from sized where size <= {limit} group by doc_id, bytes, bits"""
+
+
+ORACLE_SQL = {
+    "op9_licenses": _licenses_sql(),
+    "op10_shards": _shards_sql(SHARD_BYTES),
+}
