@@ -1,0 +1,23 @@
+import pytest
+from pyspark.sql import types as T
+
+DOC = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
+])
+# Names that operators use for their own columns.
+CLASH = ["score", "ids", "n", "key", "prefix", "start", "shard", "bits", "digest", "label", "toxic_", "unit"]
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """A documents table from texts or (id, text) pairs, with columns whose names operators also use."""
+
+    def make(rows, clash=True):
+        pairs = [r if isinstance(r, tuple) else (n, r) for n, r in enumerate(rows)]
+        df = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in pairs], DOC)
+        from pyspark.sql import functions as F
+
+        return df.withColumns({c: F.lit("x") for c in CLASH}) if clash else df
+
+    return make
