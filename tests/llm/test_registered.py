@@ -1,0 +1,197 @@
+"""The registered queries and the pipeline on the smallest test tables."""
+
+import glob
+import hashlib
+import os
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from tests_shared import base_spans, components_of, plain_tiles
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from feedwell.llm.chunks import load_tokenizer
+from feedwell.llm.queries import ORACLE_SQL, QUERIES, SHARD_BYTES, _shards_sql
+from feedwell.llm.shared import Scratch
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        con.execute(f"create view {os.path.basename(path).removesuffix('.parquet')} as select * from '{path}'")
+    return con
+
+
+@pytest.fixture(scope="module")
+def texts(duck):
+    return dict(duck.execute("select doc_id, coalesce(text, '') from documents").fetchall())
+
+
+def result(spark, name):
+    return QUERIES[name](spark, SF_DIR).collect()
+
+
+def test_every_operator_and_the_pipeline_are_registered():
+    names = set(entry_points.queries())
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11)) and "pipeline" in names
+    assert set(ORACLE_SQL) <= set(QUERIES) <= names and set(ORACLE_SQL) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("limit", [SHARD_BYTES, 20_000, 3_000])
+def test_shards_sql(spark, duck, limit):
+    from feedwell.llm.sharding import assign_shards
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = sorted((r.doc_id, r.bytes, r.depth, r.shard) for r in assign_shards(docs, limit).collect())
+    assert found == sorted(duck.execute(f"select doc_id, bytes, depth, shard from ({_shards_sql(limit)})").fetchall())
+
+
+def test_op1(spark, duck):
+    ids, vectors = zip(*duck.execute("select vec_id, embedding from embeddings").fetchall())
+    ids, vectors = np.array(ids), np.array(vectors, float)
+    found = {}
+    for r in result(spark, "op1_neighbours"):
+        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+    queries = ids[ids % 100 == 0]
+    assert set(found) == set(queries.tolist()) and all(len(v) == 10 for v in found.values())
+    hits = 0
+    for q in queries.tolist():
+        apart = np.sqrt(((vectors - vectors[ids == q][0]) ** 2).sum(axis=1))
+        best = [i for _, i in sorted(zip(apart, ids.tolist())) if i != q][:10]
+        hits += len(set(best) & set(found[q]))
+        assert all(abs(found[q][i] - apart[ids == i][0]) < 1e-12 for i in found[q])
+    assert hits >= 0.9 * 10 * len(queries)
+
+
+def test_op2(spark, texts):
+    rows = result(spark, "op2_toxicity")
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in rows)
+
+
+def test_op3(spark, texts):
+    tokenizer, start = load_tokenizer(public_tokenizers.path("word_bpe_49k.json")), 0
+    found = {r.doc_id: tuple(r)[1:] for r in result(spark, "op3_token_ids")}
+    assert len(found) == len(texts)
+    for i in sorted(texts):
+        ids = np.array([*tokenizer.encode(texts[i], add_special_tokens=False).ids, 2], "<u4")
+        assert found[i] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_op4(spark, duck):
+    import html
+
+    pages = dict(duck.execute("select page_id, html from pages").fetchall())
+    rows = result(spark, "op4_main_text")
+    assert len(rows) == len(pages)
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", article))
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in blocks]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_op5(spark, texts):
+    expected = components_of(texts, 3, 90)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in result(spark, "op5_jaccard_join")} == expected
+
+
+def test_op6(spark, duck, texts):
+    items = dict(duck.execute("select item_id, text from benchmark").fetchall())
+    found = {(r.doc_id, r.item_id): r.coverage for r in result(spark, "op6_decontamination")}
+    assert found and found == plain_tiles(texts, items, 5, 0.8)
+
+
+def test_op7(spark, texts):
+    tokenizer = load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces, sequences = {}, {}
+    for r in result(spark, "op7_packing"):
+        pieces.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in sequences.values():
+        own.sort()
+        assert all(o == sum(n for _, n in own[:k]) for k, (o, _) in enumerate(own)) and sum(n for _, n in own) <= 1024
+    for i, text in texts.items():
+        ids, at = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4"), 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+
+
+def test_op8(spark, texts):
+    rows = result(spark, "op8_secrets")
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = base_spans(texts[r.doc_id])
+        joined = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        counts = Counter(k for _, _, k, _ in spans)
+        assert (r.n_assign, r.n_access, r.n_hex) == (counts["assign"], counts["access"], counts["hex"])
+        assert set(joined.split(",")) <= set(r.spans.split(",")) or not joined
+
+
+def test_pipeline_stages(spark, duck, texts):
+    """Each stage against what its operator, or brute force, says of the stage's own input."""
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    labels = dict(duck.execute("select doc_id, toxic from labels").fetchall())
+    items = dict(duck.execute("select item_id, text from benchmark").fetchall())
+    with Scratch(spark) as scratch:
+        for name, stage in corpus_pipeline.STAGES:
+            before = {r.doc_id: r for r in docs.collect()}
+            docs = scratch.table(stage(spark, docs, SF_DIR))
+            rows = docs.collect()
+            own = {i: r.text or "" for i, r in before.items()}
+            if name != "packing":
+                assert docs.columns == columns
+                after = {r.doc_id: r for r in rows}
+            if name == "toxicity":
+                gone = set(before) - set(after)
+                assert all(labels.get(i, 1) == 1 for i in gone)
+                assert all(after[i] == before[i] for i in after)
+            elif name == "near_duplicates":
+                groups = components_of(own, 5, 80)
+                assert set(after) == {c for _, c in groups.values()}
+            elif name == "decontamination":
+                assert set(before) - set(after) == {i for i, _ in plain_tiles(own, items, 5, 0.8)}
+            elif name == "secrets":
+                assert set(after) == set(before)
+                for i, r in after.items():
+                    assert not base_spans(r.text) and r.n_chars == len(r.text)
+                    assert r.text == before[i].text or base_spans(own[i]) or "[SECRET]" in r.text
+            else:
+                tokenizer = load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+                total = Counter()
+                for r in rows:
+                    total[r.doc_id] += r.length
+                assert total == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in own.items()}
+
+
+def test_stages_take_odd_rows(spark, make_docs):
+    rows = [(1, None), (2, ""), (None, "no id"), (None, "no id"), (3, "same words here and there " * 9), (4, "same words here and there " * 9),
+            (5, "b"), (5, "a"), (5, "a"), (6, "long " * 40000), (7, f"token={'a1' * 9}")]
+    for clash in (False, True):
+        docs = make_docs(rows, clash)
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, SF_DIR)
+            assert kept.columns == docs.columns
+        found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+        expected = [r for r in rows if r not in [(4, rows[5][1]), (5, "b"), (7, rows[10][1])]]
+        expected.remove((5, "a"))
+        assert found == sorted([*expected, (7, "[SECRET]")], key=repr)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, make_docs([]), SF_DIR).count() == 0
