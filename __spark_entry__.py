@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import importlib.util
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import wraps
 from uuid import uuid4
 
 from pyspark import cloudpickle
@@ -15,13 +17,15 @@ from pyspark.sql import functions as F
 import feedwell
 from feedwell.functions import basename, key_text, marker_text, minute_stamp, non_blank
 from feedwell.operators import (
-    canonical_rows, change_gate, drop_blank_keys, flag_counts, history_record, keep_changes, latest_per,
-    latest_record, load_stats, missing_columns, resolve_flag, resolve_headers, resolve_headers_all,
+    canonical_rows, change_gate, decode_cells, drop_blank_keys, flag_counts, header_texts, history_record, keep_changes,
+    latest_per, latest_record, list_headers, load_stats, missing_columns, resolve_flag, resolve_headers,
+    resolve_headers_all, shown,
 )
 from feedwell.plans import FeedSpec, feed_counts, ingest_loaded, rejects, sheet_rows
+from feedwell.plans.load import kept_rows
 from feedwell.sinks import append_history, read_history, shared_folder, write_current
-from feedwell.sources import latest_files, list_headers, list_sheets, match_names, pick_sheet, scan_rows
-from feedwell.testing.books import books_of
+from feedwell.sources import count_files, latest_files, list_files, match_names, read_files, read_parts
+from feedwell.testing.books import Raw, books_of
 
 # The package's functions travel with the tasks, so that workers need no copy of it.
 cloudpickle.register_pickle_by_value(feedwell)
@@ -81,7 +85,7 @@ def _feed():
 
 
 def _candidate_count(spark, d):
-    return _listing(spark, d).groupBy(_feed().alias("feed")).agg(F.count("*").alias("files"))
+    return count_files(_listing(spark, d), _feed())
 
 
 def _latest_file(spark, d):
@@ -94,6 +98,17 @@ def _latest_files(spark, d):
     return newest.select("feed", "path", minute_stamp("modificationTime").alias("stamp"), "length")
 
 
+def _file_lines(spark, d):
+    """A table written as text files, which are then listed and read. The files stay: the result reads them."""
+    folder = shared_folder(spark)
+    lines = F.concat_ws("|", "doc_id", "lang", "source")
+    _table(spark, d, "documents").select(lines.alias("value")).write.text(folder)
+    files = list_files(spark, folder, r"^part-[^ ]+\.txt$")
+    read = read_files(files).select(F.decode("content", "utf-8").alias("text"), "length")
+    rows = read.select(F.explode(F.split("text", "\n")).alias("line"), (F.length("text") == F.col("length")).alias("whole"))
+    return rows.filter("line <> ''")
+
+
 # --- headers -----------------------------------------------------------------
 
 
@@ -149,16 +164,17 @@ def _canonical_select(spark, d):
 
 
 def _optional_flag(spark, d):
-    """Rows as scanned from sheets of which some have a flag column and some do not."""
-    place = F.when(F.col("source") < "src15", F.lit(2))
-    sheets = _labelled(spark, d).select(
-        F.array(F.col("doc_id").cast("string"), "source", F.col("toxic").cast("string")).alias("cells"),
-        place.alias("flag_at"),
-    )
-    return sheets.select(
-        F.get("cells", F.lit(0)).alias("column_a"), F.get("cells", F.lit(1)).alias("column_b"),
-        F.get("cells", F.col("flag_at")).alias("flag"), F.col("flag_at").isNotNull().alias("has_flag"),
-    )
+    """Rows of workbooks of which some have a flag column and some do not."""
+
+    def sheets(rows):
+        width = 3 if rows[0]["source"] < "src15" else 2
+        body = [[r["doc_id"], r["source"], r["toxic"]][:width] for r in rows]
+        return {"Données": [["Doc_ID", "Source", "Flag toxic"][:width], *body]}
+
+    spec = replace(_load_spec(), columns={"column_a": "doc_id", "column_b": "source"})
+    books = books_of(_labelled(spark, d).select("doc_id", "source", "toxic"), sheets, by="source")
+    rows = sheet_rows(books.withColumnRenamed("source", "feed"), spec)
+    return kept_rows(rows, spec).select("column_a", "column_b", "flag", "has_flag")
 
 
 def _load_stats(spark, d):
@@ -227,14 +243,14 @@ def _gate_batch(spark, d):
     events = _table(spark, d, "events")
     history = _user_records(events, "2024-01-15").unionByName(_user_records(events, "2024-01-30"))
     new = _user_records(events)
-    passed = change_gate(new, history, ["user_id"], ["processing_timestamp", "recorded_at"])
+    passed = change_gate(new, history, ["user_id"], ["recorded_at", "processing_timestamp"])
     return passed.select("user_id", *RECORD)
 
 
 def _gate_first(spark, d):
     records = _source_records(spark, d)
     history = read_history(spark, "feedwell_no_such_history", records.schema)
-    passed = change_gate(records, history, ["source"], ["processing_timestamp", "recorded_at"])
+    passed = change_gate(records, history, ["source"], ["recorded_at", "processing_timestamp"])
     return passed.select("source", *RECORD)
 
 
@@ -252,6 +268,19 @@ def _history_replay(spark, d):
     return changes.withColumn("day", F.col("day").cast("string"))
 
 
+def _gate_null(spark, d):
+    """Three equal runs whose feeds include NULL: one record each."""
+    feed = F.when(F.col("user_id") % 3 > 0, F.col("user_id").cast("string"))
+    counted = _table(spark, d, "events").groupBy(feed.alias("feed")).agg(
+        F.max("ts").alias("at"), F.count_if(F.col("value") > 100).alias("flagged"))
+    new = history_record(counted, F.lit("/in/all.xlsx"), F.col("at"), "flagged", keep=["feed"])
+    history = new.limit(0)
+    for _ in range(3):
+        passed = change_gate(new, history, ["feed"], ["recorded_at", "processing_timestamp"])
+        history = history.unionByName(passed)
+    return history.select("feed", *RECORD)
+
+
 # --- sinks -------------------------------------------------------------------
 
 
@@ -272,7 +301,7 @@ def _history_table(spark, d):
     for before in ("2024-01-15", "2024-01-30", None):
         new = _user_records(events, before)
         history = read_history(spark, table, new.schema)
-        passed = change_gate(new, history, ["user_id"], ["processing_timestamp", "recorded_at"])
+        passed = change_gate(new, history, ["user_id"], ["recorded_at", "processing_timestamp"])
         append_history(passed, table, path)
     return spark.table(table).select("user_id", *RECORD)
 
@@ -295,19 +324,69 @@ def _page_books(spark, d):
     return books_of(pages, sheets, by="page_id", each_row=True)
 
 
+def _page_parts(spark, d):
+    return read_parts(_page_books(spark, d), ["page_id"], "Ë", header_only=True)
+
+
 def _workbook_sheets(spark, d):
-    books = pick_sheet(list_sheets(_page_books(spark, d)), "Ë")
-    return books.select(
-        "page_id", F.size("book.sheets").alias("n_sheets"), "sheet_no", "sheet",
-        F.array_join("headers", "|").alias("headers"),
+    parts = _page_parts(spark, d)
+    return parts.select(
+        "page_id", F.size("sheets").alias("n_sheets"), "sheet_no", "sheet",
+        F.array_join(header_texts(shown("formats")), "|").alias("headers"),
     )
 
 
 def _workbook_headers(spark, d):
     """The chosen sheets' headers as a table, and the first header per target."""
-    books = pick_sheet(list_sheets(_page_books(spark, d)), "Ë")
     targets = {"name": "NÀME", "four": "4", "five": "5"}
-    return resolve_headers(list_headers(books, ["page_id"]), targets, ["page_id"])
+    headers = list_headers(_page_parts(spark, d), ["page_id"]).filter("header is not null")
+    return resolve_headers(headers, targets, ["page_id"])
+
+
+def _missing_headers(spark, d):
+    """Targets that workbooks lack; those of some languages have no header at all."""
+    targets = {"name": "NÀME", "four": "4"}
+    return missing_columns(list_headers(_page_parts(spark, d), ["page_id"]), targets, ["page_id"])
+
+
+def _decode_cells(spark, d):
+    """Orders as stored cells: long numbers, dates, elapsed times, booleans, errors, text."""
+    def cell(at, kind, style, raw):
+        stored = F.struct(F.lit(kind).alias("kind"), F.lit(style).alias("style"), raw.cast("string").alias("raw"))
+        return F.lit(at).cast("long"), stored
+
+    cells = F.create_map(
+        *cell(0, "n", 0, F.lit(-9007199254740993) - F.col("o_orderkey")),
+        *cell(1, "n", 2, F.datediff("o_orderdate", F.lit("1899-12-30"))),
+        *cell(2, "b", 0, F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)),
+        *cell(3, "e", 0, F.lit("#N/A")), *cell(4, "inlineStr", 0, F.col("o_orderpriority")),
+        *cell(5, "n", 1, F.col("o_totalprice")), *cell(6, "n", 3, F.col("o_orderkey") % 97 * 0.25),
+    )
+    parts = _table(spark, d, "orders").select(
+        "o_orderkey", F.lit(0).alias("sheet_no"), F.lit(False).alias("date1904"),
+        F.array(*map(F.lit, ("id:0", '0.00" days"', "yyyy\\-mm\\-dd", "[hh]:mm"))).alias("formats"),
+        F.array(F.struct(F.lit(1).cast("long").alias("row_no"), cells.alias("cells"))).alias("rows"),
+    )
+    names = ("whole", "day", "open", "error", "priority", "price", "elapsed")
+    rows = decode_cells(parts, ["o_orderkey"])
+    return rows.select("o_orderkey", *[F.col("cells")[n].alias(name) for n, name in enumerate(names)])
+
+
+def _workbook_cells(spark, d):
+    """Workbooks with shared strings, date styles, booleans and errors."""
+    langs = ["de", "en", "es", "fr"]
+
+    def sheets(rows):
+        body = [[
+            r["doc_id"], Raw(f'<c t="s"><v>{langs.index(r["lang"])}</v></c>'), Raw(f'<c s="1"><v>{45292 + r["doc_id"] % 100}.5</v></c>'),
+            Raw(f'<c t="b"><v>{r["doc_id"] % 2}</v></c>'), Raw('<c t="e"><v>#DIV/0!</v></c>'), -r["doc_id"],
+        ] for r in rows]
+        return {"Rows": body}, langs, '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs>'
+
+    docs = _table(spark, d, "documents").select("doc_id", "lang", "source")
+    rows = decode_cells(read_parts(books_of(docs, sheets, by="source"), ["source"]), ["source"])
+    names = ("doc_id", "lang", "day", "odd", "error", "negative")
+    return rows.select("source", *[F.col("cells")[n].alias(name) for n, name in enumerate(names)])
 
 
 def _document_rows(spark, d):
@@ -320,12 +399,10 @@ def _workbook_rows(spark, d):
         body = [[r["doc_id"], None, r["text"], r["toxic"]] for r in rows]
         return {"Intro": [["nothing"]], "Rows": [["id", None, "text", "flag"], *body]}
 
-    books = pick_sheet(list_sheets(books_of(_document_rows(spark, d), sheets, by="source")), "röws")
-    rows = scan_rows(books, ["source"]).filter(F.col("row_no") > 0)
-    return rows.select(
-        "source", F.get("cells", F.lit(0)).alias("column_a"), F.md5(F.get("cells", F.lit(2))).alias("text_md5"),
-        F.get("cells", F.lit(3)).alias("flag"),
-    )
+    parts = read_parts(books_of(_document_rows(spark, d), sheets, by="source"), ["source"], "röws")
+    rows = decode_cells(parts, ["source"]).filter(F.col("row_no") > 0)
+    cells = F.col("cells")
+    return rows.select("source", cells[0].alias("column_a"), F.md5(cells[2]).alias("text_md5"), cells[3].alias("flag"))
 
 
 def _load_spec():
@@ -355,8 +432,7 @@ def _source_books(spark, d):
 
 def _workbook_load(spark, d):
     rows = sheet_rows(_source_books(spark, d), _load_spec())
-    data = rows.filter((F.col("row_no") > 0) & non_blank("column_a"))
-    return data.select("feed", "column_a", "column_b", "flag", "has_flag")
+    return kept_rows(rows, _load_spec()).select("feed", "column_a", "column_b", "flag", "has_flag")
 
 
 def _workbook_counts(spark, d):
@@ -375,32 +451,54 @@ def _workbook_rejects(spark, d):
     return rejects(sheet_rows(books, spec)).select("feed", "reason")
 
 
-def _jobs(spark, d, flags):
-    """The whole job once per flag column, in a database of its own; gives the database."""
-    database = f"feedwell_{uuid4().hex}"
-    spark.sql(f"create database {database} location '{shared_folder(spark)}'")
+def _jobs(spark, d, runs, keep):
+    """The whole job once per run, each a function of the labelled documents that gives workbooks.
+
+    Gives the table named by ``keep``; the other tables of the job are dropped.
+    """
+    name = f"feedwell_{uuid4().hex}"
+    tables = {t: f"{name}_{t}" for t in ("current", "history", "rejects")}
     spec = replace(_load_spec(), feed=lambda name: F.substring_index(name, ".", 1))
-    labels = _table(spark, d, "labels")
-    docs = _table(spark, d, "documents").join(labels, "doc_id", "left")
-    for run, flag in enumerate(flags):
-        rows = docs.select("doc_id", F.concat_ws("_", "source", "lang").alias("feed"), "lang", flag.alias("toxic"))
+    docs = _table(spark, d, "documents").join(_table(spark, d, "labels"), "doc_id", "left")
+    for run, books in enumerate(runs):
         ingest_loaded(
-            _load_books(rows, "feed"), spec, f"{database}.current", f"{database}.history",
-            recorded_at=datetime(2024, 2, 1, 6, run),
+            books(docs), spec, tables["current"], tables["history"], tables["rejects"], recorded_at=datetime(2024, 2, 1, 6, run),
         )
-    return database
+    for table in set(tables) - {keep}:
+        spark.sql(f"drop table {tables[table]}")
+    return spark.table(tables[keep])
+
+
+def _flagged_books(flag):
+    def books(docs):
+        rows = docs.select("doc_id", F.concat_ws("_", "source", "lang").alias("feed"), "lang", flag.alias("toxic"))
+        return _load_books(rows, "feed")
+
+    return books
 
 
 def _ingest_current(spark, d):
     """The current table after one run over workbooks of all documents."""
-    database = _jobs(spark, d, [F.col("toxic")])
-    return spark.table(f"{database}.current").select("feed", "column_a", "column_b", "flag", "has_flag")
+    current = _jobs(spark, d, [_flagged_books(F.col("toxic"))], "current")
+    return current.select("feed", "column_a", "column_b", "flag", "has_flag")
 
 
 def _ingest_history(spark, d):
     """The history after two runs: flags of the good documents, then all flags."""
-    database = _jobs(spark, d, [F.when(F.col("quality") == 1, F.col("toxic")), F.col("toxic")])
-    return spark.table(f"{database}.history").select("feed", *RECORD)
+    flags = [F.when(F.col("quality") == 1, F.col("toxic")), F.col("toxic")]
+    return _jobs(spark, d, map(_flagged_books, flags), "history").select("feed", *RECORD)
+
+
+def _ingest_replaced(spark, d):
+    """The current table after a second run, with other flags, in which the English feeds are damaged."""
+
+    def damaged(docs):
+        books = _flagged_books(F.col("quality"))(docs)
+        junk = F.when(F.col("feed").endswith("_en"), F.lit(b"junk")).otherwise(F.col("content"))
+        return books.withColumn("content", junk)
+
+    current = _jobs(spark, d, [_flagged_books(F.col("toxic")), damaged], "current")
+    return current.select("feed", "column_a", "column_b", "flag", "has_flag")
 
 
 # --- registry ----------------------------------------------------------------
@@ -414,6 +512,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candidate_count": _candidate_count,
     "latest_file": _latest_file,
     "latest_files": _latest_files,
+    "file_lines": _file_lines,
     "resolve_headers": _resolve_headers,
     "resolve_headers_all": _resolve_headers_all,
     "flag_header": _flag_header,
@@ -430,18 +529,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_source": _latest_per_source,
     "change_gate_batch": _gate_batch,
     "change_gate_first": _gate_first,
+    "change_gate_null": _gate_null,
     "change_gate": _change_gate,
     "history_replay": _history_replay,
     "current_table": _current_table,
     "history_table": _history_table,
     "workbook_sheets": _workbook_sheets,
     "workbook_headers": _workbook_headers,
+    "missing_headers": _missing_headers,
+    "decode_cells": _decode_cells,
+    "workbook_cells": _workbook_cells,
     "workbook_rows": _workbook_rows,
     "workbook_load": _workbook_load,
     "workbook_counts": _workbook_counts,
     "workbook_rejects": _workbook_rejects,
     "ingest_current": _ingest_current,
     "ingest_history": _ingest_history,
+    "ingest_replaced": _ingest_replaced,
 }
 
 
@@ -460,9 +564,21 @@ def _optional(registry: str) -> dict:
     return found
 
 
+def _with_folder(query: Callable) -> Callable:
+    """The query in a session that names a shared folder: a temporary one where it names none."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedwell-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query, by name; each takes (spark, sf_dir)."""
-    return _QUERIES | _optional("QUERIES")
+    return {name: _with_folder(query) for name, query in (_QUERIES | _optional("QUERIES")).items()}
 
 
 # --- the same in SQL ---------------------------------------------------------
@@ -654,6 +770,36 @@ _SQL = {
         select feed || '_' || lang as feed, doc_key as column_a, lang as column_b,
             cast(toxic as varchar) as flag, true as has_flag
         from ({_LOADED}) where trim(doc_key) <> ''""",
+    "file_lines": r"""
+        select doc_id || '|' || lang || '|' || source as line, true as whole from documents""",
+    "change_gate_null": """
+        select case when user_id % 3 > 0 then cast(user_id as varchar) end as feed, 'all.xlsx' as filename,
+            strftime(max(ts), '%Y-%m-%d %H:%M') as processing_timestamp,
+            count(case when value > 100 then 1 end) as flagged_line_count
+        from events group by 1""",
+    "missing_headers": f"""
+        select page_id, target from ({_PAGES}), (values ('name'), ('four')) t(target)
+        where lang not like 'e%' or target = 'four' and name not like '4%'""",
+    "decode_cells": r"""
+        select o_orderkey, cast(-9007199254740993 - o_orderkey as varchar) as whole,
+            strftime(o_orderdate, '%Y-%m-%d 00:00:00') as day,
+            case when o_orderstatus = 'O' then 'True' else 'False' end as open, cast(null as varchar) as error,
+            o_orderpriority as priority,
+            case when o_totalprice = floor(o_totalprice) then cast(cast(o_totalprice as bigint) as varchar)
+                else cast(o_totalprice as varchar) end as price,
+            case when o_orderkey % 97 >= 8 then (o_orderkey % 97 // 4) || ' days, '
+                when o_orderkey % 97 >= 4 then '1 day, ' else '' end || (o_orderkey % 97 % 4 * 6) || ':00:00' as elapsed
+        from orders""",
+    "workbook_cells": r"""
+        select source, cast(doc_id as varchar) as doc_id, lang,
+            strftime(date '1899-12-30' + cast(45292 + doc_id % 100 as integer), '%Y-%m-%d 12:00:00') as day,
+            case when doc_id % 2 = 1 then 'True' else 'False' end as odd, cast(null as varchar) as error,
+            cast(-doc_id as varchar) as negative
+        from documents""",
+    "ingest_replaced": f"""
+        select feed || '_' || lang as feed, doc_key as column_a, lang as column_b,
+            cast(case when lang = 'en' then toxic else quality end as varchar) as flag, true as has_flag
+        from ({_LOADED}) where trim(doc_key) <> ''""",
     "ingest_history": f"""
         with counts as (
             select feed || '_' || lang as feed, count(toxic) filter (trim(doc_key) <> '') as later,

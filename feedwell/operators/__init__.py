@@ -1,3 +1,4 @@
+from feedwell.operators.cells import cell_text, decode_cells, header_texts, list_headers, shown
 from feedwell.operators.headers import (
     first_position, flag_position, missing_columns, resolve_flag, resolve_headers, resolve_headers_all,
 )
@@ -8,7 +9,7 @@ from feedwell.operators.rows import canonical_rows, drop_blank_keys
 from feedwell.operators.stats import flag_counts, load_stats
 
 __all__ = [
-    "RECORD", "canonical_rows", "change_gate", "drop_blank_keys", "first_position", "flag_counts",
-    "flag_position", "history_record", "keep_changes", "latest_per", "latest_record", "load_stats",
-    "missing_columns", "resolve_flag", "resolve_headers", "resolve_headers_all",
+    "RECORD", "canonical_rows", "cell_text", "change_gate", "decode_cells", "drop_blank_keys", "first_position",
+    "flag_counts", "flag_position", "header_texts", "history_record", "keep_changes", "latest_per", "latest_record",
+    "list_headers", "load_stats", "missing_columns", "resolve_flag", "resolve_headers", "resolve_headers_all", "shown",
 ]

@@ -2,10 +2,9 @@
 
 Two forms of the same rules. A *header table* has one row per header (file,
 ordinal, header) and may be of any size: each function below takes it through
-one partial + final aggregate, so a file holding a large share of all rows
+partial + final hash aggregates, so a file holding a large share of all rows
 costs no single task more than its share. A *header list* is one array per
-sheet (at most 16,384 entries, the width limit of a sheet) and is searched in
-place, without a shuffle.
+sheet and is searched in place, without a shuffle.
 
 Prefixes are parameters, so they become literals in the plan; there is no join
 of headers to prefixes.
@@ -15,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedwell.functions.names import key_text, marker_key, marker_text, prefix_key
@@ -30,6 +29,19 @@ def _keyed(headers: DataFrame, by: Sequence[str], header: str, ordinal: str) ->
     return headers.select(*by, ordinal, header, key_text(header).alias(_KEY))
 
 
+def _first_hits(hits: DataFrame, by: Sequence[str], header: str, ordinal: str) -> DataFrame:
+    """The hit with the least ordinal per group; of equal ones the least header.
+
+    The least ordinal is a hash aggregate; its few rows go back to the hits for the header.
+    """
+    least = hits.groupBy(*[F.col(c).alias(f"__by_{c}") for c in by]).agg(F.min(ordinal).alias("__least"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by])
+    held = hits.join(least, same & F.col(ordinal).eqNullSafe(F.col("__least")), "left_semi")
+    ranked = Window.partitionBy(*by).orderBy(header)
+    firsts = held.withColumn("__rank", F.row_number().over(ranked)).filter(F.col("__rank") == 1)
+    return firsts.select(*by, ordinal, header)
+
+
 def resolve_headers(
     headers: DataFrame, targets: Mapping[str, str], by: Sequence[str],
     header: str = "header", ordinal: str = "ordinal",
@@ -40,19 +52,10 @@ def resolve_headers(
     (by, target, ordinal, header) per resolved target.
     """
     found = {name: F.col(_KEY).startswith(prefix_key(p)) for name, p in targets.items()}
-    spot = F.struct(F.col(ordinal).alias("ordinal"), F.col(header).alias("header"))
-    hits = _keyed(headers, by, header, ordinal).filter(reduce(or_, found.values()))
-    firsts = hits.groupBy(*by).agg(
-        F.array(*[
-            F.struct(F.lit(name).alias("target"), F.min(F.when(match, spot)).alias("first"))
-            for name, match in found.items()
-        ]).alias("firsts")
-    )
-    return (
-        firsts.select(*by, F.inline("firsts"))
-        .filter(F.col("first").isNotNull())
-        .select(*by, "target", F.col("first.ordinal").alias(ordinal), F.col("first.header").alias(header))
-    )
+    names = F.array_compact(F.array(*[F.when(match, F.lit(name)) for name, match in found.items()]))
+    keyed = _keyed(headers, by, header, ordinal).filter(reduce(or_, found.values()))
+    hits = keyed.select(*by, ordinal, header, F.explode(names).alias("target"))
+    return _first_hits(hits, [*by, "target"], header, ordinal).select(*by, "target", ordinal, header)
 
 
 def resolve_headers_all(
@@ -85,17 +88,16 @@ def resolve_flag(
         headers.select(*by, ordinal, header, key_text(header).alias(_KEY), marker_text(header).alias(_MARK))
         .filter(_is_flag(F.col(_KEY), F.col(_MARK), prefix, markers))
     )
-    first = F.min(F.struct(F.col(ordinal).alias("ordinal"), F.col(header).alias("header")))
-    return (
-        hits.groupBy(*by).agg(first.alias("first"))
-        .select(*by, F.col("first.ordinal").alias(ordinal), F.col("first.header").alias(header))
-    )
+    return _first_hits(hits.select(*by, ordinal, header), by, header, ordinal)
 
 
 def missing_columns(
     headers: DataFrame, targets: Mapping[str, str], by: Sequence[str], header: str = "header",
 ) -> DataFrame:
-    """(by, target) for each required target that no header of the file matches."""
+    """(by, target) for each required target that no header of the file matches.
+
+    A file without any header is one row whose header is NULL, as ``list_headers`` gives it.
+    """
     keyed = headers.select(*by, key_text(header).alias(_KEY))
     seen = keyed.groupBy(*by).agg(*[
         F.bool_or(F.col(_KEY).startswith(prefix_key(p))).alias(f"__seen_{i}")

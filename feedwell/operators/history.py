@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,15 +34,23 @@ def latest_record(history: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def latest_per(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The newest row per group, by ``order``.
+    """The newest row per group, by ``order``; ties go to the greater remaining columns.
 
-    A maximum over (order, rest) combines on the map side, so a group of any
-    size sends one row per task. ``order`` should be unique within a group;
-    ties go to the greater remaining columns.
+    The newest first order value per group is a hash aggregate, combined on the map side, whose
+    result goes back to the rows; only rows that hold it, one per group if it is unique, are
+    sorted to break ties. NULL is a group like any other, and older than any value.
     """
+    first = order[0]
+    newest = df.groupBy(*[F.col(c).alias(f"__by_{c}") for c in by]).agg(F.max(first).alias("__newest"))
+    held = df.join(newest, _same([*by]) & F.col(first).eqNullSafe(F.col("__newest")), "left_semi")
     rest = [c for c in df.columns if c not in (*by, *order)]
-    newest = df.groupBy(*by).agg(F.max(F.struct(*order, *rest)).alias("__newest"))
-    return newest.select(*by, "__newest.*").select(*df.columns)
+    ranked = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in (*order, *rest)])
+    return held.withColumn("__rank", F.row_number().over(ranked)).filter(F.col("__rank") == 1).select(*df.columns)
+
+
+def _same(by: Sequence[str]) -> Column:
+    """Equal groups, NULL included: columns against those renamed to ``__by_...``."""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by])
 
 
 def change_gate(
@@ -49,15 +59,15 @@ def change_gate(
 ) -> DataFrame:
     """New records that differ from the latest record of their feed, or have none.
 
-    Only the latest record counts: A, B, A passes three times, A, A once. Both
-    sides of the join have one row per feed; no broadcast is forced, Spark
-    picks one from the measured size.
+    Only the latest record counts: A, B, A passes three times, A, A once. A NULL feed is a feed.
+    Both sides of the join have one row per feed; no broadcast is forced, Spark picks one from the
+    measured size.
     """
     latest = latest_per(history.select(*by, *order, *compare), by, order)
-    latest = latest.select(*by, F.struct(*compare).alias("__latest"))
+    latest = latest.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.struct(*compare).alias("__latest"))
     # A feed without history joins to a NULL struct, which equals no record.
     same = F.struct(*compare).eqNullSafe(F.col("__latest"))
-    return new.join(latest, list(by), "left").filter(~same).select(*new.columns)
+    return new.join(latest, _same(by), "left").filter(~same).select(*new.columns)
 
 
 def keep_changes(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from feedwell.operators.history import change_gate, history_record
 from feedwell.plans.load import feed_counts, kept_rows, rejects, sheet_rows
 from feedwell.plans.spec import FeedSpec
-from feedwell.sinks.folder import staged
+from feedwell.sinks.folder import shared_folder, staged
 from feedwell.sinks.tables import append_history, read_history, with_feed_and_time, write_current
-from feedwell.sources.files import latest_files, list_files, read_file, read_files
+from feedwell.sources.files import count_files, latest_files, list_files, read_file, read_files
 
 HISTORY_ORDER = ("recorded_at", "processing_timestamp")
-_SHOWN = 20
 
 
 @dataclass(frozen=True)
@@ -28,6 +27,8 @@ class Totals:
     rows_read: int = 0
     rows_kept: int = 0
     flagged: int = 0
+    candidates: int = 0
+    """Files whose name matched; 0 where workbooks were given and not looked for."""
 
 
 def ingest(
@@ -39,11 +40,13 @@ def ingest(
     Without a matching file nothing is touched. See ``ingest_loaded``.
     """
     files = list_files(spark, directory, spec.name_regex)
-    chosen = latest_files(files, None if spec.feed is None else spec.feed_of())
-    loaded = read_files(spark, chosen)
-    if loaded.select("path").isEmpty():
+    candidates = count_files(files).first().files
+    if not candidates:
         return Totals()
-    return ingest_loaded(loaded, spec, current_table, history_table, rejects_table, recorded_at)
+    chosen = latest_files(files, None if spec.feed is None else spec.feed_of())
+    loaded = read_files(chosen.select("path", "modificationTime", "length"))
+    done = ingest_loaded(loaded, spec, current_table, history_table, rejects_table, recorded_at)
+    return replace(done, candidates=candidates)
 
 
 def ingest_file(
@@ -62,9 +65,10 @@ def ingest_loaded(
     """Load workbooks given as (path, content), one per feed.
 
     A workbook that is damaged, has no matching sheet or lacks a required
-    column raises ``ValueError`` before any table changes; with
-    ``rejects_table`` it is listed there instead and the others are loaded; if
-    there are no others, the current table and the history stay as they are.
+    column raises ``ValueError`` before any table changes; several are listed in a folder that the
+    error names. With ``rejects_table`` they are listed there instead, the others are loaded, and
+    the current table keeps the rows that the rejected feeds had; if there are no others, the
+    current table and the history stay as they are.
 
     ``recorded_at`` without a zone is in the session's time zone; default is now.
 
@@ -82,18 +86,44 @@ def ingest_loaded(
         if rejects_table is not None:
             write_current(bad, rejects_table)
         elif rejected:
-            shown = "; ".join(f"{r.path}: {r.reason}" for r in bad.limit(_SHOWN).collect())
-            raise ValueError(f"{rejected} workbook(s) cannot be loaded: {shown}")
+            raise ValueError(_refused(bad, rejected))
 
         counts = feed_counts(rows, spec).persist()  # one row per workbook, used twice
-        sums = counts.agg(
-            F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]
-        ).first()
-        if sums[0]:
-            write_current(kept_rows(rows, spec), current_table)
-            stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
-            new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
-            changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
-            append_history(changed.select(*history.columns), history_table)
-        counts.unpersist()
+        try:
+            sums = counts.agg(
+                F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]
+            ).first()
+            if sums[0]:
+                _replace(kept_rows(rows, spec), bad, current_table)
+                stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
+                new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
+                changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
+                append_history(changed.select(*history.columns), history_table)
+        finally:
+            counts.unpersist()
     return Totals(sums[0], rejected, *sums[1:])
+
+
+def _refused(bad: DataFrame, rejected: int) -> str:
+    """What the error says; all rejects, where there are several, go to a folder that stays."""
+    one = bad.first()
+    if rejected == 1:
+        return f"1 workbook(s) cannot be loaded: {one.path}: {one.reason}"
+    folder = shared_folder(bad.sparkSession)
+    bad.write.json(folder)
+    return f"{rejected} workbook(s) cannot be loaded, listed in {folder}; one of them: {one.path}: {one.reason}"
+
+
+def _replace(kept: DataFrame, bad: DataFrame, current_table: str) -> None:
+    """Replace the current table, but for the rows of feeds that were rejected in this run."""
+    spark = kept.sparkSession
+    feeds = bad.select(F.col("feed").alias("__feed")).distinct()
+    if feeds.isEmpty() or not spark.catalog.tableExists(current_table):
+        return write_current(kept, current_table)
+    old = spark.table(current_table)
+    if "feed" not in old.columns:
+        return write_current(kept, current_table)
+    old = old.select([c for c in old.columns if c in kept.columns])
+    # Staged: a table cannot be read while it is overwritten.
+    with staged(old.join(feeds, F.col("feed").eqNullSafe(F.col("__feed")), "left_semi")) as old:
+        write_current(kept.unionByName(old, allowMissingColumns=True), current_table)

@@ -18,11 +18,14 @@ def write_current(df: DataFrame, table: str, path: str | None = None) -> None:
 
 
 def append_history(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Append rows, creating the table the first time. An empty frame appends nothing.
+    """Append rows, creating the table the first time. An empty frame writes nothing to a table that is there.
 
     Reading the latest record and appending are two steps, as in any append
     without a transaction: two runs at once on one table can both append.
     """
+    if df.sparkSession.catalog.tableExists(table) and df.isEmpty():
+        df.limit(0).unionByName(df.sparkSession.table(table).limit(0))  # raises on other columns
+        return
     writer = df.write.mode("append")
     (writer if path is None else writer.option("path", path)).saveAsTable(table)
 

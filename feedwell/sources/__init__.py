@@ -1,9 +1,8 @@
 from feedwell.sources.files import (
-    latest_files, list_files, match_names, newest_first, read_file, read_files,
+    count_files, latest_files, list_files, match_names, newest_first, read_file, read_files,
 )
-from feedwell.sources.workbook import list_headers, list_sheets, pick_sheet, scan_rows
+from feedwell.sources.workbook import read_parts
 
 __all__ = [
-    "latest_files", "list_files", "list_headers", "list_sheets", "match_names", "newest_first",
-    "pick_sheet", "read_file", "read_files", "scan_rows",
+    "count_files", "latest_files", "list_files", "match_names", "newest_first", "read_file", "read_files", "read_parts",
 ]

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedwell.functions.paths import basename
+from feedwell.operators.history import latest_per
+
+#: Names that stores have in Spark and in pyarrow, where they differ (fixed values).
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
 
 
 def list_files(
@@ -36,42 +44,66 @@ def newest_first(files: DataFrame) -> DataFrame:
     return files.orderBy(F.desc("modificationTime"), F.desc("path"))
 
 
+def count_files(files: DataFrame, feed: Column | None = None) -> DataFrame:
+    """How many files there are (``files``), or with ``feed`` how many of each feed."""
+    grouped = files.groupBy() if feed is None else files.groupBy(feed.alias("feed"))
+    return grouped.agg(F.count(F.lit(1)).alias("files"))
+
+
 def latest_files(files: DataFrame, feed: Column | None = None) -> DataFrame:
     """The newest file of all, or with ``feed`` the newest of each feed (adds ``feed``)."""
-    newest = F.max(F.struct("modificationTime", "path", "length")).alias("f")
+    listed = files.select("path", "modificationTime", "length")
     if feed is None:
-        picked = files.agg(newest).filter(F.col("f").isNotNull())
-        return picked.select("f.path", "f.modificationTime", "f.length")
-    picked = files.groupBy(feed.alias("feed")).agg(newest)
-    return picked.select("feed", "f.path", "f.modificationTime", "f.length")
+        return newest_first(listed).limit(1)
+    named = listed.withColumn("feed", feed)
+    return latest_per(named, ["feed"], ["modificationTime", "path"]).select("feed", *listed.columns)
 
 
-def read_files(spark: SparkSession, chosen: DataFrame) -> DataFrame:
-    """(path, modificationTime, length, content) of the chosen files, and of no others.
+def read_files(chosen: DataFrame, path: str = "path") -> DataFrame:
+    """The chosen rows with the bytes of their files (``content``), and of no others.
 
-    The paths go through the driver, whose file index holds every listed path
-    in any case: this is what lets the scan skip the other files, where a join
-    on the path would first read them all. The bytes stay on the executors.
+    Files are opened where the rows are: neither paths nor bytes pass through the driver, and
+    nothing is listed again. A missing file fails the task.
     """
-    paths = [_escaped(row.path) for row in chosen.select("path").collect()]
-    if not paths:
-        return (
-            spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
-        )
-    return spark.read.format("binaryFile").load(paths)
+    schema = T.StructType([*chosen.schema, T.StructField("content", T.BinaryType())])
+    at = chosen.columns.index(path)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                content = pa.array([_content(row.column(at)[0].as_py())], pa.binary())
+                yield pa.RecordBatch.from_arrays([*row.columns, content], names=schema.names)
+
+    return chosen.mapInArrow(read, schema)
+
+
+def _content(path: str) -> bytes:
+    """The bytes behind a path as Spark lists it: with a scheme, not percent-encoded."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        system, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        host, _, inner = rest.removeprefix("//").partition("/")
+        system, root = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{host}/")
+        name = f"{root.rstrip('/')}/{inner}"
+    with system.open_input_stream(name) as stream:
+        return stream.read()
 
 
 def read_file(spark: SparkSession, path: str) -> DataFrame:
-    """One file by its exact path; raises ``FileNotFoundError`` when it is missing or empty."""
+    """One file by its exact path; raises ``FileNotFoundError`` when there is no such file or it is empty."""
     loaded = spark.read.option("ignoreMissingFiles", False).format("binaryFile")
     try:
         file = loaded.load(_escaped(path))
-        found = not file.filter(F.col("length") > 0).select("path").isEmpty()
+        found = file.select("path", "length").limit(2).collect()
     except Exception as problem:
         if "PATH_NOT_FOUND" in str(problem):
             raise FileNotFoundError(path) from problem
         raise
-    if not found:
+    if len(found) != 1 or found[0].path.rpartition("/")[2] != path.rstrip("/").rpartition("/")[2]:
+        raise FileNotFoundError(f"{path} is not one file")
+    if not found[0].length:
         raise FileNotFoundError(f"{path} is empty")
     return file
 

@@ -1,37 +1,29 @@
-"""Reads the cells of one ``.xlsx`` workbook (ECMA-376) from its bytes, as text.
+"""Unpacks one ``.xlsx`` workbook (ECMA-376): its sheets, and the stored cells of a sheet.
 
-A helper for the tasks in ``workbook.py``: standard library only, one pass over
-a sheet, rows as they come. Everything else (choice of sheet and columns,
-missing words, filters) is done by Spark on the rows.
+A helper for the tasks in ``workbook.py``: standard library only. It opens the archive, follows its
+links, looks shared strings up and cuts the XML of a sheet into cells as they are stored. What a
+cell means is decided by Spark (``operators/cells.py``).
 """
 
 from __future__ import annotations
 
 import io
 import posixpath
-import re
 import zipfile
-from collections.abc import Callable, Collection, Iterator
-from datetime import datetime, timedelta
-from functools import cached_property
+from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 from xml.parsers import expat
 
-# The built-in number formats that show a date or a time (14-22,
-# 45-47), and the one of them that shows an elapsed time.
-DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
-ELAPSED_FORMATS = {46}
-
-# The size limits of a sheet.
-MAX_ROWS = 1_048_576
-MAX_COLUMNS = 16_384
-
-ERROR = ("error",)
-"""Stands for a cell that holds an error: present, but without a value."""
+#: A stored cell: position from 0, kind, style number, text.
+Cell = tuple[int, str, int, str]
 
 
 class Book:
-    """One workbook: ``sheets`` is the ordered list of (name, member of the archive)."""
+    """One workbook: ``sheets`` is the ordered list of (name, member of the archive).
+
+    ``formats`` has the number format of each cell style: its code, or ``id:`` and the number of a
+    built-in one. ``date1904`` tells which day is day 0.
+    """
 
     def __init__(self, content: bytes):
         self._zip = zipfile.ZipFile(io.BytesIO(content))
@@ -48,80 +40,38 @@ class Book:
             if links.get(ref, ("", ""))[1] in self._members:
                 self.sheets.append((sheet.attrib["name"], links[ref][1]))
         options = next(iter(_children(root, "workbookPr")), None)
-        day0_1904 = options is not None and options.get("date1904") in ("1", "true")
-        self._day0 = datetime(1904, 1, 1) if day0_1904 else datetime(1899, 12, 30)
+        self.date1904 = options is not None and options.get("date1904") in ("1", "true")
         self._parts = {kind: target for kind, target in links.values() if target in self._members}
         self._strings: list[str] = []
         self._more_strings = self._read_strings(self._parts.get("sharedStrings"))
 
-    def rows(self, member: str, wanted: Collection[int] | None = None) -> Iterator[tuple[int, list]]:
-        """(row number from 0, cells) up to the last row that holds anything.
-
-        A cell is text, None when blank, or ``ERROR``. Rows the file leaves out
-        are yielded as blank ones. Cells at other positions than ``wanted`` are
-        skipped, but they keep their row from being blank.
-        """
-        due = 0
-        with self._zip.open(member) as stream:
-            for number, cells, filled in _parse(stream, _SheetEvents(self._value, wanted)):
-                while cells and cells[-1] is None:
-                    cells.pop()
-                if cells or filled:
-                    for blank in range(due, number):
-                        yield blank, []
-                    yield number, cells
-                    due = number + 1
-
-    def _value(self, kind: str, style: str, raw: str):
-        """One cell as text; ``raw`` is not empty."""
-        if kind == "s":
-            return self._string(int(raw)) or None
-        if kind in ("inlineStr", "str"):
-            return raw
-        if kind == "b":
-            return str(bool(int(raw)))
-        if kind == "e":
-            return ERROR
-        if kind == "d":
-            return str(datetime.fromisoformat(raw)) if "T" in raw else raw
-        number = int(raw) if raw.isdecimal() else float(raw)
-        dates, spans = self._date_styles
-        if style in spans:
-            return str(timedelta(milliseconds=round(number * 86_400_000)))
-        if style in dates:
-            return self._moment(number)
-        return str(int(number)) if number == int(number) else repr(number)
-
-    def _moment(self, serial: float) -> str:
-        days, part = divmod(serial, 1)
-        span = timedelta(days=days, milliseconds=round(part * 86_400_000))
-        if 0 <= serial < 1 and span.days == 0:
-            return str((datetime.min + span).time())
-        if 0 < serial < 60 and self._day0.year == 1899:
-            # The 1900 calendar counts a 29 February 1900 that never was.
-            span += timedelta(days=1)
-        return str(self._day0 + span)
-
-    @cached_property
-    def _date_styles(self) -> tuple[set, set]:
-        """The cell styles that show a date or time, and those that show an elapsed time."""
+    @property
+    def formats(self) -> list[str]:
         if "styles" not in self._parts:
-            return set(), set()
+            return []
         root = self._xml(self._parts["styles"])
-        custom = {
-            int(f.get("numFmtId")): f.get("formatCode", "") for f in _children(root, "numFmts", "numFmt")
-        }
-        dates, elapsed = set(), set()
-        for style, xf in enumerate(_children(root, "cellXfs", "xf")):
-            fmt = int(xf.get("numFmtId", 0))
-            shows_date, shows_span = (
-                _format_kind(custom[fmt]) if fmt in custom else (fmt in DATE_FORMATS, fmt in ELAPSED_FORMATS)
-            )
-            if shows_date:
-                dates.add(str(style))
-            if shows_span:
-                elapsed.add(str(style))
-        return dates, elapsed
+        codes = {f.get("numFmtId"): f.get("formatCode", "") for f in _children(root, "numFmts", "numFmt")}
+        used = [xf.get("numFmtId", "0") for xf in _children(root, "cellXfs", "xf")]
+        return [codes.get(number, f"id:{number}") for number in used]
+
+    def rows(self, member: str) -> Iterator[tuple[int, list[Cell]]]:
+        """(row number from 0, its cells) of the rows that hold any text, in the order of the sheet."""
+        with self._zip.open(member) as stream:
+            for number, cells in _parse(stream, _SheetEvents()):
+                read = [self._read(cell) for cell in cells]
+                read = [cell for cell in read if cell[3] or cell[1] == "e"]
+                if read:
+                    yield number, read
+
+    def _read(self, cell: Cell) -> Cell:
+        """The cell with a shared string in place of its number; a number that has none is an error."""
+        at, kind, style, raw = cell
+        if kind != "s":
+            return cell
+        try:
+            return at, kind, style, self._string(int(raw))
+        except (ValueError, IndexError):
+            return at, "e", style, raw
 
     def _read_strings(self, member: str | None) -> Iterator[str]:
         if member is None:
@@ -131,6 +81,8 @@ class Book:
 
     def _string(self, index: int) -> str:
         # Read only as far as asked: a header needs few of the strings.
+        if index < 0:
+            raise IndexError(index)
         while len(self._strings) <= index:
             text = next(self._more_strings, None)
             if text is None:
@@ -159,7 +111,7 @@ class _StringEvents:
     """Shared strings, one per ``<si>``: its own text or its rich-text runs, no phonetic hints."""
 
     def __init__(self):
-        self.done: list[str] = []
+        self.done: list = []
         self._text: list[str] = []
         self._reading = self._hint = False
 
@@ -185,17 +137,14 @@ class _StringEvents:
 
 
 class _SheetEvents(_StringEvents):
-    """Rows of a sheet as (row number from 0, wanted cells, whether a skipped cell holds anything)."""
+    """Rows of a sheet as (row number from 0, cells with text)."""
 
-    def __init__(self, value: Callable, wanted: Collection[int] | None):
+    def __init__(self):
         super().__init__()
-        self._value = value
-        self._wanted = wanted
         self._columns = _Columns()
         self._number = self._at = -1
-        self._cells: list = []
+        self._cells: list[Cell] = []
         self._cell: dict = {}
-        self._filled = False
 
     def start(self, tag: str, attributes: dict) -> None:
         if tag == "c":
@@ -204,55 +153,26 @@ class _SheetEvents(_StringEvents):
             self._reading = True
         elif tag == "row":
             self._number = int(attributes["r"]) - 1 if "r" in attributes else self._number + 1
-            if self._number >= MAX_ROWS:
-                raise ValueError(f"row {self._number + 1} is beyond the end of a sheet")
             self._cells = []
             self._at = -1
-            self._filled = False
         else:
             super().start(tag, attributes)
 
     def end(self, tag: str) -> None:
         if tag == "c":
-            self._end_cell()
+            cell, text = self._cell, self._text
+            self._at = self._columns[cell["r"].rstrip("0123456789")] if "r" in cell else self._at + 1
+            if text:
+                raw = text[0] if len(text) == 1 else "".join(text)
+                self._cells.append((self._at, cell.get("t", "n"), int(cell.get("s", "0")), raw))
+                text.clear()
         elif tag == "v":
             self._reading = False
         elif tag == "row":
-            self.done.append((self._number, self._cells, self._filled))
+            self.done.append((self._number, self._cells))
         else:
             super().end(tag)
 
-    def _end_cell(self) -> None:
-        cell, text = self._cell, self._text
-        at = self._at = self._columns[cell["r"].rstrip("0123456789")] if "r" in cell else self._at + 1
-        if at >= MAX_COLUMNS:
-            raise ValueError(f"column {at + 1} is beyond the end of a sheet")
-        if not text:
-            return
-        if self._wanted is not None and at not in self._wanted:
-            # Only a shared string can be blank in spite of its text, which is a number.
-            if not self._filled:
-                self._filled = cell.get("t") != "s" or self._converted() is not None
-            text.clear()
-            return
-        value = self._converted()
-        text.clear()
-        cells = self._cells
-        if at >= len(cells):
-            cells.extend([None] * (at - len(cells)))
-            cells.append(value)
-        else:
-            cells[at] = value
-
-    def _converted(self):
-        cell, text = self._cell, self._text
-        try:
-            return self._value(
-                cell.get("t", "n"), cell.get("s", "0"), text[0] if len(text) == 1 else "".join(text)
-            )
-        except (ValueError, OverflowError, IndexError):
-            return ERROR
-
 
 def _parse(stream, events: _StringEvents) -> Iterator:
     """What ``events`` completes, chunk by chunk of the XML in ``stream``."""
@@ -297,12 +217,3 @@ def _children(node: ET.Element, *path: str) -> list[ET.Element]:
     for name in path:
         found = [child for parent in found for child in parent if _local(child) == name]
     return found
-
-
-def _format_kind(code: str) -> tuple[bool, bool]:
-    """(shows a date or time, shows an elapsed time) of a custom number format."""
-    positive = code.split(";")[0]
-    bare = re.sub(r'"[^"]*"', "", positive)
-    spans = re.search(r"\[(h{1,2}|m{1,2}|s{1,2})\]", bare, re.IGNORECASE) is not None
-    letters = re.sub(r"\[[^\]]*\]|[\\_].", "", bare)
-    return spans or re.search("[dmyhs]", letters, re.IGNORECASE) is not None, spans

@@ -1,8 +1,4 @@
-"""Workbooks as tables: sheets with their headers, and rows.
-
-Both readers work on a DataFrame with a ``content`` column and run where the
-bytes are, many workbooks per task. They are the only Python steps.
-"""
+"""Workbooks as tables of stored cells: one pass over the bytes, where they are."""
 
 from __future__ import annotations
 
@@ -13,154 +9,132 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedwell.functions.names import key_text
-from feedwell.operators.headers import first_position
-from feedwell.sources.ooxml import ERROR, Book
+from feedwell.functions.names import key_of, plain, prefix_key
+from feedwell.sources.ooxml import Book
 
-BOOK_TYPE = T.StructType([
-    T.StructField("error", T.StringType()),
-    T.StructField("sheets", T.ArrayType(T.StructType([
-        T.StructField("sheet", T.StringType()),
-        T.StructField("headers", T.ArrayType(T.StringType())),
-    ]))),
-])
-ROWS_PER_BATCH = 10_000
-BYTES_PER_BATCH = 16_000_000
+#: Rows and characters of a part of a sheet: what is held at once, not what is read.
+PART_ROWS, PART_CHARS = 1_000, 4_000_000
+#: Rows and bytes of a batch of parts.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 10_000, 16_000_000
 
-_ARROW_BOOK = pa.struct([
+_CELL = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("style", T.IntegerType()), T.StructField("raw", T.StringType()),
+])
+_CELLS = T.MapType(T.LongType(), _CELL)
+_HEAD = T.ArrayType(T.StructType([
+    T.StructField("at", T.LongType()), T.StructField("cell", _CELL), T.StructField("plain", T.StringType()),
+]))
+_PART = [
+    T.StructField("sheets", T.ArrayType(T.StringType())), T.StructField("sheet_no", T.IntegerType()),
+    T.StructField("sheet", T.StringType()), T.StructField("part_no", T.IntegerType()),
+    T.StructField("date1904", T.BooleanType()), T.StructField("formats", T.ArrayType(T.StringType())),
+    T.StructField("head", _HEAD),
+    T.StructField("rows", T.ArrayType(T.StructType([
+        T.StructField("row_no", T.LongType()), T.StructField("cells", _CELLS),
+    ]))),
+    T.StructField("error", T.StringType()),
+]
+_ARROW_CELL = pa.struct([("kind", pa.string()), ("style", pa.int32()), ("raw", pa.string())])
+_ARROW_PART = pa.schema([
+    ("sheets", pa.list_(pa.string())), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("part_no", pa.int32()),
+    ("date1904", pa.bool_()), ("formats", pa.list_(pa.string())),
+    ("head", pa.list_(pa.struct([("at", pa.int64()), ("cell", _ARROW_CELL), ("plain", pa.string())]))),
+    ("rows", pa.list_(pa.struct([("row_no", pa.int64()), ("cells", pa.map_(pa.int64(), _ARROW_CELL))]))),
     ("error", pa.string()),
-    ("sheets", pa.list_(pa.struct([("sheet", pa.string()), ("headers", pa.list_(pa.string()))]))),
 ])
+_TEXT_KINDS = ("s", "inlineStr", "str")
 
 
-def list_sheets(files: DataFrame, content: str = "content") -> DataFrame:
-    """Adds ``book``: the sheets in workbook order, each with its first row.
+def read_parts(
+    files: DataFrame, carry: Sequence[str], sheet_prefix: str | None = None, header_only: bool = False,
+    columns: Sequence[str] | None = None, content: str = "content",
+) -> DataFrame:
+    """The stored cells of each workbook's sheets, in parts of up to ``PART_ROWS`` rows.
+
+    Gives (carry, sheets, sheet_no, sheet, part_no, date1904, formats, head, rows, error). ``sheets``
+    are all names in workbook order; ``head`` are the cells of row 0, in every part, with ``plain``
+    the NFKD of text without what is not ASCII; ``rows`` leave out blank rows. A sheet has at least
+    one part. With ``sheet_prefix`` only the first sheet whose key starts with it is read, and a
+    workbook without one is one row without ``sheet_no``. ``columns`` are header prefixes: cells
+    under a text header that starts with none of them are skipped, but their rows stay.
 
-    A workbook that cannot be read gets ``book.error`` and no sheets. Only the
-    first row of each sheet and the strings it refers to are parsed.
+    Nothing but the part at hand is held. A workbook that cannot be opened, or is found damaged part
+    way, gets a row with ``error``; what came before that row must then be dropped.
     """
-    return files.withColumn("book", _book_index(content))
+    wanted = None if sheet_prefix is None else prefix_key(sheet_prefix)
+    kept = None if columns is None else tuple(prefix_key(c) for c in columns)
+    inputs = files.select(*carry, F.col(content).alias("__content"))
+    schema = T.StructType([*[inputs.schema[c] for c in carry], *_PART])
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                own = batch.slice(n, 1)
+                for part in _parts(own.column(len(carry))[0].as_py(), wanted, kept, header_only):
+                    columns = pa.RecordBatch.from_pylist([part], _ARROW_PART).columns
+                    yield pa.RecordBatch.from_arrays([*own.columns[: len(carry)], *columns], names=schema.names)
 
-@F.arrow_udf(BOOK_TYPE)
-def _book_index(content: pa.Array) -> pa.Array:
-    return pa.array([_index_one(c.as_py()) for c in content], _ARROW_BOOK)
+    return inputs.mapInArrow(lambda batches: joined(each(batches)), schema)
 
 
-def _index_one(content: bytes | None) -> dict:
+def _parts(content: bytes | None, wanted: str | None, kept: tuple | None, header_only: bool) -> Iterator[dict]:
+    blank = dict.fromkeys(_ARROW_PART.names)
     try:
         book = Book(content)
-        sheets = [{"sheet": name, "headers": _header(book, member)} for name, member in book.sheets]
+        names = [name for name, _ in book.sheets]
+        about = {**blank, "sheets": names, "part_no": 0, "date1904": book.date1904, "formats": book.formats, "rows": []}
     except Exception as problem:  # any damage makes this one workbook a reject
-        return {"error": _message(problem), "sheets": []}
-    return {"error": None, "sheets": sheets}
-
-
-def _header(book: Book, member: str) -> list[str]:
-    number, cells = next(book.rows(member), (0, []))
-    return [c if isinstance(c, str) else "" for c in cells] if number == 0 else []
+        yield {**blank, "part_no": 0, "rows": [], "error": f"unreadable workbook: {_message(problem)}"}
+        return
+    numbers = range(len(names)) if wanted is None else [n for n, s in enumerate(names) if key_of(s).startswith(wanted)][:1]
+    if wanted is not None and not numbers:
+        yield about
+    for number in numbers:
+        name, member = book.sheets[number]
+        try:
+            yield from _sheet(book.rows(member), {**about, "sheet_no": number, "sheet": name}, kept, header_only)
+        except Exception as problem:
+            yield {**about, "sheet_no": number, "sheet": name, "error": f"unreadable sheet: {_message(problem)}"}
+            if wanted is None:
+                return
+
+
+def _sheet(rows: Iterator[tuple], about: dict, kept: tuple | None, header_only: bool) -> Iterator[dict]:
+    part = {**about, "head": [], "rows": []}
+    skipped: set[int] = set()
+    size = 0
+    for row_no, cells in rows:
+        if row_no == 0:
+            part["head"] = [_header(*cell) for cell in cells]
+            if kept is not None:
+                skipped = {h["at"] for h in part["head"] if h["plain"] is not None and not key_of(h["plain"]).startswith(kept)}
+        if header_only:
+            break
+        own = [(at, {"kind": kind, "style": style, "raw": raw}) for at, kind, style, raw in cells if at not in skipped]
+        part["rows"].append({"row_no": row_no, "cells": dict(own).items()})
+        size += sum(len(cell["raw"]) for _, cell in own)
+        if len(part["rows"]) >= PART_ROWS or size >= PART_CHARS:
+            part["rows"] = _as_maps(part["rows"])
+            yield part
+            part, size = {**part, "part_no": part["part_no"] + 1, "rows": []}, 0
+    if part["rows"] or not part["part_no"]:
+        part["rows"] = _as_maps(part["rows"])
+        yield part
+
+
+def _as_maps(rows: list[dict]) -> list[dict]:
+    return [{"row_no": r["row_no"], "cells": list(r["cells"])} for r in rows]
+
+
+def _header(at: int, kind: str, style: int, raw: str) -> dict:
+    text = plain(raw) if kind in _TEXT_KINDS else None
+    return {"at": at, "cell": {"kind": kind, "style": style, "raw": raw}, "plain": text}
 
 
 def _message(problem: Exception) -> str:
     return f"{type(problem).__name__}: {problem}"
 
 
-def pick_sheet(books: DataFrame, prefix: str) -> DataFrame:
-    """Adds ``sheet_no``, ``sheet`` and ``headers`` of the first sheet whose key starts with ``prefix``.
-
-    NULL where no sheet matches. A workbook's sheet list is one array, so the
-    choice is made in place, without a shuffle.
-    """
-    return (
-        books.withColumn("__keys", F.transform("book.sheets", lambda s: key_text(s["sheet"])))
-        .withColumn("sheet_no", first_position(F.col("__keys"), prefix))
-        .withColumn("__picked", F.get("book.sheets", F.col("sheet_no")))
-        .withColumns({"sheet": F.col("__picked.sheet"), "headers": F.col("__picked.headers")})
-        .drop("__keys", "__picked")
-    )
-
-
-def list_headers(books: DataFrame, carry: Sequence[str], headers: str = "headers") -> DataFrame:
-    """The header lists as a header table: (carry, ordinal, header)."""
-    return books.select(*carry, F.posexplode(headers).alias("ordinal", "header"))
-
-
-def scan_rows(
-    books: DataFrame, carry: Sequence[str], sheet_no: str = "sheet_no", wanted: str | None = None,
-    content: str = "content",
-) -> DataFrame:
-    """Rows of the chosen sheet of each workbook: (carry, row_no, cells, error).
-
-    Row 0 is the header row; a workbook always yields at least one row. With
-    ``wanted`` (a column of positions) ``cells`` holds just those cells, in that
-    order, and a NULL position gives NULL; otherwise all cells of the row. Cells
-    are text; blank and error cells are NULL. Without a sheet number the
-    workbook yields one row without cells. If reading fails part way, its rows
-    are withheld and it yields one row with ``error``.
-    """
-    inputs = books.select(
-        *carry, F.col(content).alias("__content"), F.col(sheet_no).alias("__sheet_no"),
-        (F.lit(None).cast("array<int>") if wanted is None else F.col(wanted)).alias("__wanted"),
-    )
-    schema = T.StructType([
-        *[inputs.schema[c] for c in carry],
-        T.StructField("row_no", T.LongType()),
-        T.StructField("cells", T.ArrayType(T.StringType())),
-        T.StructField("error", T.StringType()),
-    ])
-    width = len(carry)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return joined(scan_each(batches))
-
-    def scan_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                kept = batch.slice(i, 1).columns[:width]
-                content, number, positions = (c[i].as_py() for c in batch.columns[width:])
-                for chunk in _read_one(content, number, positions):
-                    repeat = pa.array([0] * len(chunk[0]), pa.int32())
-                    yield pa.RecordBatch.from_arrays([*(c.take(repeat) for c in kept), *chunk], names=schema.names)
-
-    return inputs.mapInArrow(scan, schema)
-
-
-def _read_one(content: bytes | None, number: int | None, positions: list | None) -> list:
-    """Chunks of one workbook as (row_no, cells, error) arrays, complete or replaced by one error row."""
-    if number is None:
-        return [_chunk([0], [None])]
-    chunks: list = []
-    numbers: list = []
-    values: list = []
-    size = 0
-    wanted = None if positions is None else {p for p in positions if p is not None}
-    try:
-        book = Book(content)
-        for row_no, cells in book.rows(book.sheets[number][1], wanted):
-            if positions is not None:
-                cells = [cells[p] if p is not None and p < len(cells) else None for p in positions]
-            cells = [None if c == ERROR else c for c in cells]
-            numbers.append(row_no)
-            values.append(cells)
-            size += sum(map(len, filter(None, cells)))
-            if len(numbers) == ROWS_PER_BATCH or size >= BYTES_PER_BATCH:
-                chunks.append(_chunk(numbers, values))
-                numbers, values, size = [], [], 0
-    except Exception as problem:  # any damage makes this one workbook a reject
-        return [_chunk([0], [None], _message(problem))]
-    if not chunks and not numbers:  # an empty sheet
-        return [_chunk([0], [[None] * len(positions or [])])]
-    return [*chunks, _chunk(numbers, values)]
-
-
-def _chunk(numbers: list, values: list, error: str | None = None) -> tuple[pa.Array, pa.Array, pa.Array]:
-    return (
-        pa.array(numbers, pa.int64()),
-        pa.array(values, pa.list_(pa.string())),
-        pa.array([error] * len(numbers), pa.string()),
-    )
-
-
 def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Small batches joined into larger ones: a batch costs the same however small."""
     held: list[pa.RecordBatch] = []

@@ -78,7 +78,8 @@ def books_of(
     Each Arrow batch of each task is split by ``by`` and every part becomes one
     workbook, so there is no shuffle and no workbook larger than a batch; a
     large group is spread over many workbooks. With ``each_row`` every row
-    becomes a workbook of its own.
+    becomes a workbook of its own. ``sheets`` gives the sheets of a workbook, or all arguments of
+    ``book_bytes`` as a tuple.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +94,7 @@ def books_of(
                 yield pa.RecordBatch.from_pydict({
                     by: pa.array([key], batch.schema.field(by).type),
                     "path": [f"/books/{key}.xlsx"],
-                    "content": pa.array([book_bytes(sheets(rows))], pa.binary()),
+                    "content": pa.array([book_bytes(*made) if isinstance(made := sheets(rows), tuple) else book_bytes(made)], pa.binary()),
                 })
 
     return df.mapInArrow(write, f"{by} {df.schema[by].dataType.simpleString()}, path string, content binary")

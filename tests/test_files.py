@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from feedwell.sources import latest_files, list_files, newest_first, read_file, read_files
+from feedwell.sources import count_files, latest_files, list_files, newest_first, read_file, read_files
 
 NAMES = r"^FILE_PREFIX_[^ ]+\.xlsx$"
 
@@ -68,7 +68,7 @@ def test_newest_file_of_each_feed(spark, tmp_path):
 
 def test_empty_directory_gives_no_rows_and_a_missing_one_raises(spark, tmp_path):
     assert names(latest_files(list_files(spark, str(tmp_path), NAMES))) == []
-    assert read_files(spark, list_files(spark, str(tmp_path))).collect() == []
+    assert read_files(list_files(spark, str(tmp_path))).collect() == []
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         list_files(spark, str(tmp_path / "none")).collect()
 
@@ -78,7 +78,7 @@ def test_reads_only_the_chosen_files_with_odd_names(spark, tmp_path):
     for name in [*odd, "a1.xlsx", "ab.xlsx", "qq.xlsx", "star.xlsx"]:
         put(tmp_path, name, 1_700_000_000, name.encode())
     chosen = list_files(spark, str(tmp_path)).filter(F.element_at(F.split("path", "/"), -1).isin(odd))
-    found = read_files(spark, chosen).collect()
+    found = read_files(chosen).collect()
     assert sorted(bytes(r.content).decode() for r in found) == sorted(odd)
 
 
@@ -86,6 +86,24 @@ def test_one_file(spark, tmp_path):
     put(tmp_path, "x[1].xlsx", 1_700_000_000, b"abc")
     put(tmp_path, "empty.xlsx", 1_700_000_000, b"")
     assert bytes(read_file(spark, str(tmp_path / "x[1].xlsx")).first().content) == b"abc"
-    for name in ["empty.xlsx", "none.xlsx"]:
+    inner = tmp_path / "folder"
+    inner.mkdir()
+    put(inner, "a.xlsx", 1_700_000_000, b"a")
+    for name in ["empty.xlsx", "none.xlsx", "folder", "folder/", "*.xlsx"]:
         with pytest.raises(FileNotFoundError):
             read_file(spark, str(tmp_path / name))
+
+
+def test_counts(spark, tmp_path):
+    for name in ["north_1.xlsx", "south_1.xlsx", "north_2.xlsx"]:
+        put(tmp_path, name, 1_700_000_000)
+    files = list_files(spark, str(tmp_path))
+    feed = F.regexp_extract("path", r"([a-z]+)_[^/]*$", 1)
+    assert count_files(files).first().files == 3
+    assert {(r.feed, r.files) for r in count_files(files, feed).collect()} == {("north", 2), ("south", 1)}
+    assert count_files(files.limit(0)).first().files == 0
+
+
+def test_bytes_and_paths_stay_on_the_executors(spark, folder):
+    plan = read_files(list_files(spark, str(folder), NAMES))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Scan") == 1

@@ -55,7 +55,7 @@ def test_newest_file_is_loaded_and_the_log_grows_on_change_only(job):
     put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["old", 1, "y"]])
     put(job.folder, "FILE_PREFIX_2.xlsx", 1, [["k1", 7, "y"], [None, 8, "y"], ["k2", "007", None]])
     put(job.folder, "other.xlsx", 2, b"never read")
-    assert job.run() == Totals(1, 0, 3, 2, 1)
+    assert job.run() == Totals(1, 0, 3, 2, 1, 2)
     assert job.rows() == [("k1", "7", "y", True), ("k2", "007", None, True)]
     job.run()
     first = ("", "FILE_PREFIX_2.xlsx", "2024-01-01 00:01", 1)
@@ -74,10 +74,10 @@ def test_many_feeds_at_once(job):
     put(job.folder, "north_1.xlsx", 0, [["a", 1, "y"]])
     put(job.folder, "north_2.xlsx", 1, [["b", 1, "y"], ["c", 2, "y"]])
     put(job.folder, "south_1.xlsx", 0, [["d", 1]], head=HEAD[:2])
-    assert job.run(FEEDS) == Totals(2, 0, 3, 3, 2)
+    assert job.run(FEEDS) == Totals(2, 0, 3, 3, 2, 3)
     assert job.rows() == [("b", "1", "y", True), ("c", "2", "y", True), ("d", "1", None, False)]
     put(job.folder, "south_2.xlsx", 2, [])
-    assert job.run(FEEDS) == Totals(2, 0, 2, 2, 2)
+    assert job.run(FEEDS) == Totals(2, 0, 2, 2, 2, 4)
     assert job.log() == [
         ("north", "north_2.xlsx", "2024-01-01 00:01", 2), ("south", "south_1.xlsx", "2024-01-01 00:01", 0),
         ("south", "south_2.xlsx", "2024-01-01 00:02", 0),
@@ -105,21 +105,69 @@ def test_a_bad_workbook_raises_before_any_table_changes(job):
 def test_rejects_are_listed_and_the_others_loaded(job):
     put(job.folder, "north_1.xlsx", 0, [["a", 1, "y"]])
     put(job.folder, "south_1.xlsx", 0, b"junk")
-    assert job.run(FEEDS, rejects=True) == Totals(1, 1, 1, 1, 1)
+    assert job.run(FEEDS, rejects=True) == Totals(1, 1, 1, 1, 1, 2)
     bad = job.spark.table(job.rejects).first()
     assert (bad.feed, os.path.basename(bad.path)) == ("south", "south_1.xlsx") and "unreadable" in bad.reason
     assert [r[0] for r in job.log()] == ["north"]
     put(job.folder, "north_1.xlsx", 1, b"junk")
-    assert job.run(FEEDS, rejects=True) == Totals(0, 2, 0, 0, 0)
+    assert job.run(FEEDS, rejects=True) == Totals(0, 2, 0, 0, 0, 2)
     assert len(job.rows()) == 1 and len(job.log()) == 1 and job.spark.table(job.rejects).count() == 2
 
 
+def test_a_rejected_feed_keeps_its_rows(job):
+    for feed, key in (("north", "a"), ("south", "b"), ("west", "c")):
+        put(job.folder, f"{feed}_1.xlsx", 0, [[key, 1, "y"]])
+    job.run(FEEDS, rejects=True)
+    put(job.folder, "south_2.xlsx", 1, b"junk")
+    put(job.folder, "north_2.xlsx", 1, [["a2", 1, "y"], ["a3", 1, "y"]])
+    put(job.folder, "west_1.xlsx", 1, b"junk")
+    put(job.folder, "east_1.xlsx", 1, b"junk")
+    assert job.run(FEEDS, rejects=True) == Totals(1, 3, 2, 2, 2, 6)
+    assert [r[0] for r in job.rows()] == ["a2", "a3", "b", "c"]
+    assert len(job.log()) == 4
+    for feed in ("south", "west", "east"):
+        put(job.folder, f"{feed}_3.xlsx", 2, [["d", 1]], head=HEAD[:2])
+    assert job.run(FEEDS, rejects=True).rejected == 0
+    assert [r[0] for r in job.rows()] == ["a2", "a3", "d", "d", "d"]
+
+
+def test_every_reject_is_named(job):
+    for n in range(30):
+        put(job.folder, f"f{chr(97 + n % 26)}{'x' * (n // 26)}_1.xlsx", 0, b"junk")
+    with pytest.raises(ValueError, match=r"30 workbook\(s\).*listed in ") as refused:
+        job.run(FEEDS)
+    folder = str(refused.value).split("listed in ")[1].split(";")[0]
+    listed = job.spark.read.json(folder)
+    assert listed.count() == 30 and listed.filter("reason like '%unreadable%'").count() == 30
+
+
+def test_an_unchanged_run_writes_no_file(job):
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["a", 1, "y"]])
+    job.run()
+    files = lambda: len(job.spark.table(job.history).inputFiles())
+    before = files()
+    for _ in range(3):
+        job.run()
+    assert files() == before and len(job.log()) == 1
+
+
+def test_a_null_feed_is_a_feed(job):
+    spec = FeedSpec(**{**ONE, "feed": lambda name: F.when(name.startswith("x"), name)})
+    put(job.folder, "FILE_PREFIX_1.xlsx", 0, [["a", 1, "y"]])
+    for _ in range(3):
+        job.run(spec)
+    assert [r[0] for r in job.log()] == [None]
+    put(job.folder, "FILE_PREFIX_2.xlsx", 1, b"junk")
+    assert job.run(spec, rejects=True).rejected == 1 and len(job.rows()) == 1
+
+
 def test_one_file_by_path(job):
     put(job.folder, "any name.xlsx", 0, [["a", 1, "y"]])
     done = ingest_file(job.spark, str(job.folder / "any name.xlsx"), SPEC, job.current, job.history)
     assert done == Totals(1, 0, 1, 1, 1) and job.log()[0][1] == "any name.xlsx"
-    with pytest.raises(FileNotFoundError):
-        ingest_file(job.spark, str(job.folder / "none.xlsx"), SPEC, job.current, job.history)
+    for other in (job.folder / "none.xlsx", job.folder):
+        with pytest.raises(FileNotFoundError):
+            ingest_file(job.spark, str(other), SPEC, job.current, job.history)
 
 
 def test_staged_rows_are_dropped(job):

@@ -5,9 +5,11 @@ import zipfile
 
 import pytest
 
+from feedwell.operators import decode_cells, header_texts, list_headers, missing_columns, shown
 from feedwell.plans import FeedSpec, feed_counts, rejects, sheet_rows
 from feedwell.plans.load import kept_rows
-from feedwell.sources import list_sheets, pick_sheet, scan_rows
+from feedwell.sources import read_parts
+from feedwell.sources.workbook import PART_ROWS
 from feedwell.testing.books import Raw, book_bytes
 
 SPEC = FeedSpec(
@@ -36,9 +38,13 @@ def reason(spark, data, spec=SPEC):
     return found[0].reason if found else None
 
 
+def decoded(spark, data):
+    return decode_cells(read_parts(loaded(spark, x=data), ["path"], "s"), ["path"]).orderBy("row_no").collect()
+
+
 def cells(spark, data):
-    books = pick_sheet(list_sheets(loaded(spark, x=data)), "s")
-    return [r.cells for r in scan_rows(books, ["path"]).orderBy("row_no").collect()]
+    """The cells of each row as a list, None where there is none or an error."""
+    return [[r.cells.get(at) for at in range(max(r.cells) + 1)] for r in decoded(spark, data)]
 
 
 def test_sheet_and_columns_drift(spark):
@@ -49,9 +55,18 @@ def test_sheet_and_columns_drift(spark):
 
 def test_sheets_in_order_with_headers(spark):
     data = book_bytes({"B": [["x", None, 3]], "A": [], "Sheet": [[], ["late"]]})
-    book = list_sheets(loaded(spark, x=data)).first().book
-    assert [(s.sheet, s.headers) for s in book.sheets] == [("B", ["x", "", "3"]), ("A", []), ("Sheet", [])]
-    assert book.error is None
+    parts = read_parts(loaded(spark, x=data), ["path"], header_only=True)
+    found = parts.select("sheet_no", "sheet", header_texts(shown("formats")).alias("h"), "error").orderBy("sheet_no").collect()
+    assert [tuple(r) for r in found] == [(0, "B", ["x", "3"], None), (1, "A", [], None), (2, "Sheet", [], None)]
+    spots = list_headers(parts, ["sheet"]).collect()
+    assert {tuple(r) for r in spots} == {("B", 0, "x"), ("B", 2, "3"), ("A", None, None), ("Sheet", None, None)}
+
+
+def test_a_workbook_without_headers_lacks_every_column(spark):
+    books = loaded(spark, full=book_bytes({"S": [["Key", "x"]]}), other=book_bytes({"S": [["x"]]}), none=book_bytes({"S": []}))
+    headers = list_headers(read_parts(books, ["path"], "s", header_only=True), ["path"])
+    found = missing_columns(headers, {"k": "key", "y": "y"}, ["path"]).collect()
+    assert {tuple(r) for r in found} == {("full", "y"), ("other", "k"), ("other", "y"), ("none", "k"), ("none", "y")}
 
 
 def test_first_of_two_matching_sheets(spark):
@@ -153,9 +168,25 @@ def test_1904_calendar(spark):
 
 def test_row_numbers_with_gaps(spark):
     data = book_bytes({"S": [["h"], Raw('<row r="4"><c r="B4"><v>1</v></c></row>'), ["z"], Raw('<row r="9"/>')]})
-    books = pick_sheet(list_sheets(loaded(spark, x=data)), "s")
-    found = [(r.row_no, r.cells, r.error) for r in scan_rows(books, ["path"]).orderBy("row_no").collect()]
-    assert found == [(0, ["h"], None), (1, [], None), (2, [], None), (3, [None, "1"], None), (4, ["z"], None)]
+    assert [(r.row_no, r.cells) for r in decoded(spark, data)] == [(0, {0: "h"}), (3, {1: "1"}), (4, {0: "z"})]
+
+
+@pytest.mark.parametrize("raw,text", [
+    ("-9007199254740993", "-9007199254740993"), ("9007199254740993", "9007199254740993"), ("-007", "-7"), ("-0", "0"), ("000", "0"),
+    ("0.10000000000000001", "0.1"), ("12345678.5", "12345678.5"), ("-0.00012345", "-0.00012345"), ("1.5E-7", "1.5e-07"), ("1E3", "1000"),
+    ("1e15", "1000000000000000"), ("123456789012.25", "123456789012.25"), (" 7 ", "7"), ("1e400", None), ("nan", None), ("x", None), ("-2.0", "-2"),
+    ("-0.0", "0"), ("1e20", "100000000000000000000"),
+])
+def test_numbers(spark, raw, text):
+    found = decoded(spark, book_bytes({"S": [["h", Raw(f"<c><v>{raw}</v></c>")]]}))
+    assert found[0].cells == {0: "h", 1: text}
+
+
+def test_rows_and_columns_have_no_limit(spark):
+    far = Raw('<row r="9999999999"><c r="ZZZZZ1"><v>1</v></c><c r="A1"><v>2</v></c></row>')
+    data = sheet(HEAD, ["k", "v", "y"], far)
+    rows = sheet_rows(loaded(spark, x=data), SPEC)
+    assert kept_rows(rows, SPEC).count() == 2 and feed_counts(rows, SPEC).first()[2:] == (9_999_999_998, 2, 1)
 
 
 def test_a_prefixed_namespace(spark):
@@ -176,13 +207,12 @@ def test_a_prefixed_namespace(spark):
 def test_a_damaged_workbook_does_not_stop_the_others(spark):
     good = sheet(HEAD, ["k", "v", "y"])
     broken_xml = sheet(HEAD, *[[str(i), "v", "y"] for i in range(30_000)], [Raw("<c><v>1</c>")])
-    far = sheet(HEAD, ["k", "v", "y"], Raw('<row r="9999999999"><c><v>1</v></c></row>'))
-    wide = sheet(HEAD, ["k", "v", "y"], [Raw('<c r="ZZZZZ3"><v>1</v></c>')])
-    books = loaded(spark, far=far, wide=wide, good=good, junk=b"not a zip", cut=good[: len(good) // 2], none=b"", late=broken_xml)
+    books = loaded(spark, good=good, junk=b"not a zip", cut=good[: len(good) // 2], none=b"", late=broken_xml)
     rows = sheet_rows(books, SPEC)
     assert [(r.path, r.column_a) for r in kept_rows(rows, SPEC).collect()] == [("good", "k")]
     found = {r.path: r.reason for r in rejects(rows).collect()}
-    assert sorted(found) == ["cut", "far", "junk", "late", "none", "wide"]
+    assert sorted(found) == ["cut", "junk", "late", "none"]
+    assert rows.filter("path = 'late' and reason is null").count() > 0  # not held until its end
     assert found["late"].startswith("unreadable sheet: ") and found["junk"].startswith("unreadable workbook: ")
     assert [r.path for r in feed_counts(rows, SPEC).collect()] == ["good"]
 
@@ -201,10 +231,18 @@ def test_long_cells_come_in_bounded_batches(spark):
         "path", "`count(1)`", "length(`max(column_b)`)").orderBy("path").collect()] == [("x", 100, 400_000), ("y", 100, 400_000)]
 
 
-def test_parsing_needs_no_shuffle_and_one_pass_each(spark):
+def test_parsing_needs_no_shuffle_and_one_pass(spark):
     plan = sheet_rows(loaded(spark, x=sheet(HEAD)), SPEC)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert plan.count("ArrowEvalPython") == 1 and plan.count("MapInArrow") == 1
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_only_wanted_columns_leave_the_reader(spark):
+    data = sheet(["Column_A", "Other", 7], *[["k", "x" * 10, 1]] * (PART_ROWS + 1), ["", "only"])
+    parts = read_parts(loaded(spark, x=data), ["path"], "sheet", columns=["column_a"]).orderBy("part_no").collect()
+    assert [p.part_no for p in parts] == [0, 1] and all(len(p.head) == 3 for p in parts)
+    last = [r for p in parts for r in p.rows][-2:]
+    assert [sorted(r.cells) for r in last] == [[0, 2], []] and last[-1].row_no == PART_ROWS + 2
 
 
 @pytest.mark.parametrize("change", [
