@@ -1,19 +1,23 @@
 """Token ids of texts at the speed that scanning whole corpora needs.
 
-``WordTokens`` looks space-delimited chunks up in a table of what the tokenizer gave for them:
+``WordTokens`` looks space-delimited chunks up in a table of what the tokenizer gives for them:
 texts repeat their words, and a tokenizer that drops white space reads each chunk alone.
-``ByteTokens`` runs a byte-level vocabulary, where spaces belong to words, through its ranks.
-Both give exactly what the tokenizer gives for the whole text; the tests compare them.
+``ByteTokens`` runs a byte-level vocabulary, where spaces belong to words, over whole texts.
+Byte-pair merges run through tiktoken, with the ranks of the same vocabulary file. Both give exactly
+what the ``tokenizers`` library gives for the whole text: each task compares them on the first chunks
+that it meets, and the tests on every kind of character.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -38,10 +42,16 @@ class _Index(dict):
         return number
 
 
+def ragged(lists: list, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All values of the lists in order, and how many each list has."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype, int(sizes.sum())), sizes
+
+
 class ChunkTable:
-    """``encode`` gives, for a list of new chunks, the list of values of each."""
+    """``encode`` gives, for a list of new chunks, all their values in order and how many each has."""
 
-    def __init__(self, encode: Callable[[list], list], dtype=np.uint32):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], dtype=np.uint32):
         self.encode, self.dtype = encode, dtype
         self._clear()
 
@@ -63,10 +73,8 @@ class ChunkTable:
         return self.values[take], sizes
 
     def _add(self) -> None:
-        lists = self.encode(self.index.new)
+        flat, sizes = self.encode(self.index.new)
         self.index.new = []
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), self.dtype, int(sizes.sum()))
         self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
         self.values = np.concatenate([self.values, flat])
         self.sizes = np.concatenate([self.sizes, sizes])
@@ -94,15 +102,75 @@ def load_tokenizer(path: str) -> Tokenizer:
 
 
 class WordTokens:
-    """Ids by a tokenizer that drops white space, so that no token spans a space."""
+    """Ids by a BPE vocabulary with ends of words, after NFC and lower case, that drops white space.
+
+    Merges start from bytes of which the last of a word is marked. The mark is a control character
+    here, and a token that ends a word is its bytes and the mark. Chunks with characters outside
+    ``PLAIN``, on which libraries of different Unicode versions may differ, go through ``tokenizers``.
+    """
+
+    #: End of a word, and of a chunk, in the text given to the engine.
+    END, NEXT = "\x01", "\x02"
+    #: Latin, Greek and Cyrillic, combining marks, punctuation, kana, Chinese and Korean, assigned since long.
+    PLAIN = regex.compile(
+        r"[\x03-\u0377\u037b-\u037f\u0384-\u038a\u038e-\u03a1\u03a3-\u0527\u2010-\u205e\u3041-\u3096"
+        r"\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*"
+    )
+    #: How a text falls into words before the merges (fixed value of the vocabulary's file, besides NEXT).
+    WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}\x02]+"""
+    #: Chunks that a task compares with the library.
+    COMPARED = 500
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
+        alphabet, ranks, marks = _byte_alphabet(), {}, {1, 2}
+        for token, i in vocabulary.items():
+            letters = token.removesuffix("</w>")
+            if all(c in alphabet and alphabet[c] not in marks for c in letters):
+                ranks[bytes(alphabet[c] for c in letters) + self.END.encode() * (letters != token)] = i
+        self.next = max(ranks.values()) + 2
+        ranks[self.END.encode()], ranks[self.NEXT.encode()] = self.next - 1, self.next
+        self.engine = tiktoken.Encoding(
+            "words", pat_str=r"[^\s\x01\x02]+\x01|\x02", mergeable_ranks=ranks, special_tokens={})
+        self.words = regex.compile(self.WORDS)
+        self.compared = False
         self.table = ChunkTable(self._encode)
 
-    def _encode(self, chunks: list) -> list:
+    def _encode(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        if not self.compared:
+            self._compare([c for c in chunks if self.PLAIN.fullmatch(c)][: self.COMPARED])
+        plain = np.fromiter((self.PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
+        if plain.all():
+            return self._merged(chunks)
+        fast = self._merged([c for c, p in zip(chunks, plain) if p])
+        slow = ragged(self._library([c for c, p in zip(chunks, plain) if not p]), np.uint32)
+        sizes = np.empty(len(chunks), np.int64)
+        sizes[plain], sizes[~plain] = fast[1], slow[1]
+        values, of_plain = np.empty(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
+        values[of_plain], values[~of_plain] = fast[0], slow[0]
+        return values, sizes
+
+    def _library(self, chunks: list) -> list:
         return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
+    def _compare(self, chunks: list) -> None:
+        values, sizes = self._merged(chunks)
+        expected = ragged(self._library(chunks), np.uint32)
+        if not (np.array_equal(values, expected[0]) and np.array_equal(sizes, expected[1])):
+            raise ValueError("the vocabulary file is not of the kind that WordTokens reads")
+        self.compared = bool(chunks)
+
+    def _merged(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        if not chunks:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        text = unicodedata.normalize("NFC", self.NEXT.join(chunks) + self.NEXT)
+        text = text.replace("Σ", "σ").lower()  # lower() alone looks at the letters around a sigma
+        ids = self.engine.encode_to_numpy(self.words.sub(r"\g<0>" + self.END, text))
+        ends = np.flatnonzero(ids == self.next)
+        return ids[ids != self.next], np.diff(ends, prepend=-1) - 1
+
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; give texts of about SEGMENT characters together."""
         if sum(map(len, texts)) > 4 * SEGMENT:

@@ -19,12 +19,12 @@ spanning forest of the similarity graph, so that connected components are exact.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from feedwell.llm.arrow import Out, rows_of
 from feedwell.llm.chunks import by_size
@@ -33,11 +33,11 @@ from feedwell.llm.shared import Scratch
 from feedwell.llm.words import PlainWords, grams, mixed
 
 #: Shingles counted together when looking for frequent ones, and least sets that make one frequent there.
-COUNTED, FREQUENT = 1 << 21, 3
+COUNTED, FREQUENT = 1 << 21, 2
 #: Frequent shingles that the order knows, at most.
-KNOWN = 100_000
+KNOWN = 500_000
 #: Groups of a list that is paired at once.
-SHORT = 16
+SHORT = 64
 #: Shingles of the texts of a block.
 BLOCK_SHINGLES = 400_000
 
@@ -68,7 +68,7 @@ def _sets(batches, width: int, *extra: str) -> Iterator[tuple]:
 
 
 def _key(found: np.ndarray) -> int:
-    return int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
+    return xxh3_64_intdigest(found) - (1 << 63)
 
 
 def _frequent(docs: DataFrame, width: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
@@ -284,14 +284,18 @@ def _units(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     postings = groups.select(F.explode("prefix").alias("token"), "a", F.col("n").alias("na"))
     listed = scratch.table(_listed(postings, percent))
 
-    long = listed.filter("token is not null").select("token", "a")
+    # Two sets that short lists do not pair must share all they need in long ones.
+    held = listed.filter("token is not null").select("token", "a", "na")
+    in_long = scratch.table(held.groupBy("a", "na").agg(F.count("*").alias("m")))
+    enough = in_long.filter(F.col("m") >= 1 + F.floor(F.ceil(F.col("na") * percent / 100) / 32)).select("a")
+    long = held.select("token", "a").join(enough, "a").select("token", "a")
     # Lists of the same groups are one unit.
     told = long.groupBy("token").agg(
         F.count("*").alias("c"), F.bit_xor("a").alias("x"), F.bit_xor(F.xxhash64("a")).alias("y"))
-    kept = told.groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
+    kept = told.filter("c > 1").groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
     lists = long.join(kept, "token").select(F.xxhash64(F.lit("list"), "token").alias("unit"), "a", F.lit(False).alias("centre"))
 
-    in_long = long.groupBy("a").agg(F.count("*").alias("m"))
+    in_long = in_long.select("a", "m")
     pairs = listed.filter("token is null").groupBy("a", "na", "b", "nb").agg(F.count("*").alias("m"))
     least = 1 + F.floor(F.least("na", "nb") / 32)
     pairs = pairs.join(in_long.withColumnRenamed("m", "ma"), "a", "left")

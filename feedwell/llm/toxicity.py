@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedwell.llm.arrow import Out, rows_of
-from feedwell.llm.chunks import ChunkTable, by_size
+from feedwell.llm.chunks import ChunkTable, by_size, ragged
 from feedwell.llm.shared import Scratch
 
 #: Labelled documents that the model is fitted on, at most about so many of each label, and features it uses.
@@ -48,6 +50,19 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
 
+    def column(self, text: str) -> Column:
+        """The score of a text, as a column beside any others."""
+        weights, bias = self.weights, self.bias
+
+        @F.pandas_udf("double")
+        def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            scorer = _Scorer(weights, bias)
+            for part in parts:
+                groups = by_size(((t or "",) for t in part), 0)
+                yield pd.Series([x for g in groups for x in scorer.many([t for (t,) in g])], dtype="float64")
+
+        return score(F.col(text))
+
     def score(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """doc_id, score, predicted and the offending sentences (start, stop in code points, score).
 
@@ -81,8 +96,8 @@ class _Features:
         self.number = {name: n for n, name in enumerate(names)}
         self.table = ChunkTable(self._encode, np.int32)
 
-    def _encode(self, chunks: list) -> list:
-        return [self._of(c.casefold()) for c in chunks]
+    def _encode(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        return ragged([self._of(c.casefold()) for c in chunks], np.int32)
 
     def _of(self, chunk: str) -> list[int]:
         found = []

@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 import re
-from hashlib import blake2b
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
-from feedwell.llm.chunks import ChunkTable
+from feedwell.llm.chunks import ChunkTable, ragged
 
 #: Letters and digits of any script; what lies between separates words.
 WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-
-
 def grams(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of ``n`` words, by position: a Karp-Rabin polynomial modulo 2**64, mixed."""
     if len(words) < n:
@@ -44,8 +40,8 @@ class FoldedWords:
         self.table = ChunkTable(self._encode, np.uint64)
 
     @staticmethod
-    def _encode(chunks: list) -> list:
-        return [[_hash(w.encode()) for w in WORD.findall(c.casefold())] for c in chunks]
+    def _encode(chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        return ragged([[xxh3_64_intdigest(w) for w in WORD.findall(c.casefold())] for c in chunks], np.uint64)
 
     def of(self, text: str) -> np.ndarray:
         return self.table.rows(text.split(" "))[0]
@@ -62,7 +58,11 @@ class PlainWords:
     """Word hashes of a text: A-Z in lower case, split at ASCII white space only."""
 
     def __init__(self):
-        self.table = ChunkTable(lambda chunks: [[_hash(c)] for c in chunks], np.uint64)
+        self.table = ChunkTable(self._encode, np.uint64)
+
+    @staticmethod
+    def _encode(chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        return np.fromiter(map(xxh3_64_intdigest, chunks), np.uint64, len(chunks)), np.ones(len(chunks), np.int64)
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
