@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedwell.llm.arrow import Out, rows_of
-from feedwell.llm.chunks import WordTokens, by_size
+from feedwell.llm.chunks import WordTokens, by_size, load_tokenizer
 from feedwell.llm.shared import Scratch
 
 #: Tokens after which a block is closed; a block holds whole documents.
@@ -33,6 +33,8 @@ BLOCK_TOKENS = 1 << 18
 LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int64) + 1
 
 _TOKENS = "doc_id long, n_tokens long, ids_crc32 long, ids binary"
+#: ``n_tokens`` of the row in which a task tells how often it met each id.
+_COUNTS = -1
 _BLOCKS = (
     "file_no int, block_no int, start_in_file long, n_tokens long, "
     "doc_ids array<long>, doc_sizes array<long>, control binary, data binary"
@@ -42,11 +44,15 @@ _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
-    ranks = np.ascontiguousarray(ranks, "<u4")
-    lengths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF).astype(np.int64) + (ranks > 0xFFFFFF)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    most = int(ranks.max(initial=0))
+    width = 1 if most <= 0xFF else 2 if most <= 0xFFFF else 4
+    ranks = np.ascontiguousarray(ranks, f"<u{width}")
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = lengths - 1
+    own = codes[: len(ranks)]
+    for bits in range(8, 8 * width, 8):
+        own += ranks > (1 << bits) - 1
+    data = ranks.view(np.uint8).reshape(-1, width)
+    data = data[np.arange(width, dtype=np.uint8) <= own[:, None]]
     control = codes.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)
     return control.sum(axis=1, dtype=np.uint8).tobytes(), data.tobytes()
 
@@ -102,38 +108,49 @@ def _id_of(ranks: DataFrame) -> np.ndarray:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Ids of each whole text (null: empty) and ``end_id``, as little-endian unsigned 32-bit integers.
+    """Ids of each whole text (null: empty) and ``end_id``, as little-endian unsigned integers of ``_width`` bytes.
 
-    Rows that repeat are kept, each by itself; a null id stays null; other columns take no part.
+    Rows that repeat are kept, each by itself; a null id stays null; other columns take no part. The
+    checksum is that of 32-bit integers. A last row of each task has n_tokens -1 and counts by id.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
         tokens, out, end = WordTokens(tokenizer), Out(schema), np.array([end_id], "<u4")
+        counts, kind = np.zeros(size, np.int64), f"<u{width}"
         for group in by_size(rows_of(batches, "doc_id", "text"), 1):
-            for (key, _), ids in zip(group, tokens.many([t or "" for _, t in group])):
-                raw = np.concatenate([ids, end]).astype("<u4").tobytes()
-                if out.add((key, len(raw) // 4, zlib.crc32(raw), raw), len(raw)):
+            found = tokens.many([t or "" for _, t in group])
+            for (key, _), ids in zip(group, found):
+                ids = np.concatenate([ids, end]).astype("<u4")
+                if out.add((key, len(ids), zlib.crc32(ids), ids.astype(kind).tobytes()), width * len(ids)):
                     yield out.batch()
+            counts += np.bincount(np.concatenate(found), minlength=size)
+            counts[end_id] += len(group)
+        out.add((None, _COUNTS, 0, counts.astype("<i8").tobytes()))
         yield out.batch()
 
+    size = max(load_tokenizer(tokenizer).get_vocab_size(), end_id + 1)
+    width = _width(size)
+
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, _TOKENS)
 
 
+def _width(size: int) -> int:
+    """Bytes of an id below ``size``."""
+    return 2 if size <= 1 << 16 else 4
+
+
 def _counts(tokens: DataFrame) -> DataFrame:
-    """How often each id occurs; each task adds its own up first."""
+    """How often each id occurs, from the tasks' own counts."""
 
     def run(batches):
-        total = np.zeros(0, np.int64)
-        for (ids,) in rows_of(batches, "ids", step=64):
-            found = np.bincount(np.frombuffer(ids, "<u4"))
-            if len(found) > len(total):
-                found, total = total, found
-            total[: len(found)] += found
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
+        for (raw,) in rows_of(batches, "ids", step=16):
+            found = np.frombuffer(raw, "<i8")
+            seen = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = tokens.filter(F.col("n_tokens") == _COUNTS).select("ids")
+    return rows.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(
@@ -152,6 +169,7 @@ def write_tokens(
     for n, r in enumerate(counts):
         rank_of[r.id] = n
 
+    kind = f"<u{_width(max(load_tokenizer(tokenizer).get_vocab_size(), end_id + 1))}"
     schema = pa.schema([
         ("file_no", pa.int32()), ("block_no", pa.int32()), ("start_in_file", pa.int64()), ("n_tokens", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())), ("doc_sizes", pa.list_(pa.int64())),
@@ -163,7 +181,7 @@ def write_tokens(
         file_no = TaskContext.get().partitionId()
         for key, raw in rows:
             keys.append(key)
-            held.append(np.frombuffer(raw, "<u4"))
+            held.append(np.frombuffer(raw, kind))
             size += len(held[-1])
             if size >= BLOCK_TOKENS:
                 yield (file_no, block, start, size, keys, [len(h) for h in held], *pack(rank_of[np.concatenate(held)]))
@@ -179,5 +197,6 @@ def write_tokens(
         yield out.batch()
 
     order = ["doc_id", "n_tokens", "ids_crc32"]
-    ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    rows = tokens.filter(F.col("n_tokens") != _COUNTS)
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
     return TokenFiles(scratch.result(ordered.mapInArrow(write, _BLOCKS), "blocks"), ranks)
