@@ -3,10 +3,57 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from feedwell.llm.jaccard import link_documents
 from feedwell.llm.packing import pack_sequences
+from feedwell.llm.secret_scan import find_secrets, redact
 from feedwell.llm.shared import Scratch
+from feedwell.llm.tiling import contaminated
+from feedwell.llm.toxicity import fit_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that a model fitted on all labels calls toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    with Scratch(spark) as scratch:
+        model = fit_toxicity(docs, labels, scratch)
+    return docs.filter(model.column("text") < 0.5)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is linked by five-word shingles and a similarity of 0.8: the one with the smallest id.
+
+    Rows of one id are one document; the least text stays. Rows without an id stay.
+    """
+    with Scratch(spark) as scratch:
+        linked = scratch.table(link_documents(docs, scratch, width=5, percent=80))
+        gone = scratch.result(linked.filter("component_id <> doc_id").select("doc_id").distinct(), "gone")
+        again = linked.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+        again = scratch.result(again, "again")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    first = Window.partitionBy("doc_id").orderBy("text")
+    repeated = kept.join(again, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
+    return kept.join(again, "doc_id", "left_anti").unionByName(repeated.filter("_row = 1").drop("_row")).select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a passage of the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    with Scratch(spark) as scratch:
+        hits = scratch.result(contaminated(docs, items).select("doc_id").distinct())
+    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret replaced by a mark; ``n_chars`` follows."""
+    clean = redact(find_secrets(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast("long"))
+    return clean.select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +61,15 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), 0)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
+#: SQL cannot express the fitted model or the tokenizer: the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

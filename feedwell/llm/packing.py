@@ -33,7 +33,7 @@ SENTENCE_PENALTY, WORD_PENALTY = 2, 12
 #: Sentences beyond this many tokens may be cut at every STEP tokens.
 LONG, STEP = 256, 64
 #: Tokens that are planned at once; the last window of a run is planned again with the next.
-RUN_TOKENS = 1 << 20
+RUN_TOKENS = 1 << 18
 
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long, ids binary"

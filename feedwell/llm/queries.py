@@ -76,15 +76,12 @@ def _is_kind(number: int):
 
 
 def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
-    docs = _table(spark, d, "documents").select("doc_id", "text")
-    with Scratch(spark) as scratch:
-        found = secret_scan.find_secrets(docs.select("doc_id", "text"), scratch, keep_text=False)
-        counts = [
-            F.size(F.filter("_base", _is_kind(n))).cast("long").alias(f"n_{kind}")
-            for n, kind in enumerate(secret_scan.BASE)
-        ]
-        base = F.sha2(secret_scan.listed("_base"), 256).alias("base_sha256")
-        return scratch.result(found.select("doc_id", *counts, base, secret_scan.listed("_secrets").alias("spans")))
+    found = secret_scan.find_secrets(_table(spark, d, "documents").select("doc_id", "text"))
+    counts = [
+        F.size(F.filter("_base", _is_kind(n))).cast("long").alias(f"n_{kind}") for n, kind in enumerate(secret_scan.BASE)
+    ]
+    base = F.sha2(secret_scan.listed("_base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secret_scan.listed("_secrets").alias("spans"))
 
 
 def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
@@ -156,13 +153,12 @@ def _shards_sql(limit: int) -> str:
         levels as (
             select *, unnest(range(25)) as depth from keyed),
         sized as (
-            select doc_id, bytes, bits, depth,
-                sum(bytes) over (partition by depth, bits >> ({MOST_BITS} - depth)) as size
-            from levels)
+            select doc_id, bytes, bits, depth, sum(bytes) over bucket as size, count(*) over bucket as n
+            from levels window bucket as (partition by depth, bits >> ({MOST_BITS} - depth)))
         select doc_id, bytes, cast(min(depth) as integer) as depth,
             case min(depth) when 0 then 'all'
                 else substr(lpad(format('{{:b}}', bits), {MOST_BITS}, '0'), 1, cast(min(depth) as integer)) end as shard
-        from sized where size <= {limit} group by doc_id, bytes, bits"""
+        from sized where size <= {limit} or n = 1 group by doc_id, bytes, bits"""
 
 
 ORACLE_SQL = {

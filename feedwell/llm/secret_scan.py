@@ -6,8 +6,8 @@ battery of tests looks at it.
 
 * Ordinary names and numbers seldom change between lower case, upper case, digits and symbols. The
   number of such runs gives a p-value for "ordinary", which falls with the length of the string.
-* Chi-squared over the alphabet, runs above and below its middle, and serial correlation must all
-  fit uniform random symbols.
+* Chi-squared over the alphabet and over its kinds of symbols, runs above and below its middle, and
+  serial correlation must all fit uniform random symbols.
 
 The p-values of all candidates of the corpus go through Benjamini-Hochberg in narrow bins of their
 logarithm, so that among the strings reported at most a share ``fdr`` is expected to be ordinary.
@@ -20,8 +20,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedwell.llm.shared import Scratch
-
 #: The base kinds in order: pattern, group that must be long, its least length (fixed values).
 BASE = {
     "assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -83,15 +81,22 @@ def _minus_log_above(z: Column) -> Column:
     return F.greatest(F.lit(0.0), t) + F.log1p(F.exp(-F.abs(t)))
 
 
-def _battery(value: Column, body: Column, encoding: tuple) -> Column:
+def _battery(body: Column, alphabet: str) -> Column:
     """-ln(p) of the hypothesis "ordinary", and whether the string fits uniform random symbols."""
-    alphabet = encoding[1]
     a = len(alphabet)
     n = F.length(body).cast("double")
     symbols = F.split(body, "")
     counts = F.transform(F.array_distinct(symbols), lambda c: F.length(body) - F.length(F.replace(body, c, F.lit(""))))
     squares = F.aggregate(counts, F.lit(0.0), lambda s, k: s + k.cast("double") * k)
     chi = (squares * a / n - n - (a - 1)) / F.sqrt(2 * (a - 1) * (1 - 1 / n))
+    kinds_of = [(c, sum(x in c for x in alphabet) / a) for c in (_LOWER, _LOWER.upper(), _DIGITS, "+/_=-")]
+    kinds_of = [(c, share) for c, share in kinds_of if share]
+    by_kind = F.lit(0.0)
+    for c, share in kinds_of:
+        off = n - F.length(F.translate(body, c, "")) - n * share
+        by_kind = by_kind + off * off / (n * share)
+    freedom = len(kinds_of) - 1
+    kinds_z = (by_kind - freedom) / math.sqrt(2 * freedom)
     halves = F.translate(body, alphabet, "L" * (a // 2) + "H" * (a - a // 2))
     runs = F.length(F.regexp_replace(halves, r"(.)\1+", "$1"))
     runs_z = (runs - (n + 1) / 2) / F.sqrt((n - 1) / 4)
@@ -102,16 +107,16 @@ def _battery(value: Column, body: Column, encoding: tuple) -> Column:
     changes = F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) - 1
     expected = CHANGE * (n - 1)
     z = (changes - 0.5 - expected) / F.sqrt(expected * (1 - CHANGE))
-    fits = (chi < FIT) & (F.abs(runs_z) < FIT) & (F.abs(serial) < FIT) & (n * math.log2(a) >= LEAST_BITS)
+    fits = (chi < FIT) & (kinds_z < FIT) & (F.abs(runs_z) < FIT) & (F.abs(serial) < FIT) & (n * math.log2(a) >= LEAST_BITS)
     return F.struct(_minus_log_above(z).alias("evidence"), fits.alias("fits"))
 
 
 def _judged(span: Column) -> Column:
     body = F.rtrim(span["value"], F.lit("="))
-    result = None
+    result = F.struct(F.lit(0.0).alias("evidence"), F.lit(False).alias("fits"))
     for pattern, alphabet in reversed(ENCODINGS.values()):
-        battery = _battery(span["value"], body, (pattern, alphabet))
-        result = battery if result is None else F.when(span["value"].rlike(pattern), battery).otherwise(result)
+        own = span["value"].rlike(pattern) & (F.length(body) > 2)
+        result = F.when(own, _battery(body, alphabet)).otherwise(result)
     return F.struct(span["start"].alias("start"), span["stop"].alias("stop"), result.alias("test"))
 
 
@@ -143,35 +148,33 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def threshold(scanned: DataFrame, fdr: float) -> float:
     """Least evidence -ln(p) that Benjamini-Hochberg accepts over all candidates; reads at most BINS counts."""
-    evidence = scanned.select(F.explode("_random.test.evidence").alias("e"))
-    bins = evidence.select(F.least(F.floor(F.col("e") / BIN), F.lit(BINS)).alias("bin")).groupBy("bin").count().collect()
-    tried = scanned.agg(F.sum("_tried")).first()[0] or 0
-    passed, least = 0, math.inf
-    for row in sorted(bins, key=lambda r: -r.bin):
+    # One more bin, below zero, counts those that a test has refused.
+    level = F.transform("_random", lambda s: F.least(F.floor(s["test"]["evidence"] / BIN), F.lit(BINS)).cast("int"))
+    refused = F.array_repeat(F.lit(-1), F.col("_tried") - F.size("_random"))
+    bins = scanned.select(F.explode(F.concat(level, refused)).alias("bin")).groupBy("bin").count().collect()
+    tried, passed, least = sum(row["count"] for row in bins), 0, math.inf
+    for row in sorted((r for r in bins if r.bin >= 0), key=lambda r: -r.bin):
         passed += row["count"]
         if math.exp(-row.bin * BIN) <= fdr * passed / tried:
             least = row.bin * BIN
     return least
 
 
-def find_secrets(
-    docs: DataFrame, scratch: Scratch, fdr: float = 0.01, text: str = "text", keep_text: bool = True
-) -> DataFrame:
-    """``docs`` with ``_secrets``: structs start, kind, stop, by start, then kind.
+def find_secrets(docs: DataFrame, fdr: float = 0.01, text: str = "text") -> DataFrame:
+    """``docs`` with ``_base`` and ``_secrets``: structs start, kind, stop, by start, then kind.
 
-    Kinds are numbered as in BASE, then ``len(BASE)`` for strings that look random. Null and empty texts have
-    none; rows that repeat are kept; an empty table stays empty. Without ``keep_text`` the text is left out. Columns whose names begin with
-    ``_`` and clash with those added are refused.
+    Kinds are numbered as in BASE, then ``len(BASE)`` for strings that look random; ``_base`` lacks those. Null
+    and empty texts have none; rows that repeat are kept; an empty table stays empty. Columns whose
+    names begin with ``_`` are refused. Texts are read twice: the threshold needs all candidates.
     """
     clash = {c for c in docs.columns if c.startswith("_")}
     if clash:
         raise ValueError(f"columns with a leading underscore are reserved: {sorted(clash)}")
-    scanned = scan(docs, text)
-    scanned = scratch.table(scanned if keep_text else scanned.drop(text))
-    least = F.lit(threshold(scanned, fdr))
+    least = F.lit(threshold(scan(docs.select(text), text).select("_random", "_tried"), fdr))
     added = F.filter("_random", lambda s: s["test"]["evidence"] >= least)
     added = F.transform(added, _of_kind(len(BASE)))
-    return scanned.withColumn("_secrets", F.sort_array(F.concat("_base", added))).drop("_random", "_tried")
+    found = scan(docs, text).withColumn("_secrets", F.sort_array(F.concat("_base", added)))
+    return found.drop("_random", "_tried")
 
 
 def listed(column: str) -> Column:

@@ -1,7 +1,7 @@
 """Shards by extendible hashing: a directory over the leading bits of a hash.
 
 Rows go by the bits of the md5 of their key. A bucket is a prefix of bits; one that holds more bytes
-than the limit is split on the next bit, all others stay as they are. Only sizes by prefix are
+than the limit is split on the next bit, all others (and single rows) stay as they are. Only sizes by prefix are
 gathered, never rows. Rows that share all ``MOST_BITS`` bits (repeated keys) cannot be split
 that way: such a bucket gets numbered overflow pages, each within the limit.
 """
@@ -42,7 +42,7 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         cells = cells.withColumn("prefix", F.expr(f"shiftright(cell, {depth} - depth)"))
         sums = cells.groupBy("depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
         end = F.col("depth") == depth
-        over = F.col("bytes") > limit
+        over = (F.col("bytes") > limit) & (F.col("n") > 1)
         # A bucket fits, or has no bits left, and its parent did not fit.
         parent = sums.filter(over).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("above"))
         child = sums.withColumn("above", F.shiftright("prefix", 1))
@@ -62,14 +62,15 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
     """Key, bytes (UTF-8 bytes of the text, null: 0), shard name and depth of every row.
 
     The name is the bucket's bits, or ``all`` for the only bucket, with ``+n`` for an overflow page.
-    A row larger than the limit has a page of its own. Repeated rows count each; an empty table
+    A row larger than the limit has a bucket or a page of its own. Repeated rows count each; an empty table
     gives no rows; other columns take no part.
     """
     rows = docs.select(
         F.col(key).alias("key"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
         key_bits(key).alias("bits"),
     )
-    buckets = directory(rows.select("bits", "bytes"), limit).select("depth", "prefix", F.col("bytes").alias("size"))
+    buckets = directory(rows.select("bits", "bytes"), limit)
+    buckets = buckets.select("depth", "prefix", ((F.col("bytes") > limit) & (F.col("n") > 1)).alias("over"))
     depths = [r.depth for r in buckets.select("depth").distinct().collect()]  # MOST_BITS + 1 at most
     # A bucket's prefix at each depth that occurs: an equality join, whatever the depth.
     levels = F.explode(F.array(*[F.lit(n) for n in depths])) if depths else F.lit(0)
@@ -78,14 +79,13 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
     placed = placed.join(buckets, ["depth", "prefix"])
     name = F.when(F.col("depth") == 0, "all").otherwise(
         F.expr(f"substring(lpad(bin(bits), {MOST_BITS}, '0'), 1, depth)"))
-    over = F.col("size") > limit
-    fitting = placed.filter(~over).withColumn("shard", name)
+    fitting = placed.filter("not over").withColumn("shard", name)
     # Only rows with equal bits are here. Two pages' worth of running bytes never share a page.
     pages = Window.partitionBy("bits").orderBy("bytes", "key").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("bytes").over(pages), F.lit(0))
     alone = F.col("bytes") > limit // 2
     page = F.when(alone, F.concat(F.lit("r"), F.row_number().over(Window.partitionBy("bits").orderBy("bytes", "key"))))
     page = page.otherwise(F.floor(before / (limit - limit // 2)).cast("string"))
-    paged = placed.filter(over).withColumn("shard", F.concat(name, F.lit("+"), page))
+    paged = placed.filter("over").withColumn("shard", F.concat(name, F.lit("+"), page))
     out = fitting.unionByName(paged)
     return out.select(F.col("key").alias(key), "bytes", "shard", F.col("depth").cast("int").alias("depth"))
