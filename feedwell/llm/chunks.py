@@ -48,32 +48,40 @@ def ragged(lists: list, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), dtype, int(sizes.sum())), sizes
 
 
+Encoder = Callable[[list], tuple[np.ndarray, np.ndarray]]
+"""Gives, for a list of chunks, all their values in order and how many each has."""
+
+
 class ChunkTable:
-    """``encode`` gives, for a list of new chunks, all their values in order and how many each has."""
+    """The values of each chunk, found once.
+
+    It does not hold its encoder, which may hold the table: a cycle would keep a task's table in
+    memory long after the task.
+    """
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], dtype=np.uint32):
-        self.encode, self.dtype = encode, dtype
+    def __init__(self, dtype=np.uint32):
+        self.dtype = dtype
         self._clear()
 
     def _clear(self) -> None:
         self.index = _Index()
         self.values, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def rows(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self, chunks: list, encode: Encoder) -> tuple[np.ndarray, np.ndarray]:
         """All values of the chunks in order, and how many each chunk has."""
         if len(self.index) > KEPT:
             self._clear()
         at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
         if self.index.new:
-            self._add()
+            self._add(encode)
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         take = np.repeat(self.starts[at] - (ends - sizes), sizes)
         take += np.arange(len(take))
         return self.values[take], sizes
 
-    def _add(self) -> None:
-        flat, sizes = self.encode(self.index.new)
+    def _add(self, encode: Encoder) -> None:
+        flat, sizes = encode(self.index.new)
         self.index.new = []
         self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
         self.values = np.concatenate([self.values, flat])
@@ -136,7 +144,7 @@ class WordTokens:
             "words", pat_str=r"[^\s\x01\x02]+\x01|\x02", mergeable_ranks=ranks, special_tokens={})
         self.words = regex.compile(self.WORDS)
         self.compared = False
-        self.table = ChunkTable(self._encode)
+        self.table = ChunkTable()
 
     def _encode(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
         if not self.compared:
@@ -176,7 +184,7 @@ class WordTokens:
         if sum(map(len, texts)) > 4 * SEGMENT:
             return [self._long(t) for t in texts]
         parts = [t.split(" ") for t in texts]
-        values, sizes = self.table.rows(list(chain.from_iterable(parts)))
+        values, sizes = self.table.rows(list(chain.from_iterable(parts)), self._encode)
         chunk_ends = np.cumsum(list(map(len, parts)))
         ends = np.concatenate([[0], np.cumsum(sizes)])[chunk_ends]
         return np.split(values, ends[:-1])
@@ -186,7 +194,7 @@ class WordTokens:
         while start <= len(text):
             cut = text.find(" ", start + SEGMENT) if len(text) - start > SEGMENT else -1
             cut = len(text) if cut < 0 else cut
-            ids.append(self.table.rows(text[start:cut].split(" "))[0])
+            ids.append(self.table.rows(text[start:cut].split(" "), self._encode)[0])
             start = cut + 1
         return np.concatenate(ids)
 

@@ -94,7 +94,7 @@ class _Features:
 
     def __init__(self, names: list[str]):
         self.number = {name: n for n, name in enumerate(names)}
-        self.table = ChunkTable(self._encode, np.int32)
+        self.table = ChunkTable(np.int32)
 
     def _encode(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
         return ragged([self._of(c.casefold()) for c in chunks], np.int32)
@@ -110,7 +110,7 @@ class _Features:
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.split(" ") for t in texts]
-        values, sizes = self.table.rows([c for p in parts for c in p])
+        values, sizes = self.table.rows([c for p in parts for c in p], self._encode)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(p) for p in parts])]
         return np.split(values, ends[:-1])
 

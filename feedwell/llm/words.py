@@ -37,19 +37,19 @@ class FoldedWords:
     """Word hashes of a text, after case folding and without punctuation."""
 
     def __init__(self):
-        self.table = ChunkTable(self._encode, np.uint64)
+        self.table = ChunkTable(np.uint64)
 
     @staticmethod
     def _encode(chunks: list) -> tuple[np.ndarray, np.ndarray]:
         return ragged([[xxh3_64_intdigest(w) for w in WORD.findall(c.casefold())] for c in chunks], np.uint64)
 
     def of(self, text: str) -> np.ndarray:
-        return self.table.rows(text.split(" "))[0]
+        return self.table.rows(text.split(" "), self._encode)[0]
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """The words of each text; fewer calls than one by one."""
         parts = [t.split(" ") for t in texts]
-        values, sizes = self.table.rows([c for p in parts for c in p])
+        values, sizes = self.table.rows([c for p in parts for c in p], self._encode)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(p) for p in parts])]
         return np.split(values, ends[:-1])
 
@@ -58,7 +58,7 @@ class PlainWords:
     """Word hashes of a text: A-Z in lower case, split at ASCII white space only."""
 
     def __init__(self):
-        self.table = ChunkTable(self._encode, np.uint64)
+        self.table = ChunkTable(np.uint64)
 
     @staticmethod
     def _encode(chunks: list) -> tuple[np.ndarray, np.ndarray]:
@@ -66,5 +66,5 @@ class PlainWords:
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        values, _ = self.table.rows([c for p in parts for c in p])
+        values, _ = self.table.rows([c for p in parts for c in p], self._encode)
         return np.split(values, np.cumsum([len(p) for p in parts])[:-1])
