@@ -26,7 +26,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 #: Characters of text that are split at once; bounds the Python strings in memory.
 SEGMENT = 1 << 20
 #: Distinct chunks kept; beyond it the table starts anew.
-KEPT = 600_000
+KEPT = 800_000
 
 
 class _Index(dict):
@@ -65,27 +65,28 @@ class ChunkTable:
 
     def _clear(self) -> None:
         self.index = _Index()
-        self.values, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.values, self.starts, self.sizes = np.empty(0, self.dtype), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def rows(self, chunks: list, encode: Encoder) -> tuple[np.ndarray, np.ndarray]:
         """All values of the chunks in order, and how many each chunk has."""
         if len(self.index) > KEPT:
             self._clear()
-        at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        at = np.fromiter(map(self.index.__getitem__, chunks), np.int32, len(chunks))
         if self.index.new:
             self._add(encode)
         sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int32)
         take = np.repeat(self.starts[at] - (ends - sizes), sizes)
-        take += np.arange(len(take))
+        take += np.arange(len(take), dtype=np.int32)
         return self.values[take], sizes
 
     def _add(self, encode: Encoder) -> None:
         flat, sizes = encode(self.index.new)
         self.index.new = []
-        self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
+        starts = len(self.values) + np.cumsum(sizes) - sizes
+        self.starts = np.concatenate([self.starts, starts.astype(np.int32)])
         self.values = np.concatenate([self.values, flat])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
 
 
 def by_size(rows: Iterable[tuple], text: int, most: int = SEGMENT) -> Iterator[list[tuple]]:
@@ -149,9 +150,9 @@ class WordTokens:
     def _encode(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
         if not self.compared:
             self._compare([c for c in chunks if self.PLAIN.fullmatch(c)][: self.COMPARED])
-        plain = np.fromiter((self.PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
-        if plain.all():
+        if self.PLAIN.fullmatch("".join(chunks)):
             return self._merged(chunks)
+        plain = np.fromiter((self.PLAIN.fullmatch(c) is not None for c in chunks), bool, len(chunks))
         fast = self._merged([c for c, p in zip(chunks, plain) if p])
         slow = ragged(self._library([c for c, p in zip(chunks, plain) if not p]), np.uint32)
         sizes = np.empty(len(chunks), np.int64)

@@ -30,7 +30,7 @@ from feedwell.llm.shared import Scratch
 BLOCK_TOKENS = 1 << 18
 
 #: Bytes of each of the four values of a control byte, lowest bits first.
-LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int64) + 1
+LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.uint8) + np.uint8(1)
 
 _TOKENS = "doc_id long, n_tokens long, ids_crc32 long, ids binary"
 #: ``n_tokens`` of the row in which a task tells how often it met each id.
@@ -60,9 +60,10 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` values behind ``pack``'s two streams."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    starts = np.cumsum(lengths) - lengths
     stream = np.frombuffer(data, np.uint8)
-    values = stream[starts].astype(np.uint32) if n else np.empty(0, np.uint32)
+    starts = np.cumsum(lengths, dtype=np.int32 if len(stream) < 1 << 31 else np.int64)
+    starts -= lengths
+    values = stream[starts].astype(np.uint32)
     for byte in range(1, int(lengths.max(initial=1))):
         more = np.flatnonzero(lengths > byte)
         values[more] |= stream[starts[more] + byte].astype(np.uint32) << np.uint32(8 * byte)
