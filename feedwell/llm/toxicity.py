@@ -247,7 +247,9 @@ def fit_toxicity(
     # About twice ``sample`` ids of two numbers each: a bounded broadcast.
     chosen = F.broadcast(known.filter(part < rate))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")
-    rows = scratch.table(rows.select("text", "toxic"))
+    # A text with many copies would make all its words telling.
+    rows = scratch.table(rows.groupBy(F.xxhash64("text")).agg(
+        F.any_value("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"))
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return ToxicityModel({}, -20.0)
