@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib.util
+import re
 import tempfile
 from collections.abc import Callable
 from dataclasses import replace
@@ -565,11 +566,12 @@ def _optional(registry: str) -> dict:
 
 
 def _with_folder(query: Callable) -> Callable:
-    """The query in a session that names a shared folder: a temporary one where it names none."""
+    """The query in a session that names a shared folder: a temporary one where a local session names none."""
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
+        one_process = re.match(r"local(\[|$)", spark.sparkContext.master)
+        if one_process and spark.conf.get("spark.checkpoint.dir", None) is None:
             spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedwell-"))
         return query(spark, sf_dir)
 
