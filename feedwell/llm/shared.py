@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -13,13 +14,14 @@ class Scratch:
 
     It lies under ``spark.checkpoint.dir``, so a lost executor costs no staged row. A result that
     outlives the block goes through ``result``: its folder stays, as the returned table reads it.
-    Where the setting is missing (tests, notebooks) a temporary folder is set for the session.
+    Where the setting is missing, a session of one process (tests, notebooks) gets a temporary folder;
+    any other raises.
     """
 
     def __init__(self, spark: SparkSession):
         root = spark.conf.get("spark.checkpoint.dir", None)
         if root is None:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="feedwell-")
             spark.conf.set("spark.checkpoint.dir", root)
