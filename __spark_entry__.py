@@ -174,7 +174,7 @@ def _optional_flag(spark, d):
 
     spec = replace(_load_spec(), columns={"column_a": "doc_id", "column_b": "source"})
     books = books_of(_labelled(spark, d).select("doc_id", "source", "toxic"), sheets, by="source")
-    rows = sheet_rows(books.withColumnRenamed("source", "feed"), spec)
+    rows = _parsed(spark, books.withColumnRenamed("source", "feed"), spec)
     return kept_rows(rows, spec).select("column_a", "column_b", "flag", "has_flag")
 
 
@@ -338,10 +338,11 @@ def _workbook_sheets(spark, d):
 
 
 def _workbook_headers(spark, d):
-    """The chosen sheets' headers as a table, and the first header per target."""
+    """The chosen sheets' headers as a table, and the first header per target. The table stays: the result reads it."""
     targets = {"name": "NÀME", "four": "4", "five": "5"}
-    headers = list_headers(_page_parts(spark, d), ["page_id"]).filter("header is not null")
-    return resolve_headers(headers, targets, ["page_id"])
+    folder = shared_folder(spark)
+    list_headers(_page_parts(spark, d), ["page_id"]).write.parquet(folder)
+    return resolve_headers(spark.read.parquet(folder).filter("header is not null"), targets, ["page_id"])
 
 
 def _missing_headers(spark, d):
@@ -431,13 +432,20 @@ def _source_books(spark, d):
     return _load_books(docs, "feed")
 
 
+def _parsed(spark, books, spec):
+    """The rows of workbooks, written once as a job does. They stay: the result reads them."""
+    folder = shared_folder(spark)
+    sheet_rows(books, spec).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def _workbook_load(spark, d):
-    rows = sheet_rows(_source_books(spark, d), _load_spec())
+    rows = _parsed(spark, _source_books(spark, d), _load_spec())
     return kept_rows(rows, _load_spec()).select("feed", "column_a", "column_b", "flag", "has_flag")
 
 
 def _workbook_counts(spark, d):
-    counts = feed_counts(sheet_rows(_source_books(spark, d), _load_spec()), _load_spec())
+    counts = feed_counts(_parsed(spark, _source_books(spark, d), _load_spec()), _load_spec())
     return counts.groupBy("feed").agg(
         *[F.sum(c).alias(c) for c in ("rows_read", "rows_kept", "flagged")]
     )

@@ -6,7 +6,7 @@ stands for errors and for what cannot be read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,11 @@ PLAIN, DATE, ELAPSED = 0, 1, 2
 _DAY_MS = 86_400_000
 
 
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def shown(formats: Column | str) -> Column:
     """Per number format (its code, or ``id:`` and a built-in number) whether it shows a date or an elapsed time."""
 
@@ -37,40 +42,47 @@ def cell_text(cell: Column, styles: Column | str, date1904: Column | str) -> Col
     """The text of a stored cell; ``styles`` as ``shown`` gives them."""
     kind, raw = cell["kind"], cell["raw"]
     style = F.coalesce(F.get(styles, cell["style"]), F.lit(PLAIN))
-    number = F.when(raw.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), F.trim(raw).try_cast("double"))
-    whole = raw.rlike(r"^-?\d+$")
-    value = (
-        F.when(style == ELAPSED, _elapsed(number))
-        .when(style == DATE, _moment(number, F.col(date1904) if isinstance(date1904, str) else date1904))
-        .when(whole, _whole(raw)).otherwise(_number(number))
-    )
+    first = F.col(date1904) if isinstance(date1904, str) else date1904
+    styled = F.when(style == ELAPSED, _with(_read(raw), _elapsed)).when(
+        style == DATE, _with(_read(raw), lambda n: _moment(n, first)))
+    value = F.when(style != PLAIN, styled).when(raw.rlike(r"^-?\d+$"), _whole(raw)).otherwise(_with(_read(raw), _number))
     return (
         F.when(kind.isin("s", "inlineStr", "str"), raw)
+        .when(kind == "n", value)
         .when(kind == "b", F.when(raw.try_cast("int") == 0, "False").when(raw.rlike(r"^\s*[+-]?\d+\s*$"), "True"))
         .when(kind == "d", F.when(F.contains(raw, F.lit("T")), _iso(raw)).otherwise(raw))
-        .when(kind == "n", value)
     )
 
 
+def _read(raw: Column) -> Column:
+    """The number that a text stands for."""
+    return F.when(raw.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), F.trim(raw).try_cast("double"))
+
+
 def _whole(raw: Column) -> Column:
     """Digits as they are, without leading zeros: whole numbers of any length stay exact."""
     digits = F.regexp_replace(F.ltrim(raw, F.lit("-")), "^0+(?=.)", "")
-    return F.concat(F.when(raw.startswith("-") & (digits != "0"), "-").otherwise(""), digits)
+    signed = F.concat(F.when(raw.startswith("-") & (digits != "0"), "-").otherwise(""), digits)
+    return F.when(raw.rlike("^-?[1-9]"), raw).otherwise(signed)
 
 
 def _number(number: Column) -> Column:
     """A number as short as it can be told from others: 7, 7.5, 1e-05."""
-    shortest = number.cast("string")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    small = (F.abs(number) >= 1e-3) & (F.abs(number) < 1e7)  # what a cast writes without an exponent
+    plain = F.regexp_replace(number.cast("string"), r"\.0$", "")
+    return F.when(finite, F.when(number == 0, "0").when(small, plain).otherwise(_with(number.cast("string"), _spread)))
+
+
+def _spread(shortest: Column) -> Column:
+    """A number written with an exponent: without it up to 16 digits before the point and 4 zeros after it."""
     parts = F.split(shortest, "E")
     exponent = F.coalesce(F.get(parts, F.lit(1)).cast("int"), F.lit(0))
-    spread = F.regexp_replace(shortest.try_cast("decimal(38,21)").cast("string"), r"\.?0+$", "")
-    large = F.regexp_replace(shortest.try_cast("decimal(38,0)").cast("string"), r"\.$", "")
     mantissa = F.regexp_replace(F.get(parts, F.lit(0)), r"\.0$", "")
+    digits = F.regexp_replace(shortest.try_cast("decimal(38,21)").cast("string"), r"(\.\d*?)0+$", "$1")
+    large = F.coalesce(shortest.try_cast("decimal(38,0)").cast("string"), F.concat(mantissa, F.lit("e+"), exponent.cast("string")))
     tiny = F.concat(mantissa, F.lit("e-"), F.lpad(F.abs(exponent).cast("string"), 2, "0"))
-    sized = F.when(exponent < -4, tiny).when(exponent >= 16, F.coalesce(large, F.concat(mantissa, F.lit("e+"), exponent.cast("string"))))
-    text = sized.otherwise(F.when(F.contains(spread, F.lit(".")) | (F.rint(number) != number), spread).otherwise(
-        number.cast("decimal(38,0)").cast("string")))
-    return F.when(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf")), F.when(number == 0, "0").otherwise(text))
+    return F.when(exponent < -4, tiny).when(exponent >= 16, large).otherwise(F.regexp_replace(digits, r"\.$", ""))
 
 
 def _clock(ms: Column) -> Column:
@@ -95,16 +107,15 @@ def _moment(number: Column, date1904: Column) -> Column:
     """Date and time of a serial number; a time alone in day 0; NULL beyond the years 1 to 9999."""
     days = F.floor(number)
     ms = F.rint((number - days) * _DAY_MS).cast("long")
+    # A last half of a millisecond may fill the day.
+    total, rest = days + F.floor(ms / _DAY_MS), F.pmod(ms, F.lit(_DAY_MS))
     # The 1900 calendar counts a 29 February 1900 that never was.
     late = F.when(~date1904 & (number > 0) & (number < 60), F.lit(1)).otherwise(0)
-    total = days + F.floor(ms / _DAY_MS)
-    rest = F.pmod(ms, F.lit(_DAY_MS))
-    time = F.concat(F.lpad(F.floor(rest / 3_600_000).cast("string"), 2, "0"), F.lit(":"), _clock(rest))
     zero = F.when(date1904, F.lit("1904-01-01").cast("date")).otherwise(F.lit("1899-12-30").cast("date"))
-    inside = F.abs(total) < 4_000_000
-    day = F.date_add(zero, F.when(inside, total + late).cast("int"))
-    dated = F.when(F.year(day).between(1, 9999), F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), time))
-    return F.when((number >= 0) & (number < 1) & (total == 0), time).otherwise(dated)
+    day = F.date_add(zero, F.when(F.abs(number) < 4_000_000, total + late).cast("int"))
+    dated = _with(day, lambda d: F.when(F.year(d).between(1, 9999), F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" "))))
+    time = _with(rest, lambda r: F.concat(F.lpad(F.floor(r / 3_600_000).cast("string"), 2, "0"), F.lit(":"), _clock(r)))
+    return F.concat(F.when((number >= 0) & (number < 1) & (total == 0), "").otherwise(dated), time)
 
 
 def _iso(raw: Column) -> Column:
