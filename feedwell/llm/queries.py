@@ -161,7 +161,49 @@ def _shards_sql(limit: int) -> str:
         from sized where size <= {limit} or n = 1 group by doc_id, bytes, bits"""
 
 
+def _links_sql(width: int, percent: int) -> str:
+    """Shingle sets, all pairs that share a shingle, and whatever a document reaches over links."""
+    return rf"""
+        with recursive worded as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                '[^\x20\x09-\x0D]+') as words
+            from documents),
+        sets as (
+            select doc_id, case when len(words) = 0 then [] when len(words) < {width} then [array_to_string(words, ' ')]
+                else list_distinct([array_to_string(words[i:i + {width - 1}], ' ') for i in range(1, len(words) - {width - 2})])
+                end as shingles
+            from worded),
+        items as (select doc_id, len(shingles) as n, unnest(shingles) as shingle from sets),
+        links as (
+            select a.doc_id as x, b.doc_id as y from items a join items b using (shingle)
+            where a.doc_id <> b.doc_id group by a.doc_id, b.doc_id, a.n, b.n
+            having 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+        reached as (
+            select doc_id, doc_id as other from documents
+            union
+            select r.doc_id, l.y from reached r join links l on r.other = l.x)
+        select doc_id, cast(len(shingles) as bigint) as n_shingles, least_id as component_id
+        from sets join (select doc_id, min(other) as least_id from reached group by doc_id) using (doc_id)"""
+
+
+#: Holds for pages whose article is one element of headings and paragraphs, as in the test tables.
+_PAGES_SQL = r"""
+    with cut as (
+        select page_id, url, string_split_regex(
+            regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?b>', '', 'g'),
+            '</?(?:p|h1)>') as blocks
+        from pages),
+    bare as (
+        select page_id, url, [trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            b, '<[^>]*>', ' ', 'g'), '&amp;?', '&', 'g'), '&quot;?', '"', 'g'), '\s+', ' ', 'g')) for b in blocks] as blocks
+        from cut),
+    joined as (select page_id, url, array_to_string([b for b in blocks if b <> ''], chr(10) || chr(10)) as text from bare)
+    select page_id, url, text, cast(length(text) as bigint) as n_chars from joined"""
+
 ORACLE_SQL = {
+    "op4_main_text": _PAGES_SQL,
+    "op5_jaccard_join": _links_sql(3, 90),
     "op9_licenses": _licenses_sql(),
     "op10_shards": _shards_sql(SHARD_BYTES),
 }
