@@ -578,9 +578,10 @@ def _with_folder(query: Callable) -> Callable:
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        one_process = re.match(r"local(\[|$)", spark.sparkContext.master)
-        if one_process and spark.conf.get("spark.checkpoint.dir", None) is None:
-            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedwell-"))
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and re.match(r"local(\[|$)", context.master):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="feedwell-"))
         return query(spark, sf_dir)
 
     return run

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, which all executors must share."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
+    """A new folder name under ``spark.checkpoint.dir``, or the context's checkpoint folder; executors must share it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/feedwell-{uuid4().hex}"
 

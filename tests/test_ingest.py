@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedwell import FeedSpec, Totals, ingest, ingest_file
-from feedwell.sinks import append_history, read_history, write_current
+from feedwell.sinks import append_history, read_history, shared_folder, write_current
 from feedwell.testing.books import book_bytes
 
 HEAD = ["Column_A", "Column_B", "Flag (marker1)"]
@@ -228,3 +228,16 @@ def test_overwrite_replaces_the_schema_and_append_checks_it(spark):
     assert read_history(spark, log).count() == 5
     with pytest.raises(Exception):
         append_history(spark.range(2).selectExpr("id as a", "id as c"), log)
+
+
+class _Nameless:
+    """A session that names no shared folder."""
+
+    conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+    sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+
+def test_a_session_without_a_shared_folder_is_refused(spark):
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Nameless())
