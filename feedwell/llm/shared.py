@@ -19,12 +19,13 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        context = spark.sparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not root:
+            if not re.match(r"local(\[|$)", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="feedwell-")
-            spark.conf.set("spark.checkpoint.dir", root)
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="feedwell-"))
+            root = context.getCheckpointDir()
         self.spark, self.root = spark, f"{root.rstrip('/')}/llm-{uuid4().hex}"
 
     def __enter__(self) -> Scratch:

@@ -1,0 +1,44 @@
+"""Where staged tables lie."""
+
+import os
+
+import pytest
+
+from feedwell.llm.shared import Scratch
+
+
+class _Session:
+    """A session that names no shared folder."""
+
+    def __init__(self, master):
+        self.folder = None
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        outer = self
+
+        class Context:
+            def getCheckpointDir(self):
+                return outer.folder
+
+            def setCheckpointDir(self, folder):
+                outer.folder = folder
+
+        self.sparkContext = Context()
+        self.sparkContext.master = master
+
+
+def test_work_is_dropped_and_results_stay(spark):
+    with Scratch(spark) as scratch:
+        work, result = scratch.table(spark.range(5)), scratch.result(spark.range(7))
+        assert work.count() == 5
+    assert result.count() == 7
+    root = scratch.root.removeprefix("file:")
+    assert sorted(os.listdir(root)) == ["result"] and scratch.root.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_only_a_session_of_one_process_gets_a_temporary_folder():
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            Scratch(_Session(master))
+    for master in ("local", "local[4]", "local[*]"):
+        session = _Session(master)
+        assert Scratch(session).root.startswith(session.folder)
