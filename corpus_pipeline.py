@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedwell.llm.jaccard import link_documents
 from feedwell.llm.packing import pack_sequences
-from feedwell.llm.secret_scan import find_secrets, redact
+from feedwell.llm.secret_scan import redact
 from feedwell.llm.shared import Scratch
 from feedwell.llm.tiling import contaminated
 from feedwell.llm.toxicity import fit_toxicity
@@ -36,8 +36,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if again.isEmpty():
         return kept.select(docs.columns)
     first = Window.partitionBy("doc_id").orderBy("text")
-    repeated = kept.join(again, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first))
-    return kept.join(again, "doc_id", "left_anti").unionByName(repeated.filter("_row = 1").drop("_row")).select(docs.columns)
+    place = max(docs.columns, key=len) + "_"  # a name that no column has
+    repeated = kept.join(again, "doc_id", "left_semi").withColumn(place, F.row_number().over(first))
+    once = repeated.filter(F.col(place) == 1).drop(place)
+    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret replaced by a mark; ``n_chars`` follows."""
-    clean = redact(find_secrets(docs))
+    clean = redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast("long"))
     return clean.select(docs.columns)

@@ -132,8 +132,9 @@ def _of_kind(number: int):
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``_base`` (structs start, kind number, stop) and ``_random`` (judged candidates)."""
-    out = docs.withColumn("_whole", F.coalesce(F.col(text), F.lit("")))
+    """``_row`` (all columns of ``docs``), ``_base`` (structs start, kind number, stop), ``_random``
+    (judged candidates that fit) and ``_tried`` (how many there were)."""
+    out = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_whole"))
     for kind, (pattern, group, least) in BASE.items():
         out = out.withColumn(f"_{kind}", F.filter(spans("_whole", pattern), _long(pattern, group, least)))
     named = [F.transform(f"_{kind}", _of_kind(n)) for n, kind in enumerate(BASE)]
@@ -142,8 +143,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     apart = F.filter("_runs", lambda s: ~F.exists("_base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     judged = F.filter(F.transform(apart, _judged), lambda s: s["test"]["fits"])
     # Candidates that do not fit count too: the corpus decides how strict the threshold is.
-    return out.withColumn("_tried", F.size(apart)).withColumn("_random", judged).drop(
-        "_whole", "_runs", *(f"_{k}" for k in BASE))
+    return out.select("_row", "_base", judged.alias("_random"), F.size(apart).alias("_tried"))
 
 
 def threshold(scanned: DataFrame, fdr: float) -> float:
@@ -160,21 +160,22 @@ def threshold(scanned: DataFrame, fdr: float) -> float:
     return least
 
 
+def _found(docs: DataFrame, fdr: float, text: str) -> DataFrame:
+    """``_row``, ``_base`` and ``_secrets``; texts are read twice, as the threshold needs all candidates."""
+    least = F.lit(threshold(scan(docs.select(text), text).select("_random", "_tried"), fdr))
+    added = F.filter("_random", lambda s: s["test"]["evidence"] >= least)
+    added = F.transform(added, _of_kind(len(BASE)))
+    return scan(docs, text).select("_row", "_base", F.sort_array(F.concat("_base", added)).alias("_secrets"))
+
+
 def find_secrets(docs: DataFrame, fdr: float = 0.01, text: str = "text") -> DataFrame:
     """``docs`` with ``_base`` and ``_secrets``: structs start, kind, stop, by start, then kind.
 
     Kinds are numbered as in BASE, then ``len(BASE)`` for strings that look random; ``_base`` lacks those. Null
-    and empty texts have none; rows that repeat are kept; an empty table stays empty. Columns whose
-    names begin with ``_`` are refused. Texts are read twice: the threshold needs all candidates.
+    and empty texts have none; rows that repeat are kept; an empty table stays empty; columns that
+    have these two names are replaced, all others stay.
     """
-    clash = {c for c in docs.columns if c.startswith("_")}
-    if clash:
-        raise ValueError(f"columns with a leading underscore are reserved: {sorted(clash)}")
-    least = F.lit(threshold(scan(docs.select(text), text).select("_random", "_tried"), fdr))
-    added = F.filter("_random", lambda s: s["test"]["evidence"] >= least)
-    added = F.transform(added, _of_kind(len(BASE)))
-    found = scan(docs, text).withColumn("_secrets", F.sort_array(F.concat("_base", added)))
-    return found.drop("_random", "_tried")
+    return _found(docs.drop("_base", "_secrets"), fdr, text).select("_row.*", "_base", "_secrets")
 
 
 def listed(column: str) -> Column:
@@ -184,9 +185,12 @@ def listed(column: str) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def redact(found: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The texts with every secret replaced by ``mark``; spans that overlap or touch become one mark."""
-    whole = F.col(text)
+def redact(docs: DataFrame, fdr: float = 0.01, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret of its texts replaced by ``mark``; spans that overlap or touch become one mark.
+
+    All other columns and all rows stay as they are; null texts stay null.
+    """
+    whole = F.col("_row")[text]
 
     def step(state: Column, span: Column) -> Column:
         gap = F.greatest(span["start"] - state["at"], F.lit(0))
@@ -198,4 +202,5 @@ def redact(found: DataFrame, text: str = "text", mark: str = "[SECRET]") -> Data
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     rest = lambda s: F.concat(s["out"], F.substring(whole, s["at"] + 1, F.length(whole)))
     clean = F.when(F.size("_secrets") > 0, F.aggregate("_secrets", start, step, rest)).otherwise(whole)
-    return found.withColumn(text, clean).drop("_secrets", "_base")
+    found = _found(docs, fdr, text)
+    return found.select([(clean if c == text else F.col("_row")[c]).alias(c) for c in docs.columns])

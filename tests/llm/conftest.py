@@ -6,7 +6,7 @@ DOC = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 # Names that operators use for their own columns.
-CLASH = ["score", "ids", "n", "key", "prefix", "start", "shard", "bits", "digest", "label", "toxic_", "unit"]
+CLASH = ["score", "ids", "n", "key", "prefix", "start", "shard", "bits", "digest", "label", "toxic_", "unit", "_row", "_base", "at"]
 
 
 @pytest.fixture(scope="session")

@@ -69,17 +69,21 @@ def test_redaction(make_docs):
     hexed = "0123456789abcdef" * 3
     rows = [f"a password={hexed} b", hexed, f"{hexed}", None, "", "clean", f"é token: {'q' * 9}; secret={'z' * 8}", f"token={hexed}"]
     docs = make_docs(rows)
-    out = {r.doc_id: r.text for r in redact(find_secrets(docs)).collect()}
+    out = {r.doc_id: r.text for r in redact(docs).collect()}
     assert out == {0: "a [SECRET] b", 1: "[SECRET]", 2: "[SECRET]", 3: None, 4: "", 5: "clean", 6: "é [SECRET]; [SECRET]", 7: "[SECRET]"}
-    assert redact(find_secrets(docs)).columns == docs.columns
+    assert redact(docs).columns == docs.columns
 
 
-def test_empty_table_and_reserved_names(make_docs):
+def test_empty_table_and_clashing_names(make_docs):
     assert find_secrets(make_docs([])).count() == 0
-    with pytest.raises(ValueError, match="reserved"):
-        find_secrets(make_docs(["x"]).withColumn("_base", F.lit(1)))
+    names = ["_base", "_secrets", "_row", "_whole", "_hex", "_random"]
+    docs = make_docs(["a token=abcdefgh1"]).withColumns({n: F.lit("own") for n in names})
+    clean = redact(docs).first()
+    assert clean.text == "a [SECRET]" and all(clean[n] == "own" for n in names) and redact(docs).columns == docs.columns
+    found = find_secrets(docs).first()
+    assert [tuple(s) for s in found["_base"]] == [(2, 0, 17)] and found["_row"] == found["_hex"] == "own"
 
 
 def test_no_python_in_the_plan(make_docs):
-    plan = redact(find_secrets(make_docs(["x"])))._jdf.queryExecution().executedPlan().toString()
+    plan = redact(make_docs(["x"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
