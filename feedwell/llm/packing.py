@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,28 +41,31 @@ _PIECES = (
 
 def plan_cuts(ends: np.ndarray, penalties: np.ndarray, window: int, unpadded: tuple[int, ...]) -> list[int]:
     """The chosen cuts of a stream, the last included. ``ends`` ascend, gaps at most ``window``, the last is the end."""
-    where, cost, back = [0], [0], [0]
-    at = {0: 0}
-    queue = deque([(0, 0)])  # (cost + position, number), ascending in both
-    for position, penalty in zip(ends.tolist(), penalties.tolist()):
-        while where[queue[0][1]] < position - window:
-            queue.popleft()
-        key, best = queue[0]
-        least = key + window - position
-        for length in unpadded:
-            other = at.get(position - length)
-            if other is not None and cost[other] <= least:
+    places = np.concatenate([[0], ends])
+    exact = []  # per length without padding, the cut that lies just so far before each cut, or -1
+    for length in unpadded:
+        at = np.searchsorted(places, places - length)
+        exact.append(np.where(places[at] == places - length, at, -1).tolist())
+    where, cost, back = places.tolist(), [0], [0]
+    keys, numbers, head = [0], [0], 0  # the queue: cost + position and number of cuts, both ascending
+    for number, penalty in enumerate(penalties.tolist(), 1):
+        position = where[number]
+        while where[numbers[head]] < position - window:
+            head += 1
+        least, best = keys[head] + window - position, numbers[head]
+        for before in exact:
+            other = before[number]
+            if other >= 0 and cost[other] <= least:
                 least, best = cost[other], other
-        number = len(where)
         least += penalty
-        where.append(position)
         cost.append(least)
         back.append(best)
-        at[position] = number
         key = least + position
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, number))
+        while len(keys) > head and keys[-1] >= key:
+            keys.pop()
+            numbers.pop()
+        keys.append(key)
+        numbers.append(number)
     cuts, number = [], len(where) - 1
     while number:
         cuts.append(where[number])
