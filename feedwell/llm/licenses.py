@@ -2,10 +2,15 @@
 
 The canonical form folds case, drops copyright lines and punctuation, joins words by one space and
 spells alike what is spelt in two ways. A document's whole text and each of its lines are looked up.
+
+``license_texts.jsonl`` beside this module holds public texts, standard headers, names and SPDX ids;
+titles of texts are optional, and notices are the names in common wordings.
 """
 
 from __future__ import annotations
 
+import json
+import pkgutil
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +27,18 @@ SPELLINGS = (
     (r"ll(ed|ing) ", "l$1 "), (r"(judg|acknowledg)ement", "$1ment"), (r"sub licens", "sublicens"),
     (r"non commercial", "noncommercial"), (r"copyright owner", "copyright holder"),
 )
+#: Wordings of notices around a licence's name: subject, verb, article, name, end (fixed values).
+SUBJECTS = (
+    "", "This project is", "This software is", "This work is", "This program is", "This code is", "This file is",
+    "This library is", "This document is", "This content is",
+)
+VERBS = (
+    "licensed under", "released under", "distributed under", "available under", "made available under",
+    "licensed under the terms of", "released under the terms of", "distributed under the terms of",
+)
+ENDS = ("", "see LICENSE for details", "see the LICENSE file for details")
+#: Wordings around an SPDX id or a name.
+TAGS = ("SPDX-License-Identifier:", "License:")
 #: Short notices (fixed values): what files and documents carry instead of a licence's text.
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -99,7 +116,34 @@ def scan_licenses(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", tex
     return units.join(known_digests(known), "digest").select("doc_id", "line_no", "license")
 
 
+def shipped() -> list[dict]:
+    """The rows of the data file, read where the job is planned, so that executors need no copy of it.
+
+    A row has a license and a text with its optional titles, names for notices, or an SPDX id.
+    """
+    raw = pkgutil.get_data(__package__, "license_texts.jsonl").decode("utf-8")
+    return [json.loads(line) for line in raw.split("\n") if line]
+
+
 def known_texts(spark) -> DataFrame:
-    """The notices and texts above as a table; operators take any other of the same form."""
+    """The notices and texts above and those of the data file as a table; operators take any other of the same form."""
     rows = [*NOTICES.items(), *TEXTS.items()]
-    return spark.createDataFrame(rows, "license string, text string")
+    names, tagged = [], []
+    for row in shipped():
+        name = row["license"]
+        if "text" in row:
+            rows += [(name, row["text"]), *((name, f"{title}\n\n{row['text']}") for title in row["titles"])]
+        for own in row.get("names", ()):
+            article = "a" if own.startswith("Creative Commons") else "the"
+            names += [(name, own), (name, f"{article} {own}")]
+            tagged.append((name, own))
+        if "id" in row:
+            tagged.append((name, row["id"]))
+    known = "license string, text string"
+    worded = F.array(*(F.lit(f"{a} {b} {{}} {c}") for a in SUBJECTS for b in VERBS for c in ENDS))
+    tags = F.array(*(F.lit(f"{a} {{}}") for a in TAGS))
+    tables = [spark.createDataFrame(rows, known)]
+    for forms, of in ((worded, names), (tags, tagged)):
+        spread = spark.createDataFrame(of, known).select("license", "text", F.explode(forms).alias("_form"))
+        tables.append(spread.select("license", F.replace("_form", F.lit("{}"), F.col("text")).alias("text")))
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])

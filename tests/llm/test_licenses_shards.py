@@ -36,6 +36,38 @@ def test_known_texts_are_a_parameter(spark, make_docs):
     assert scan_licenses(make_docs([]), known).count() == 0 and scan_licenses(make_docs(rows), known.limit(0)).count() == 0
 
 
+def test_public_texts_headers_and_wordings(spark, make_docs):
+    from feedwell.llm.licenses import shipped
+
+    own = {}
+    for r in shipped():
+        if len(r.get("text", "")) > 250:
+            own.setdefault(r["license"], r)
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense",
+            "CC0-1.0", "CC-BY-SA-4.0", "Zlib", "BSL-1.0"} <= set(own)
+    names = sorted(own)
+    whole = [own[n]["text"] for n in names]
+    titled = [f"{r['titles'][0]}\n\nCopyright (c) 2020 Some One\n\n{r['text']}" for n in names if (r := own[n])["titles"]]
+    found = {i: l for i, line, l in places(spark, make_docs(whole + titled)) if line == 0}
+    assert [found.get(i) for i in range(len(whole) + len(titled))] == names + [n for n in names if own[n]["titles"]]
+
+    mit = TEXTS["MIT"].split("\n\n", 1)[1]
+    rows = [mit, "The MIT License (MIT)\n\nCopyright (c) 2015 A B\n\n" + mit, "code\n# SPDX-License-Identifier: BSD-3-Clause\ncode",
+            "x\nThis project is licensed under the MIT License - see the LICENSE file for details.\ny", "Licensed under the MIT license",
+            '// Licensed under the Apache License, Version 2.0 (the "License");\n// more', "License: MPL-2.0",
+            "Available under a Creative Commons Attribution 4.0 International License.", "Released under the terms of the GPLv3", "MIT", "a license"]
+    assert places(spark, make_docs(rows)) == [
+        (0, 0, "MIT"), (1, 0, "MIT"), (2, 2, "BSD-3-Clause"), (3, 2, "MIT"), (4, 0, "MIT"), (5, 1, "Apache-2.0"), (6, 0, "MPL-2.0"),
+        (7, 0, "CC-BY-4.0"), (8, 0, "GPL-3.0")]
+
+
+def test_known_texts_name_one_license_each(spark):
+    from feedwell.llm.licenses import known_digests
+
+    digests = known_digests(known_texts(spark))
+    assert digests.groupBy("digest").count().filter("count > 1").count() == 0
+
+
 def plain_shards(rows, limit):
     """Recursive splits on the bits of the key's md5."""
     keyed = [(k, len((t or "").encode()), bin(int(hashlib.md5(str(k if k is not None else "").encode()).hexdigest()[:14], 16))[2:].zfill(56)) for k, t in rows]
