@@ -2,9 +2,11 @@
 
 The standard library's parser gives events; block elements cut the page into lines. A line's ratio is
 its characters per tag in it. Ratios are smoothed with a Gaussian over neighbouring lines, and a
-threshold from their spread splits lines into content and others. The innermost container that
-holds most of the content is the region that is kept, whole: short paragraphs between long ones
-belong to it. Elements that name themselves menus, adverts, comments and the like take no part.
+threshold from their spread splits lines into content and others. The innermost container around
+all content is the region that is kept, whole: short paragraphs between long ones belong to it.
+Where it lies outside the articles of a page, these are kept whole, and content beside them.
+Elements that name themselves menus, adverts, comments and the like take no part, unless one holds
+most of the page's text outside links: then it is a wrapper, and its name says nothing.
 """
 
 from __future__ import annotations
@@ -46,9 +48,13 @@ CONTAINERS = frozenset("article main section div td body".split())
 SINGLE = frozenset("p li dt dd tr td th option".split())
 #: Standard deviation of the smoothing in lines, and the lines to each side that it reaches.
 SIGMA, REACH = 1.0, 3
-#: Standard deviations of the ratios that make the threshold, and the share of content a region holds.
-SPREAD, MOST = 0.5, 0.75
+#: Standard deviations of the ratios that make the threshold.
+SPREAD = 0.5
+#: Share of the text outside links beyond which a named element is a wrapper; for one whose whole name is a listed word.
+WRAPPER, WRAPPER_EXACT = 0.5, 0.75
 
+#: Elements that never take part, and named ones: a listed word alone, or as part of a name.
+_NEVER, _EXACT, _PART = range(3)
 _TOKEN = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -63,17 +69,27 @@ class _Line:
 
 
 class _Lines(HTMLParser):
-    """Collects the lines outside skipped elements, each with the containers around it."""
+    """Collects the lines outside skipped elements, each with the containers around it.
 
-    def __init__(self):
+    ``wrappers`` are the numbers of start tags whose names are not looked at. What named elements
+    hold is counted in ``held``: (number of the start tag, of the named element around, exact, characters).
+    """
+
+    def __init__(self, wrappers: frozenset = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple] = []  # (tag, number of the container or None, whether it is skipped)
+        self.wrappers = wrappers
+        self.tags = self.never = self.links = self.plain = 0  # start tags so far; open elements that never count; links; text outside them
+        self.articles = 0
+        self.held: list[list] = []
+        self.named: list[int] = []  # open named elements, as places in ``held``
+        self.stack: list[tuple] = []  # (tag, number of the container or None, (whether it is skipped, whether always))
         self.path: tuple = ()  # (number, tag) of the containers that are open
         self.skipped = 0
         self.numbers = 0
         self.lines = [_Line(())]
 
     def handle_starttag(self, tag, attrs):
+        self.tags += 1
         if tag in VOID:
             if tag == "hr":
                 self._cut()
@@ -86,16 +102,27 @@ class _Lines(HTMLParser):
             self._end_single(tag)
         elif tag in BLOCKS:
             self._end_single("p")
-        if tag in ("article", "main") and self.skipped and not any(t == "article" for t, _, _ in self.stack):
-            while self.stack:  # an advert or menu that was never ended does not hold the article
+        if tag in ("article", "main") and self.skipped and not self.articles:
+            while self.stack:  # an advert or menu that was never ended does not hold the first article; comments may hold others
                 self._pop()
-        skip = tag in SKIPPED or self._named(tag, attrs)
+        self.articles += tag == "article"
+        never = tag in SKIPPED
+        named = None if never else self._named(tag, attrs)
+        if named in (_EXACT, _PART) and self.tags in self.wrappers:
+            named = None
+        never = never or named == _NEVER
+        skip = never or named is not None
+        if skip and not never:
+            self.held.append([self.tags, self.named[-1] if self.named else None, named == _EXACT, 0])
+            self.named.append(len(self.held) - 1)
+        self.never += never
+        self.links += tag == "a"
         number = None
         if tag in CONTAINERS:
             self.numbers += 1
             number = self.numbers
             self.path += ((number, tag),)
-        self.stack.append((tag, number, skip))
+        self.stack.append((tag, number, (skip, never)))
         self.skipped += skip
         if tag in BLOCKS:
             self._cut()
@@ -115,12 +142,20 @@ class _Lines(HTMLParser):
         self._pop()
 
     def handle_data(self, data):
+        if not self.never and not self.links:
+            if self.named:
+                self.held[self.named[-1]][3] += len(data.strip())
+            self.plain += len(data.strip())
         if not self.skipped:
             self.lines[-1].text.append(data)
 
     def _pop(self):
-        tag, number, skip = self.stack.pop()
+        tag, number, (skip, never) = self.stack.pop()
         self.skipped -= skip
+        self.never -= never
+        self.links -= tag == "a"
+        if skip and not never:
+            self.named.pop()
         if number is not None:
             self.path = self.path[:-1]
         if tag in BLOCKS:
@@ -143,22 +178,34 @@ class _Lines(HTMLParser):
             if open_tag in BLOCKS and open_tag not in SINGLE:
                 return
 
-    def _named(self, tag, attrs) -> bool:
+    def wrapping(self) -> frozenset:
+        """Named elements that hold most of the text outside links."""
+        sizes = [h[3] for h in self.held]
+        for n in range(len(sizes) - 1, -1, -1):  # an element comes after the one around it
+            if (around := self.held[n][1]) is not None:
+                sizes[around] += sizes[n]
+        return frozenset(
+            h[0] for h, size in zip(self.held, sizes) if size > (WRAPPER_EXACT if h[2] else WRAPPER) * self.plain)
+
+    def _named(self, tag, attrs) -> int | None:
+        """Whether the element is hidden, or named as one that takes no part."""
         inside = any(t in ("article", "main") for t, _, _ in self.stack)
         if tag in ("body", "html", "article", "main"):
-            return False
+            return None
         if tag == "header":
-            return not inside
+            return None if inside else _NEVER
+        found = None
         for key, value in attrs:
             if key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
+                return _NEVER
             if key == "style" and value and _HIDDEN.search(value):
-                return True
+                return _NEVER
             if key in ("class", "id", "role") and value:
                 words = set(_TOKEN.findall(value.lower()))
                 if words & NAMES or not inside and "header" in words:
-                    return True
-        return False
+                    exact = set(value.lower().split()) & (NAMES | {"header"})
+                    found = _EXACT if exact or found == _EXACT else _PART
+        return found
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -172,43 +219,49 @@ def smoothed(ratios: list[float]) -> list[float]:
     return out
 
 
-def main_text(html: str) -> str:
-    """The article's blocks, joined by blank lines; empty when the page has none."""
-    parser = _Lines()
+def _read(html: str, wrappers: frozenset = frozenset()) -> _Lines:
+    parser = _Lines(wrappers)
     parser.feed(html)
     parser.close()
+    return parser
+
+
+def main_text(html: str) -> str:
+    """The article's blocks, joined by blank lines; empty when the page has none."""
+    parser = _read(html)
+    if wrappers := parser.wrapping():
+        parser = _read(html, wrappers)
     lines = [(" ".join("".join(x.text).split()), x.tags, x.path) for x in parser.lines if x.text]
     lines = [x for x in lines if x[0]]
     if not lines:
         return ""
-    ratios = smoothed([len(text) / max(1, tags) for text, tags, _ in lines])
+    raw = [len(text) / max(1, tags) for text, tags, _ in lines]
+    ratios = smoothed(raw)
     mean = sum(ratios) / len(ratios)
     least = min(SPREAD * math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios)), max(ratios))
-    content = [len(text) if ratio >= least else 0 for (text, _, _), ratio in zip(lines, ratios)]
-    region = _region([(path, size) for (_, _, path), size in zip(lines, content)])
-    return "\n\n".join(text for text, _, path in lines if region is None or region in path)
-
-
-def _region(content: list[tuple]) -> tuple | None:
-    """The innermost container with most of the content; the article around it, if there is one."""
-    held: dict[tuple, int] = {}
-    for path, size in content:
-        for container in path:
-            held[container] = held.get(container, 0) + size
-    enough = MOST * sum(size for _, size in content)
-    around = next((path for path, size in content if size), ())
-    best, depth = None, -1
-    for path, size in content:
-        for n, container in enumerate(path):
-            if size and n > depth and held[container] >= enough:
-                best, depth, around = container, n, path
+    # Smoothing lifts short lines beside content, also those outside; they do not say where the region lies.
+    content = [min(own, ratio) >= least for own, ratio in zip(raw, ratios)]
+    if not any(content):
+        content = [ratio >= least for ratio in ratios]
+    regions, beside = _regions([path for (_, _, path), own in zip(lines, content) if own])
+    return "\n\n".join(
+        text for (text, _, path), own in zip(lines, content)
+        if regions is None or beside and own or not regions.isdisjoint(path))
+
+
+def _regions(paths: list[tuple]) -> tuple[set | None, bool]:
+    """The containers that are kept (None: everything), and whether content outside them is."""
+    first, last = min(paths), max(paths)  # what these two share, all share
+    common = next((n for n, (a, b) in enumerate(zip(first, last)) if a != b), min(len(first), len(last)))
     for tag in ("article", "main"):
-        for container in reversed(around[: depth + 1]):
+        for container in reversed(first[:common]):
             if container[1] == tag:
-                return container
-    # The region lies outside any article although the page has one: take the fullest.
-    articles = [c for c in held if c[1] in ("article", "main") and held[c]]
-    return max(articles, key=lambda c: (held[c], -c[0]), default=best)
+                return {container}, False
+    # Content lies in several articles, or beside them.
+    outer = {next((c for c in path if c[1] in ("article", "main")), None) for path in paths} - {None}
+    if outer:
+        return outer, True
+    return ({first[common - 1]} if common else None), False
 
 
 _TEXTS = "page_id long, url string, text string, n_chars long"

@@ -29,6 +29,24 @@ def test_article_only(page):
     assert main_text(page) == f"Bridge\n\n{LONG}\n\nShort.\n\n{LONG}"
 
 
+OTHER = "Its engineers showed drawings of the piers and answered questions from the people who live close by for two hours."
+
+
+@pytest.mark.parametrize("page", [
+    # Two sections of one article, of which one holds most of the text.
+    f"<body><div><ul>{MENU}</ul></div><div class=content><section><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section>"
+    f"<section><p>{OTHER}</p></section></div><div><a href=x>About</a> <a href=y>Contact</a></div></body>",
+    # An article in two elements.
+    f"<body><div><ul>{MENU}</ul></div><article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article><article><p>{OTHER}</p></article></body>",
+    # Wrappers whose names hold words of other elements, in one another, around other skipped elements.
+    f'<body><div class="layout-with-sidebar"><div id="post-comments-open"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{OTHER}</p></div>'
+    f'<div class="sidebar"><p>{OTHER}</p><ul>{MENU}</ul></div></div></body>',
+    f'<body><ul>{MENU}</ul><div class="widget"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{OTHER}</p></div></body>',
+])
+def test_no_part_of_the_article_is_lost(page):
+    assert main_text(page) == "\n\n".join([LONG] * 4 + [OTHER])
+
+
 def test_references_are_decoded_and_markup_inside_words_is_not_a_break():
     assert main_text("<article><p>a &lt;b&gt; &amp;amp; &eacute;&#x20ac; w<i>or</i>d<br>next&nbsp;one</p></article>") == "a <b> &amp; é€ word next one"
 
