@@ -1,7 +1,7 @@
 """Benchmark passages in documents, found by greedy string tiling.
 
 Words are case-folded letters and digits. Passages and documents that share a run of ``tile``
-words (a seed) are compared: the longest common runs that do not overlap marked words are marked,
+words (a seed; a shorter passage is one itself) are compared: the longest common runs that do not overlap marked words are marked,
 longest first, found by running Karp-Rabin at falling lengths down to ``tile``. A document is
 contaminated by a passage when the marked words are at least ``share`` of the passage, in any order.
 """
@@ -94,6 +94,7 @@ class _Index:
     def __init__(self, items: Iterable[tuple], least: int):
         words = FoldedWords()
         self.items = [(key, words.of(text or "")) for key, text in items]
+        short = [(key, w) for key, w in self.items if 0 < len(w) < least]
         self.items = [(key, w) for key, w in self.items if len(w) >= least]
         seeds = [grams(w, least) for _, w in self.items]
         sizes = [len(s) for s in seeds]
@@ -106,9 +107,21 @@ class _Index:
         self.bits = 16 + max(0, int(len(hashes)).bit_length() - 13)
         self.maybe = np.zeros(1 << self.bits, bool)
         self.maybe[(self.hashes & np.uint64((1 << self.bits) - 1)).astype(np.int64)] = True
-
-    def candidates(self, found: np.ndarray, least: int, share: float) -> list[int]:
-        """Passages whose seeds in these hashes could cover enough of them."""
+        # Shorter passages by their number of words: hashes, ascending, and whose they are.
+        self.short = {}
+        for size in sorted({len(w) for _, w in short}):
+            own = [n for n, (_, w) in enumerate(short) if len(w) == size]
+            hashes = np.concatenate([grams(short[n][1], size) for n in own])
+            order = np.argsort(hashes, kind="stable")
+            self.short[size] = hashes[order], np.array(own)[order] + len(self.items)
+        self.items += short
+
+    def candidates(self, words: np.ndarray, least: int, share: float) -> list[int]:
+        """Passages whose seeds in these words could cover enough of them."""
+        return self._seeded(grams(words, least), least, share) + [
+            n for size, (hashes, owners) in self.short.items() for n in owners[np.isin(hashes, grams(words, size))].tolist()]
+
+    def _seeded(self, found: np.ndarray, least: int, share: float) -> list[int]:
         low = (found & np.uint64(len(self.maybe) - 1)).astype(np.int64)
         found = np.unique(found[self.maybe[low]])
         a, b = np.searchsorted(self.hashes, found, "left"), np.searchsorted(self.hashes, found, "right")
@@ -135,7 +148,7 @@ def contaminated(
 ) -> DataFrame:
     """One row per document and passage in it: words of the passage, those covered, their share, the tiles.
 
-    Passages of fewer than ``least`` words are never found. Null and empty texts match nothing;
+    A passage of fewer than ``least`` words is found as a whole run; one without words is not. Null and empty texts match nothing;
     repeated documents are reported as often as they occur, a passage that occurs twice in ``items``
     likewise; empty tables give no rows; other columns take no part.
     """
@@ -149,7 +162,7 @@ def contaminated(
 
 def _hit(key, words: np.ndarray, item: tuple, least: int, share: float) -> tuple | None:
     item_id, passage = item
-    tiles = tile(words, passage, least)
+    tiles = tile(words, passage, min(least, len(passage)))
     covered = sum(length for _, _, length in tiles)
     if covered < share * len(passage):
         return None
@@ -164,7 +177,7 @@ def _with_all(docs: DataFrame, items: list[tuple], least: int, share: float) ->
         index, words, out = _Index(items, least), FoldedWords(), Out(_SCHEMA)
         for group in by_size(rows_of(batches, "doc_id", "text"), 1):
             for (key, _), own in zip(group, words.many([t or "" for _, t in group])):
-                for owner in index.candidates(grams(own, least), least, share):
+                for owner in index.candidates(own, least, share):
                     if (hit := _hit(key, own, index.items[owner], least, share)) and out.add(hit):
                         yield out.batch()
         yield out.batch()
@@ -175,15 +188,37 @@ def _with_all(docs: DataFrame, items: list[tuple], least: int, share: float) ->
 def _with_joined(docs: DataFrame, items: DataFrame, least: int, share: float) -> DataFrame:
     """Seeds of documents and passages meet by their hash; then each pair is tiled."""
     seed_schema = pa.schema([("at", pa.int64()), ("seed", pa.int64())])
+    place_schema = pa.schema([
+        ("of", pa.int64()), ("seed", pa.int64()), ("words", pa.int64()), ("size", pa.int64()), ("places", pa.list_(pa.int64()))])
+
+    def short_sizes(batches):
+        words = FoldedWords()
+        found = {len(words.of(text)) for (text,) in rows_of(batches, "text")}
+        yield pa.RecordBatch.from_arrays([pa.array([n for n in found if 0 < n < least], pa.int64())], ["size"])
 
     def seeds(batches):
         words, out = FoldedWords(), Out(seed_schema, rows=1 << 16)
         for key, text in rows_of(batches, "at", "text"):
-            for seed in np.unique(grams(words.of(text or ""), least)).view(np.int64).tolist():
+            own = words.of(text)
+            for seed in np.unique(np.concatenate([grams(own, n) for n in sizes])).view(np.int64).tolist():
                 if out.add((key, seed)):
                     yield out.batch()
         yield out.batch()
 
+    def places(batches):
+        words, out = FoldedWords(), Out(place_schema, rows=1 << 14)
+        for key, text in rows_of(batches, "of", "text"):
+            own = words.of(text)
+            if not (size := min(least, len(own))):
+                continue
+            found, at = np.unique(grams(own, size), return_inverse=True)
+            order = np.argsort(at, kind="stable")
+            ends = np.cumsum(np.bincount(at))
+            for seed, where in zip(found.view(np.int64).tolist(), np.split(order, ends[:-1])):
+                if out.add((key, seed, len(own), size, where), 8 * len(where)):
+                    yield out.batch()
+        yield out.batch()
+
     def tiled(batches):
         words, out = FoldedWords(), Out(_SCHEMA)
         for key, text, item_id, passage in rows_of(batches, "doc_id", "text", "item_id", "passage", step=64):
@@ -194,12 +229,18 @@ def _with_joined(docs: DataFrame, items: DataFrame, least: int, share: float) ->
     # Texts by their own hash, so that repeated ids and rows do no harm.
     texts = docs.filter("text is not null").withColumn("at", F.xxhash64("text"))
     passages = items.filter("text is not null").withColumn("of", F.xxhash64("text"))
+    wanted = passages.select("of", "text").dropDuplicates(["of"])
+    # At most ``least`` different numbers of words.
+    sizes = [least, *(r.size for r in wanted.select("text").mapInArrow(short_sizes, "size long").distinct().collect())]
     own = texts.select("at", "text").dropDuplicates(["at"]).mapInArrow(seeds, "at long, seed long")
-    wanted = passages.select(F.col("of").alias("at"), "text").dropDuplicates(["at"])
-    wanted = wanted.mapInArrow(seeds, "at long, seed long").withColumnRenamed("at", "of")
-    needed = wanted.groupBy("of").agg(F.count("*").alias("seeds"))
-    # A seed lies in ``least`` words at most: too few common ones cannot cover the passage.
-    pairs = own.join(wanted, "seed").groupBy("at", "of").agg(F.count("*").alias("n")).join(needed, "of")
-    pairs = pairs.filter(F.col("n") * least >= share * F.col("seeds")).select("at", "of")
+    wanted = wanted.mapInArrow(places, "of long, seed long, words long, size long, places array<long>")
+    pairs = own.join(wanted, "seed").groupBy("at", "of").agg(
+        F.any_value("words").alias("words"), F.any_value("size").alias("size"),
+        F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+    # Words of the passage under common seeds: each seed adds what reaches beyond the one before.
+    after = F.transform("places", lambda p, n: F.least(
+        F.col("size"), F.coalesce(F.try_element_at("places", (n + 2).cast("int")) - p, F.col("size"))))
+    covered = F.aggregate(after, F.lit(0).cast("long"), lambda total, n: total + n)
+    pairs = pairs.filter(covered >= F.lit(float(share)) * F.col("words")).select("at", "of")
     joined = texts.join(pairs, "at").join(passages.withColumnRenamed("text", "passage"), "of")
     return joined.select("doc_id", "text", "item_id", "passage").mapInArrow(tiled, _HITS)

@@ -86,3 +86,16 @@ def test_share_and_length_are_parameters(spark, make_docs):
     df = spark.createDataFrame([(0, PASSAGES[0])], "item_id long, text string")
     found = {r.doc_id for r in contaminated(make_docs(documents()), df, share=0.6).collect()}
     assert 4 in found and 5 not in found
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_repetitive_and_short_passages(spark, make_docs, monkeypatch, joined):
+    if joined:
+        monkeypatch.setattr(tiling, "MOST_ITEMS", 0)
+    rest = " ".join(f"w{n}" for n in range(20))
+    items = [(0, "la " * 80 + rest), (1, "tick tock " * 40 + rest), (2, "Forty two"), (3, "yes"), (4, "one two three four"), (5, "a b c " * 30), (6, "a b c " * 30)]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(0, "x " + "la " * 80), (1, "tick tock " * 40 + "x"), (2, "it is forty, two!"), (3, "forty and two"), (4, "No. Yes."), (5, "one two three"),
+            (6, "zero one two three four five"), (7, "la " * 60), (8, "c " + "a b c " * 30), (9, None), (2, "it is forty, two!")]
+    found = sorted((r.doc_id, r.item_id, r.covered) for r in contaminated(make_docs(docs), df).collect())
+    assert found == [(0, 0, 80), (1, 1, 80), (2, 2, 2), (2, 2, 2), (4, 3, 1), (6, 4, 4), (8, 5, 90), (8, 6, 90)]
