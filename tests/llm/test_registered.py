@@ -195,3 +195,20 @@ def test_stages_take_odd_rows(spark, make_docs):
         assert found == sorted([*expected, (7, "[SECRET]")], key=repr)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, make_docs([]), SF_DIR).count() == 0
+
+
+def test_stages_decide_by_row(spark, make_docs, duck):
+    same, other, lone = "same words here and there " * 9, "an unrelated text about bridges and rivers", "third text of its own"
+    passage = duck.execute("select text from benchmark order by length(text) desc limit 1").fetchone()[0]
+    near = dict(corpus_pipeline.STAGES)["near_duplicates"]
+
+    def left(rows):
+        return sorted((r.doc_id, r.text) for r in near(spark, make_docs(rows), SF_DIR).collect())
+
+    # An id whose one text is a copy keeps the other; a copy is not lost with an id that keeps another text.
+    assert left([(3, same), (10, same), (10, "zz " + other)]) == [(3, same), (10, "zz " + other)]
+    assert left([(3, same), (3, "a " + other), (10, same), (11, lone)]) == [(3, "a " + other), (10, same), (11, lone)]
+    assert left([(3, same), (3, same), (10, same)]) == [(3, same)]
+    rows = [(None, f"x {passage} y"), (1, f"x {passage} y"), (None, "clean"), (4, "clean"), (4, f"b {passage}"), (None, None)]
+    found = dict(corpus_pipeline.STAGES)["decontamination"](spark, make_docs(rows), SF_DIR).collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=repr) == [(4, "clean"), (None, "clean"), (None, None)]
