@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedwell.llm import licenses, secret_scan
+from feedwell.llm.compression import fit_quality
+from feedwell.llm.conversations import damage, repair
 from feedwell.llm.html_text import extract_text
 from feedwell.llm.jaccard import link_documents
+from feedwell.llm.lexical import search
 from feedwell.llm.neighbours import nearest
 from feedwell.llm.packing import pack_sequences
 from feedwell.llm.shared import Scratch
@@ -92,6 +95,36 @@ def op10_shards(spark: SparkSession, d: str) -> DataFrame:
     return assign_shards(_table(spark, d, "documents"), SHARD_BYTES)
 
 
+def op11_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        return scratch.result(search(_table(spark, d, "documents"), _table(spark, d, "benchmark"), scratch))
+
+
+def op12_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of every fourth document, by a checksum of its id, are not learnt from."""
+    docs = _table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    with Scratch(spark) as scratch:
+        model = fit_quality(docs, _table(spark, d, "labels").filter(~held_out), scratch)
+    scored = model.score(docs).withColumn("held_out", held_out)
+    return scored.select("doc_id", "held_out", "score", "predicted", "n_bytes", "good_bytes", "bad_bytes")
+
+
+def op13_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations after damage; those without rows then have no faults, an empty audit and an empty text."""
+    rows = _table(spark, d, "conversations")
+    with Scratch(spark) as scratch:
+        found = repair(damage(rows), scratch)
+        digests = found.digests().select(F.col("conv_id").alias("digest_of"), "repaired_sha256")
+        audits = found.audits.withColumnRenamed("conv_id", "audit_of")
+        whole = rows.select("conv_id").distinct().join(audits, F.col("conv_id").eqNullSafe(F.col("audit_of")), "left")
+        whole = whole.join(digests, F.col("conv_id").eqNullSafe(F.col("digest_of")), "left")
+        numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+        return scratch.result(whole.select(
+            "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+            F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_toxicity": op2_toxicity,
@@ -103,6 +136,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_licenses": op9_licenses,
     "op10_shards": op10_shards,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_quality": op12_quality,
+    "op13_conversations": op13_conversations,
 }
 
 
@@ -187,6 +223,33 @@ def _links_sql(width: int, percent: int) -> str:
         from sets join (select doc_id, min(other) as least_id from reached group by doc_id) using (doc_id)"""
 
 
+#: Sums per shared term, and the best 20 of each item.
+_SEARCH_SQL = rf"""
+    with counted as (
+        select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+        from documents),
+    items as (
+        select item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark),
+    wanted as (select item_id, term, count(*) as times from items group by all),
+    corpus as (select count(*) as n_docs, sum(len(terms)) as n_terms from counted where len(terms) > 0),
+    held as (
+        select doc_id, n, term, count(*) as tf from (select doc_id, len(terms) as n, unnest(terms) as term from counted)
+        where term in (select term from wanted) group by all),
+    weights as (
+        select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w
+        from held, corpus group by term, n_docs),
+    scored as (
+        select item_id, doc_id, cast(sum(times * (w * ((1000000000 * tf)
+            // (1000 * tf + 12 * (75 + (25 * n * n_docs) // cast(n_terms as bigint)))))) as bigint) as score
+        from held join weights using (term) join wanted using (term), corpus group by item_id, doc_id)
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+    from scored where score > 0 qualify rank <= 20"""
+
 #: Holds for pages whose article is one element of headings and paragraphs, as in the test tables.
 _PAGES_SQL = r"""
     with cut as (
@@ -206,4 +269,5 @@ ORACLE_SQL = {
     "op5_jaccard_join": _links_sql(3, 90),
     "op9_licenses": _licenses_sql(),
     "op10_shards": _shards_sql(SHARD_BYTES),
+    "op11_lexical_search": _SEARCH_SQL,
 }

@@ -42,7 +42,7 @@ def result(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(entry_points.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14)) and "pipeline" in names
     assert set(ORACLE_SQL) <= set(QUERIES) <= names and set(ORACLE_SQL) <= set(entry_points.oracle_sql())
 
 
@@ -141,6 +141,35 @@ def test_op8(spark, texts):
         assert set(joined.split(",")) <= set(r.spans.split(",")) or not joined
 
 
+def test_op11(spark, duck):
+    from test_lexical import plain
+
+    docs, items = duck.execute("select doc_id, text from documents").fetchall(), duck.execute("select item_id, text from benchmark").fetchall()
+    rows = sorted((r.item_id, r.rank, r.doc_id, r.score) for r in result(spark, "op11_lexical_search"))
+    assert rows == sorted(plain(docs, items)) and rows == sorted(duck.execute(
+        f"select item_id, rank, doc_id, score from ({ORACLE_SQL['op11_lexical_search']})").fetchall())
+
+
+def test_op12(spark, duck, texts):
+    rows = result(spark, "op12_quality")
+    labels = dict(duck.execute("select doc_id, quality from labels").fetchall())
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.7) for r in rows)
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    # Some twenty documents on the smallest tables, learnt from as few bad ones.
+    assert np.mean([p == q for p, q in held]) >= 0.8
+
+
+def test_op13(spark, duck):
+    from test_conversations import plain_damage, plain_repair
+
+    rows = duck.execute("select conv_id, turn, role, text from conversations").fetchall()
+    expected = plain_repair(plain_damage(rows))
+    found = {r.conv_id: tuple(r)[1:] for r in result(spark, "op13_conversations")}
+    none = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert found == {r[0]: expected.get(r[0], none) for r in rows}
+
+
 def test_pipeline_stages(spark, duck, texts):
     """Each stage against what its operator, or brute force, says of the stage's own input."""
     names = [n for n, _ in corpus_pipeline.STAGES]
