@@ -25,7 +25,7 @@ from feedwell.operators import (
 from feedwell.plans import FeedSpec, feed_counts, ingest_loaded, rejects, sheet_rows
 from feedwell.plans.load import kept_rows
 from feedwell.sinks import append_history, read_history, shared_folder, write_current
-from feedwell.sources import count_files, latest_files, list_files, match_names, read_files, read_parts
+from feedwell.sources import count_files, latest_files, listing, match_names, open_directory, read_files, read_parts
 from feedwell.testing.books import Raw, books_of
 
 # The package's functions travel with the tasks, so that workers need no copy of it.
@@ -104,8 +104,8 @@ def _file_lines(spark, d):
     folder = shared_folder(spark)
     lines = F.concat_ws("|", "doc_id", "lang", "source")
     _table(spark, d, "documents").select(lines.alias("value")).write.text(folder)
-    files = list_files(spark, folder, r"^part-[^ ]+\.txt$")
-    read = read_files(files).select(F.decode("content", "utf-8").alias("text"), "length")
+    directory = open_directory(spark, folder)
+    read = read_files(directory, listing(directory, r"^part-[^ ]+\.txt$")).select(F.decode("content", "utf-8").alias("text"), "length")
     rows = read.select(F.explode(F.split("text", "\n")).alias("line"), (F.length("text") == F.col("length")).alias("whole"))
     return rows.filter("line <> ''")
 

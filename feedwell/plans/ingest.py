@@ -13,7 +13,7 @@ from feedwell.plans.load import feed_counts, kept_rows, rejects, sheet_rows
 from feedwell.plans.spec import FeedSpec
 from feedwell.sinks.folder import shared_folder, staged
 from feedwell.sinks.tables import append_history, read_history, with_feed_and_time, write_current
-from feedwell.sources.files import count_files, latest_files, list_files, read_file, read_files
+from feedwell.sources.files import count_files, latest_files, listing, open_directory, read_file, read_files
 
 HISTORY_ORDER = ("recorded_at", "processing_timestamp")
 
@@ -39,12 +39,13 @@ def ingest(
 
     Without a matching file nothing is touched. See ``ingest_loaded``.
     """
-    files = list_files(spark, directory, spec.name_regex)
+    opened = open_directory(spark, directory)
+    files = listing(opened, spec.name_regex)
     candidates = count_files(files).first().files
     if not candidates:
         return Totals()
     chosen = latest_files(files, None if spec.feed is None else spec.feed_of())
-    loaded = read_files(chosen.select("path", "modificationTime", "length"))
+    loaded = read_files(opened, chosen)
     done = ingest_loaded(loaded, spec, current_table, history_table, rejects_table, recorded_at)
     return replace(done, candidates=candidates)
 

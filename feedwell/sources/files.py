@@ -4,33 +4,45 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedwell.functions.paths import basename
 from feedwell.operators.history import latest_per
 
-#: Names that stores have in Spark and in pyarrow, where they differ (fixed values).
-_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+#: Paths that one scan is pruned to; more chosen files are read by several scans.
+PATHS_PER_SCAN = 5_000
+_LISTED = ("path", "modificationTime", "length")
+
+
+def open_directory(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
+    """The files directly in ``directory`` with their bytes: (path, modificationTime, length, content).
+
+    The directory is listed here, once, through Spark's own file systems, so any store that Spark is
+    set up for will do. Bytes are read where ``content`` is asked for. ``glob`` narrows the listing.
+    An empty directory gives no rows, a missing one raises.
+    """
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", False)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(directory)
 
 
 def list_files(
     spark: SparkSession, directory: str, name_regex: str | None = None, glob: str | None = None,
 ) -> DataFrame:
-    """(path, modificationTime, length) of the files directly in ``directory``.
+    """(path, modificationTime, length) of the files directly in ``directory``; no file is opened.
 
-    ``name_regex`` is matched against the file name; ``glob`` narrows the
-    listing itself. File contents are not read. An empty directory gives no
-    rows, a missing one raises.
+    ``name_regex`` is matched against the file name; ``glob`` narrows the listing itself.
     """
-    reader = spark.read.format("binaryFile")
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(directory).select("path", "modificationTime", "length")
+    return listing(open_directory(spark, directory, glob), name_regex)
+
+
+def listing(directory: DataFrame, name_regex: str | None = None) -> DataFrame:
+    """The listing of an open directory, of the names that match."""
+    files = directory.select(*_LISTED)
     return files if name_regex is None else match_names(files, name_regex)
 
 
@@ -59,36 +71,32 @@ def latest_files(files: DataFrame, feed: Column | None = None) -> DataFrame:
     return latest_per(named, ["feed"], ["modificationTime", "path"]).select("feed", *listed.columns)
 
 
-def read_files(chosen: DataFrame, path: str = "path") -> DataFrame:
-    """The chosen rows with the bytes of their files (``content``), and of no others.
+def read_files(directory: DataFrame, chosen: DataFrame, path: str = "path") -> DataFrame:
+    """The files of an open directory whose paths are chosen, with their bytes, and of no others.
 
-    Files are opened where the rows are: neither paths nor bytes pass through the driver, and
-    nothing is listed again. A missing file fails the task.
+    A scan takes a bounded list of paths, which prunes its files before any is opened; the listing is
+    the one that the directory was opened with. The paths, part of that listing, pass through the
+    driver; bytes do not. A file that is gone by now fails the task.
     """
-    schema = T.StructType([*chosen.schema, T.StructField("content", T.BinaryType())])
-    at = chosen.columns.index(path)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                row = batch.slice(n, 1)
-                content = pa.array([_content(row.column(at)[0].as_py())], pa.binary())
-                yield pa.RecordBatch.from_arrays([*row.columns, content], names=schema.names)
-
-    return chosen.mapInArrow(read, schema)
-
-
-def _content(path: str) -> bytes:
-    """The bytes behind a path as Spark lists it: with a scheme, not percent-encoded."""
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        system, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    else:
-        host, _, inner = rest.removeprefix("//").partition("/")
-        system, root = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{host}/")
-        name = f"{root.rstrip('/')}/{inner}"
-    with system.open_input_stream(name) as stream:
-        return stream.read()
+    # The scan knows its files by their encoded paths.
+    named = directory.select("path", F.col("_metadata.file_path").alias("__at"))
+    wanted = chosen.select(F.col(path).alias("path")).distinct()
+    scans = [
+        directory.filter(F.col("_metadata.file_path").isin(paths))
+        for paths in _batches(r[0] for r in named.join(wanted, "path").select("__at").toLocalIterator())
+    ]
+    return reduce(lambda a, b: a.unionAll(b), scans) if scans else directory.limit(0)
+
+
+def _batches(paths: Iterator[str]) -> Iterator[list[str]]:
+    held = []
+    for path in paths:
+        held.append(path)
+        if len(held) == PATHS_PER_SCAN:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 def read_file(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from feedwell.sources import count_files, latest_files, list_files, newest_first, read_file, read_files
+from feedwell.sources import (
+    count_files, files, latest_files, list_files, listing, newest_first, open_directory, read_file, read_files,
+)
 
 NAMES = r"^FILE_PREFIX_[^ ]+\.xlsx$"
 
@@ -68,7 +70,8 @@ def test_newest_file_of_each_feed(spark, tmp_path):
 
 def test_empty_directory_gives_no_rows_and_a_missing_one_raises(spark, tmp_path):
     assert names(latest_files(list_files(spark, str(tmp_path), NAMES))) == []
-    assert read_files(list_files(spark, str(tmp_path))).collect() == []
+    opened = open_directory(spark, str(tmp_path))
+    assert read_files(opened, listing(opened)).collect() == []
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         list_files(spark, str(tmp_path / "none")).collect()
 
@@ -77,8 +80,9 @@ def test_reads_only_the_chosen_files_with_odd_names(spark, tmp_path):
     odd = ["a[1].xlsx", "a{b,c}.xlsx", "q?.xlsx", "s*.xlsx", "per%20cent.xlsx", "sp ace.xlsx"]
     for name in [*odd, "a1.xlsx", "ab.xlsx", "qq.xlsx", "star.xlsx"]:
         put(tmp_path, name, 1_700_000_000, name.encode())
-    chosen = list_files(spark, str(tmp_path)).filter(F.element_at(F.split("path", "/"), -1).isin(odd))
-    found = read_files(chosen).collect()
+    opened = open_directory(spark, str(tmp_path))
+    chosen = listing(opened).filter(F.element_at(F.split("path", "/"), -1).isin(odd))
+    found = read_files(opened, chosen).collect()
     assert sorted(bytes(r.content).decode() for r in found) == sorted(odd)
 
 
@@ -104,6 +108,45 @@ def test_counts(spark, tmp_path):
     assert count_files(files.limit(0)).first().files == 0
 
 
-def test_bytes_and_paths_stay_on_the_executors(spark, folder):
-    plan = read_files(list_files(spark, str(folder), NAMES))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") == 1 and plan.count("Scan") == 1
+def relation(df):
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().apply(0).relation().location()
+
+
+def test_other_files_are_not_opened_and_the_directory_is_listed_once(spark, folder):
+    opened = open_directory(spark, str(folder))
+    found = read_files(opened, latest_files(listing(opened, NAMES)))
+    # Neither is seen by what was opened before: one is listed and gone, the other there and not listed.
+    (folder / "FILE_PREFIX_1.xlsx").unlink()
+    put(folder, "FILE_PREFIX_7.xlsx", 1_900_000_000)
+    assert names(found) == ["FILE_PREFIX_2.xlsx"] and bytes(found.first().content) == b"x"
+    same = spark._jvm.java.lang.System.identityHashCode
+    assert same(relation(found)) == same(relation(opened)) == same(relation(listing(opened)))
+    scan = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "file_path" in scan.split("DataFilters: ")[1].split(", Format:")[0] and "FILE_PREFIX_1" not in scan
+    opened = open_directory(spark, str(folder))
+    (folder / "FILE_PREFIX_2.xlsx").unlink()
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
+        read_files(opened, listing(opened, r"_2\.xlsx$")).collect()
+
+
+def test_a_store_that_only_hadoop_knows(spark, tmp_path):
+    """A mount table: no other library reads its scheme."""
+    for n, name in enumerate(["north_1.xlsx", "north_2.xlsx", "per%20cent [1].xlsx"]):
+        put(tmp_path, name, 1_700_000_000 + n, name.encode())
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    opened = open_directory(spark, "viewfs://store/in")
+    feed = F.regexp_extract("path", r"([a-z]+)[^/]*$", 1)
+    found = read_files(opened, latest_files(listing(opened), feed)).collect()
+    assert {r.path: bytes(r.content) for r in found} == {
+        f"viewfs://store/in/{n}": n.encode() for n in ["north_2.xlsx", "per%20cent [1].xlsx"]}
+    assert bytes(read_file(spark, "viewfs://store/in/per%20cent [1].xlsx").first().content) == b"per%20cent [1].xlsx"
+
+
+def test_many_chosen_files_are_read_by_several_scans(spark, tmp_path, monkeypatch):
+    for n in range(23):
+        put(tmp_path, f"f{n}.xlsx", 1_700_000_000, str(n).encode())
+    monkeypatch.setattr(files, "PATHS_PER_SCAN", 5)
+    opened = open_directory(spark, str(tmp_path))
+    found = read_files(opened, listing(opened, r"^f1?\d\.xlsx$"))
+    assert sorted(int(bytes(r.content)) for r in found.collect()) == list(range(20))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 4
