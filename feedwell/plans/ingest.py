@@ -12,7 +12,7 @@ from feedwell.operators.history import change_gate, history_record
 from feedwell.plans.load import feed_counts, kept_rows, rejects, sheet_rows
 from feedwell.plans.spec import FeedSpec
 from feedwell.sinks.folder import shared_folder, staged
-from feedwell.sinks.tables import append_history, read_history, with_feed_and_time, write_current
+from feedwell.sinks.tables import append_changes, read_history, replace_feeds, with_feed_and_time, write_current
 from feedwell.sources.files import count_files, latest_files, listing, open_directory, read_file, read_files
 
 HISTORY_ORDER = ("recorded_at", "processing_timestamp")
@@ -67,9 +67,11 @@ def ingest_loaded(
 
     A workbook that is damaged, has no matching sheet or lacks a required
     column raises ``ValueError`` before any table changes; several are listed in a folder that the
-    error names. With ``rejects_table`` they are listed there instead, the others are loaded, and
-    the current table keeps the rows that the rejected feeds had; if there are no others, the
-    current table and the history stay as they are.
+    error names. With ``rejects_table`` they are listed there instead and the others are loaded; if
+    there are no others, the current table and the history stay as they are.
+
+    Only rows of the loaded feeds are replaced in the current table: feeds that were rejected, or are
+    not in this run, keep theirs. Several runs at once append each change to the history once.
 
     ``recorded_at`` without a zone is in the session's time zone; default is now.
 
@@ -95,11 +97,11 @@ def ingest_loaded(
                 F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]
             ).first()
             if sums[0]:
-                _replace(kept_rows(rows, spec), bad, current_table)
+                replace_feeds(kept_rows(rows, spec), current_table, counts)
                 stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
                 new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
-                changed = change_gate(new, with_feed_and_time(history), ["feed"], HISTORY_ORDER)
-                append_history(changed.select(*history.columns), history_table)
+                append_changes(spark, history_table, lambda held: change_gate(
+                    new, with_feed_and_time(held), ["feed"], HISTORY_ORDER).select(*held.columns))
         finally:
             counts.unpersist()
     return Totals(sums[0], rejected, *sums[1:])
@@ -113,18 +115,3 @@ def _refused(bad: DataFrame, rejected: int) -> str:
     folder = shared_folder(bad.sparkSession)
     bad.write.json(folder)
     return f"{rejected} workbook(s) cannot be loaded, listed in {folder}; one of them: {one.path}: {one.reason}"
-
-
-def _replace(kept: DataFrame, bad: DataFrame, current_table: str) -> None:
-    """Replace the current table, but for the rows of feeds that were rejected in this run."""
-    spark = kept.sparkSession
-    feeds = bad.select(F.col("feed").alias("__feed")).distinct()
-    if feeds.isEmpty() or not spark.catalog.tableExists(current_table):
-        return write_current(kept, current_table)
-    old = spark.table(current_table)
-    if "feed" not in old.columns:
-        return write_current(kept, current_table)
-    old = old.select([c for c in old.columns if c in kept.columns])
-    # Staged: a table cannot be read while it is overwritten.
-    with staged(old.join(feeds, F.col("feed").eqNullSafe(F.col("__feed")), "left_semi")) as old:
-        write_current(kept.unionByName(old, allowMissingColumns=True), current_table)

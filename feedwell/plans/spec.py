@@ -20,7 +20,7 @@ class FeedSpec:
     ``columns`` maps canonical names to header prefixes, all required; ``key``
     is the one whose blank rows are dropped. A flag header starts with
     ``flag_prefix`` and contains one of ``flag_markers``; it may be absent.
-    ``feed`` maps a file name to its feed; without it all files are one feed.
+    ``feed`` maps a file name to its feed, the empty text standing for NULL; without it all files are one feed.
     """
 
     name_regex: str
@@ -43,4 +43,4 @@ class FeedSpec:
             marker_key(marker)
 
     def feed_of(self, path: str = "path") -> Column:
-        return F.lit("") if self.feed is None else self.feed(basename(path)).cast("string")
+        return F.lit("") if self.feed is None else F.nullif(self.feed(basename(path)).cast("string"), F.lit(""))

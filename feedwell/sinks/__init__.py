@@ -1,6 +1,10 @@
+from feedwell.sinks.commits import append_decided
 from feedwell.sinks.folder import shared_folder, staged
-from feedwell.sinks.tables import append_history, read_history, with_feed_and_time, write_current
+from feedwell.sinks.tables import (
+    append_changes, append_history, read_history, replace_feeds, with_feed_and_time, write_current,
+)
 
 __all__ = [
-    "append_history", "read_history", "shared_folder", "staged", "with_feed_and_time", "write_current",
+    "append_changes", "append_decided", "append_history", "read_history", "replace_feeds", "shared_folder", "staged",
+    "with_feed_and_time", "write_current",
 ]

@@ -17,6 +17,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/feedwell-{uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` written once and read back, so that later steps do not compute it again.
@@ -25,9 +30,8 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     try:
         df.write.parquet(folder)
         yield spark.read.schema(df.schema).parquet(folder)
     finally:
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_folder(spark, folder)

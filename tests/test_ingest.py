@@ -1,6 +1,7 @@
 """The whole job on directories of workbooks."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -8,7 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedwell import FeedSpec, Totals, ingest, ingest_file
-from feedwell.sinks import append_history, read_history, shared_folder, write_current
+from feedwell.operators import change_gate
+from feedwell.sinks import (
+    append_changes, append_history, commits, read_history, replace_feeds, shared_folder, tables, write_current,
+)
 from feedwell.testing.books import book_bytes
 
 HEAD = ["Column_A", "Column_B", "Flag (marker1)"]
@@ -241,3 +245,125 @@ def test_a_session_without_a_shared_folder_is_refused(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Nameless())
+
+
+def test_files_of_other_feeds_are_not_touched(job):
+    for feed in ("north", "south", "o'x\\y", "west"):
+        put(job.folder, f"{feed}_1.xlsx", 0, [[feed, 1, "y"]])
+    spec = FeedSpec(**{**ONE, "name_regex": r"^[^ ]+\.xlsx$", "feed": FEEDS.feed})
+    job.run(spec, rejects=True)
+    files = lambda: {r.feed: r.f for r in job.spark.table(job.current).select("feed", F.input_file_name().alias("f")).collect()}
+    before = files()
+    (job.folder / "west_1.xlsx").unlink()
+    put(job.folder, "south_2.xlsx", 1, b"junk")
+    put(job.folder, "north_2.xlsx", 1, [["n2", 1, "y"]])
+    put(job.folder, "o'x\\y_2.xlsx", 1, [[" ", 1, "y"]])
+    job.run(spec, rejects=True)
+    after = files()
+    assert set(after) == {"north", "south", "west"}  # a feed that is loaded without a kept row has none left
+    assert after["north"] != before["north"] and all(after[f] == before[f] for f in ("south", "west"))
+    assert [r[0] for r in job.rows()] == ["n2", "south", "west"]
+
+
+def test_a_write_that_fails_part_way_leaves_the_old_rows(spark):
+    table = f"cur_{uuid4().hex}"
+    old = spark.createDataFrame([("a", f, "p") for f in ("x", "y", "z")], "column_a string, feed string, path string")
+    replace_feeds(old, table, old)
+    new = old.withColumn("column_a", F.lit("b"))
+    broken = new.withColumn("column_a", F.when(F.col("feed") != "z", F.col("column_a")).otherwise(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        replace_feeds(broken.repartition(3), table, new)
+    spark.catalog.refreshTable(table)
+    assert sorted((r.feed, r.column_a) for r in spark.table(table).collect()) == [("x", "a"), ("y", "a"), ("z", "a")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    replace_feeds(new.filter("feed <> 'y'"), table, new.filter("feed <> 'x'"))
+    assert sorted((r.feed, r.column_a) for r in spark.table(table).collect()) == [("x", "b"), ("z", "b")]
+
+
+def test_a_table_of_other_columns_is_rebuilt_with_the_rows_that_stay(spark, monkeypatch):
+    table = f"cur_{uuid4().hex}"
+    old = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("c", None, 3)], "column_a string, feed string, other int")
+    write_current(old, table)
+    new = spark.createDataFrame([("d", "x", "f"), ("e", "z", "g")], "column_a string, feed string, flag string")
+    replace_feeds(new, table, new)
+    found = spark.table(table).select("feed", "column_a", "flag").collect()
+    assert sorted(map(tuple, found), key=repr) == [("x", "d", "f"), ("y", "b", None), ("z", "e", "g"), (None, "c", None)]
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["feed"]
+    broken = new.withColumn("other", F.lit(1)).withColumn("map", F.create_map(F.lit("a"), F.lit(1)))
+    monkeypatch.setattr(tables, "drop_folder", lambda spark, folder: None)
+    monkeypatch.setattr(type(spark.range(1).write), "saveAsTable", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError) as lost:
+        replace_feeds(broken, table, new)
+    monkeypatch.undo()
+    copy = lost.value.__notes__[0].split(" are in ")[1]
+    assert spark.read.parquet(copy).count() == spark.table(table).count() == 4
+    write_current(spark.createDataFrame([(1,)], "v int"), table)
+    replace_feeds(new, table, new)
+    assert spark.table(table).count() == 2
+
+
+def log_of(spark, rows=()):
+    table = f"his_{uuid4().hex}"
+    append_changes(spark, table, lambda held: spark.createDataFrame(list(rows), held.schema))
+    return table
+
+
+def record(feed, count, minute):
+    return (feed, f"{feed}.xlsx", f"2024-01-01 00:{minute:02}", count, datetime(2024, 1, 1, 0, minute))
+
+
+def gate(spark, rows):
+    """Decides like a job: the records that differ from the latest of their feed."""
+    return lambda held: change_gate(spark.createDataFrame(rows, held.schema), held, ["feed"], ["recorded_at", "processing_timestamp"])
+
+
+def test_interleaved_runs_append_a_change_once(spark):
+    table = log_of(spark, [record("a", 1, 0)])
+    calls = []
+
+    def slow(held):
+        """The other run begins after this one has read the log, and ends before this one appends."""
+        calls.append(held.count())
+        if len(calls) == 1:
+            assert append_changes(spark, table, gate(spark, [record("a", 2, 1), record("b", 7, 1)]))
+        return gate(spark, [record("a", 2, 2), record("b", 8, 2), record("c", 5, 2)])(held)
+
+    assert append_changes(spark, table, slow)
+    assert calls == [1, 3]
+    found = sorted((r.feed, r.flagged_line_count) for r in spark.table(table).collect())
+    assert found == [("a", 1), ("a", 2), ("b", 7), ("b", 8), ("c", 5)]
+    assert not append_changes(spark, table, gate(spark, [record("a", 2, 3), record("c", 5, 3)]))
+
+
+def test_many_runs_at_once_append_a_change_once(spark):
+    table = log_of(spark)
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda n: append_changes(spark, table, gate(spark, [record("a", 1, n), record("b", 2, n)])), range(4)))
+    spark.catalog.refreshTable(table)
+    assert sorted(done) == [False, False, False, True]
+    assert sorted((r.feed, r.flagged_line_count) for r in spark.table(table).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_a_run_that_stops_after_its_claim_is_finished_by_the_next(spark):
+    table = log_of(spark, [record("a", 1, 0)])
+    versions = commits._Versions(spark, table)
+    staged = versions.stage(spark.createDataFrame([record("a", 2, 1)], spark.table(table).schema))
+    assert versions.claim(2, staged) and not versions.claim(2, staged)
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 1
+    assert not append_changes(spark, table, gate(spark, [record("a", 2, 2)]))
+    assert sorted(r.flagged_line_count for r in spark.table(table).collect()) == [1, 2]
+    # One that stops before its claim leaves rows that nobody sees.
+    versions.stage(spark.createDataFrame([record("a", 9, 3)], spark.table(table).schema))
+    assert append_changes(spark, table, gate(spark, [record("a", 3, 4)]))
+    assert sorted(r.flagged_line_count for r in spark.table(table).collect()) == [1, 2, 3]
+
+
+def test_a_claim_by_rename_does_not_replace_another(spark, tmp_path):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in ("one", "two"):
+        (tmp_path / name).write_text(name)
+    commits._rename(spark, path(f"file:{tmp_path}/one"), path(f"file:{tmp_path}/claim"))
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        commits._rename(spark, path(f"file:{tmp_path}/two"), path(f"file:{tmp_path}/claim"))
+    assert (tmp_path / "claim").read_text() == "one"
