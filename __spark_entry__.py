@@ -24,7 +24,7 @@ from feedwell.operators import (
 )
 from feedwell.plans import FeedSpec, feed_counts, ingest_loaded, rejects, sheet_rows
 from feedwell.plans.load import kept_rows
-from feedwell.sinks import append_history, read_history, shared_folder, write_current
+from feedwell.sinks import append_history, read_history, shared_folder, staging, write_current
 from feedwell.sources import count_files, latest_files, listing, match_names, open_directory, read_files, read_parts
 from feedwell.testing.books import Raw, books_of
 
@@ -386,7 +386,7 @@ def _workbook_cells(spark, d):
         return {"Rows": body}, langs, '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs>'
 
     docs = _table(spark, d, "documents").select("doc_id", "lang", "source")
-    rows = decode_cells(read_parts(books_of(docs, sheets, by="source"), ["source"]), ["source"])
+    rows = decode_cells(read_parts(books_of(docs, sheets, by="source"), ["source"], stage=_staying(spark)), ["source"])
     names = ("doc_id", "lang", "day", "odd", "error", "negative")
     return rows.select("source", *[F.col("cells")[n].alias(name) for n, name in enumerate(names)])
 
@@ -401,7 +401,7 @@ def _workbook_rows(spark, d):
         body = [[r["doc_id"], None, r["text"], r["toxic"]] for r in rows]
         return {"Intro": [["nothing"]], "Rows": [["id", None, "text", "flag"], *body]}
 
-    parts = read_parts(books_of(_document_rows(spark, d), sheets, by="source"), ["source"], "röws")
+    parts = read_parts(books_of(_document_rows(spark, d), sheets, by="source"), ["source"], "röws", stage=_staying(spark))
     rows = decode_cells(parts, ["source"]).filter(F.col("row_no") > 0)
     cells = F.col("cells")
     return rows.select("source", cells[0].alias("column_a"), F.md5(cells[2]).alias("text_md5"), cells[3].alias("flag"))
@@ -435,10 +435,22 @@ def _source_books(spark, d):
 def _parsed(spark, books, spec):
     """The rows of workbooks, written once as a job does. They stay: the result reads them."""
     folder = shared_folder(spark)
-    sheet_rows(books, spec).write.parquet(folder)
+    with staging(spark) as stage:
+        sheet_rows(books, spec, stage).write.parquet(folder)
     return spark.read.parquet(folder)
 
 
+def _staying(spark):
+    """A stage whose copies stay, as the result reads them."""
+
+    def stage(df):
+        folder = shared_folder(spark)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
+    return stage
+
+
 def _workbook_load(spark, d):
     rows = _parsed(spark, _source_books(spark, d), _load_spec())
     return kept_rows(rows, _load_spec()).select("feed", "column_a", "column_b", "flag", "has_flag")
@@ -457,7 +469,7 @@ def _workbook_rejects(spark, d):
         flag_prefix="flag", flag_markers=("toxic",),
     )
     books = _page_books(spark, d).withColumn("feed", F.col("page_id").cast("string"))
-    return rejects(sheet_rows(books, spec)).select("feed", "reason")
+    return rejects(sheet_rows(books, spec, _staying(spark))).select("feed", "reason")
 
 
 def _jobs(spark, d, runs, keep):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feedwell.operators.history import change_gate, history_record
 from feedwell.plans.load import feed_counts, kept_rows, rejects, sheet_rows
 from feedwell.plans.spec import FeedSpec
-from feedwell.sinks.folder import shared_folder, staged
+from feedwell.sinks.folder import shared_folder, staging
 from feedwell.sinks.tables import append_changes, read_history, replace_feeds, with_feed_and_time, write_current
 from feedwell.sources.files import count_files, latest_files, listing, open_directory, read_file, read_files
 
@@ -82,8 +82,8 @@ def ingest_loaded(
     history = read_history(spark, history_table)
     if spec.feed is not None and "feed" not in history.columns:
         raise ValueError(f"{history_table} has no feed column, so it can hold one unnamed feed only")
-    rows = sheet_rows(loaded.withColumn("feed", spec.feed_of()), spec)
-    with staged(rows) as rows:
+    with staging(spark) as stage:
+        rows = stage(sheet_rows(loaded.withColumn("feed", spec.feed_of()), spec, stage))
         bad = rejects(rows)
         rejected = bad.count()
         if rejects_table is not None:

@@ -14,21 +14,21 @@ from feedwell.operators.headers import first_position, flag_position
 from feedwell.operators.rows import canonical_rows, drop_blank_keys
 from feedwell.operators.stats import load_stats
 from feedwell.plans.spec import FeedSpec
-from feedwell.sources.workbook import read_parts
+from feedwell.sources.workbook import Stage, read_parts
 
 
-def sheet_rows(loaded: DataFrame, spec: FeedSpec) -> DataFrame:
+def sheet_rows(loaded: DataFrame, spec: FeedSpec, stage: Stage | None = None) -> DataFrame:
     """All rows of the chosen sheet of every workbook in ``loaded`` (path, content, feed).
 
     Gives (feed, path, reason, row_no, the canonical columns, flag, has_flag). Blank rows are left
     out, but row 0, the header row, is always there, so that every workbook has a row. A workbook
-    that cannot be loaded has a row with ``reason`` set; where the damage shows part way, rows
-    come before it, which ``kept_rows`` and ``feed_counts`` drop. There is one pass over the bytes
-    and no shuffle: columns are chosen from the header that each part of a sheet carries.
+    that cannot be loaded has rows with ``reason`` set; where the damage shows part way, it has others
+    too, which ``kept_rows`` and ``feed_counts`` drop. Columns are chosen from the header that each
+    part of a sheet carries. ``stage`` is that of ``read_parts``.
     """
     parts = read_parts(
         loaded.select("feed", "path", "content"), ["feed", "path"], spec.sheet_prefix,
-        columns=[*spec.columns.values(), spec.flag_prefix],
+        columns=[*spec.columns.values(), spec.flag_prefix], stage=stage,
     )
     parts = parts.withColumn("__styles", shown("formats")).withColumn("__headers", header_texts(F.col("__styles")))
     names = F.zip_with("head", "__headers", lambda h, t: F.coalesce(h["plain"], t))
@@ -87,8 +87,9 @@ def kept_rows(rows: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def rejects(rows: DataFrame) -> DataFrame:
-    """(feed, path, reason) of the workbooks that could not be loaded."""
-    return rows.filter(F.col("reason").isNotNull()).select("feed", "path", "reason")
+    """(feed, path, reason) of the workbooks that could not be loaded; of several reasons the least."""
+    found = rows.filter(F.col("reason").isNotNull()).groupBy("feed", "path")
+    return found.agg(F.array_min(F.collect_set("reason")).alias("reason"))
 
 
 def feed_counts(rows: DataFrame, spec: FeedSpec) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -23,15 +23,18 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` written once and read back, so that later steps do not compute it again.
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes a table once and reads it back, so that later steps do not compute it again.
 
-    The copy survives the loss of executors and is dropped at the end.
+    The copies survive the loss of executors; all are dropped at the end.
     """
-    spark = df.sparkSession
     folder = shared_folder(spark)
     try:
-        df.write.parquet(folder)
-        yield spark.read.schema(df.schema).parquet(folder)
+        yield lambda df: _written(df, f"{folder}/{uuid4().hex}")
     finally:
         drop_folder(spark, folder)
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

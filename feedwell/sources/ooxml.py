@@ -1,21 +1,27 @@
 """Unpacks one ``.xlsx`` workbook (ECMA-376): its sheets, and the stored cells of a sheet.
 
 A helper for the tasks in ``workbook.py``: standard library only. It opens the archive, follows its
-links, looks shared strings up and cuts the XML of a sheet into cells as they are stored. What a
-cell means is decided by Spark (``operators/cells.py``).
+links, cuts the XML of a sheet, or of the shared strings, into blocks of whole elements, and reads the
+cells, or strings, of one block. What a cell means is decided by Spark (``operators/cells.py``).
 """
 
 from __future__ import annotations
 
+import codecs
 import io
 import posixpath
+import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 from xml.parsers import expat
 
-#: A stored cell: position from 0, kind, style number, text.
+#: A stored cell: position from 0, kind, style number, text; of a shared string its number.
 Cell = tuple[int, str, int, str]
+#: Bytes of XML that make a block; one element is never cut.
+BLOCK_BYTES = 1 << 20
+#: What is read again when a block grows, so that no tag is missed; longer than any tag of a row.
+_OVERLAP = 1 << 16
 
 
 class Book:
@@ -42,8 +48,6 @@ class Book:
         options = next(iter(_children(root, "workbookPr")), None)
         self.date1904 = options is not None and options.get("date1904") in ("1", "true")
         self._parts = {kind: target for kind, target in links.values() if target in self._members}
-        self._strings: list[str] = []
-        self._more_strings = self._read_strings(self._parts.get("sharedStrings"))
 
     @property
     def formats(self) -> list[str]:
@@ -54,41 +58,36 @@ class Book:
         used = [xf.get("numFmtId", "0") for xf in _children(root, "cellXfs", "xf")]
         return [codes.get(number, f"id:{number}") for number in used]
 
+    def blocks(self, member: str) -> Iterator[tuple[str, int, bytes]]:
+        """The rows of a sheet as XML: (prefix of its names, number of the first row from 0, whole ``<row>`` elements)."""
+        with self._zip.open(member) as stream:
+            yield from _cut(_as_utf8(stream), b"row")
+
+    def string_blocks(self) -> Iterator[tuple[str, int, bytes]]:
+        """The shared strings as XML: (prefix of its names, number of the first one, whole ``<si>`` elements)."""
+        if "sharedStrings" in self._parts:
+            with self._zip.open(self._parts["sharedStrings"]) as stream:
+                yield from _cut(_as_utf8(stream), b"si")
+
+    def strings(self, wanted: set[int]) -> dict[int, str]:
+        """The wanted shared strings that there are, read only as far as the last of them."""
+        found: dict[int, str] = {}
+        if wanted:
+            for prefix, first, xml in self.string_blocks():
+                found.update((n, text) for n, text in enumerate(block_strings(prefix, xml), first) if n in wanted)
+                if len(found) == len(wanted):
+                    break
+        return found
+
     def rows(self, member: str) -> Iterator[tuple[int, list[Cell]]]:
         """(row number from 0, its cells) of the rows that hold any text, in the order of the sheet."""
-        with self._zip.open(member) as stream:
-            for number, cells in _parse(stream, _SheetEvents()):
-                read = [self._read(cell) for cell in cells]
-                read = [cell for cell in read if cell[3] or cell[1] == "e"]
-                if read:
-                    yield number, read
-
-    def _read(self, cell: Cell) -> Cell:
-        """The cell with a shared string in place of its number; a number that has none is an error."""
-        at, kind, style, raw = cell
-        if kind != "s":
-            return cell
-        try:
-            return at, kind, style, self._string(int(raw))
-        except (ValueError, IndexError):
-            return at, "e", style, raw
-
-    def _read_strings(self, member: str | None) -> Iterator[str]:
-        if member is None:
-            return
-        with self._zip.open(member) as stream:
-            yield from _parse(stream, _StringEvents())
-
-    def _string(self, index: int) -> str:
-        # Read only as far as asked: a header needs few of the strings.
-        if index < 0:
-            raise IndexError(index)
-        while len(self._strings) <= index:
-            text = next(self._more_strings, None)
-            if text is None:
-                raise IndexError(index)
-            self._strings.append(text)
-        return self._strings[index]
+        for block in self.blocks(member):
+            yield from block_rows(*block)
+
+    def header(self, member: str) -> list[Cell]:
+        """The cells of row 0."""
+        number, cells = next(self.rows(member), (0, []))
+        return [] if number else cells
 
     def _xml(self, member: str) -> ET.Element:
         return ET.fromstring(self._zip.read(member))
@@ -139,10 +138,10 @@ class _StringEvents:
 class _SheetEvents(_StringEvents):
     """Rows of a sheet as (row number from 0, cells with text)."""
 
-    def __init__(self):
+    def __init__(self, first: int):
         super().__init__()
         self._columns = _Columns()
-        self._number = self._at = -1
+        self._number, self._at = first - 1, -1
         self._cells: list[Cell] = []
         self._cell: dict = {}
 
@@ -169,34 +168,124 @@ class _SheetEvents(_StringEvents):
         elif tag == "v":
             self._reading = False
         elif tag == "row":
-            self.done.append((self._number, self._cells))
+            if self._cells:
+                self.done.append((self._number, self._cells))
         else:
             super().end(tag)
 
 
-def _parse(stream, events: _StringEvents) -> Iterator:
-    """What ``events`` completes, chunk by chunk of the XML in ``stream``."""
-    parser = expat.ParserCreate()
-    parser.buffer_text = True
+def block_rows(prefix: str, first: int, xml: bytes) -> Iterator[tuple[int, list[Cell]]]:
+    """(row number from 0, its cells) of the rows of a block that hold any text."""
+    return _parse(prefix, xml, _SheetEvents(first))
 
-    def root(tag: str, attributes: dict) -> None:
-        prefix = len(tag.rpartition(":")[0])
-        if prefix:  # all names carry the prefix of the root
-            parser.StartElementHandler = lambda t, a: events.start(t[prefix + 1:], a)
-            parser.EndElementHandler = lambda t: events.end(t[prefix + 1:])
-        else:
-            parser.StartElementHandler, parser.EndElementHandler = events.start, events.end
 
-    parser.StartElementHandler = root
+def block_strings(prefix: str, xml: bytes) -> Iterator[str]:
+    """The strings of a block."""
+    return _parse(prefix, xml, _StringEvents())
+
+
+#: A block is parsed inside an element of its own.
+_ROOT, _END = b"<block>", b"</block>"
+
+
+def _parse(prefix: str, xml: bytes, events: _StringEvents) -> Iterator:
+    """What ``events`` completes, chunk by chunk of the XML."""
+    parser = expat.ParserCreate("utf-8")
+    parser.buffer_text = True
+    named = len(prefix) + 1 if prefix else 0
+    parser.StartElementHandler = lambda tag, attributes: events.start(tag[named:], attributes)
+    parser.EndElementHandler = lambda tag: events.end(tag[named:])
     parser.CharacterDataHandler = events.data
-    while chunk := stream.read(65_536):
-        parser.Parse(chunk)
+    parser.Parse(_ROOT)
+    for n in range(0, len(xml), 65_536):
+        parser.Parse(xml[n : n + 65_536])
         yield from events.done
         events.done.clear()
-    parser.Parse(b"", True)
+    parser.Parse(_END, True)
     yield from events.done
 
 
+def _as_utf8(stream) -> Iterator[bytes]:
+    """The XML in ``stream`` chunk by chunk, in UTF-8 whatever its own encoding."""
+    start = stream.read(200).removeprefix(codecs.BOM_UTF8)
+    named = re.match(rb"""<\?xml[^>]*\bencoding\s*=\s*["']([\w.-]+)""", start)
+    wide = start.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE))
+    encoding = "utf-16" if wide else named[1].decode() if named else "utf-8"
+    if codecs.lookup(encoding).name in ("utf-8", "ascii"):
+        yield start
+        while chunk := stream.read(BLOCK_BYTES):
+            yield chunk
+    else:
+        decoder = codecs.getincrementaldecoder(encoding)()
+        yield decoder.decode(start).encode()
+        while chunk := stream.read(BLOCK_BYTES):
+            yield decoder.decode(chunk).encode()
+        yield decoder.decode(b"", True).encode()
+
+
+def _cut(chunks: Iterator[bytes], tag: bytes) -> Iterator[tuple[str, int, bytes]]:
+    """XML cut behind elements called ``tag``: (prefix of names, number of the first element, whole elements).
+
+    An element is numbered by its ``r``, from 1, or follows the one before it. What lies before the first
+    and after the last of them must be well-formed. There is at least one block, which may be empty.
+    """
+    token = re.compile(
+        rb"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?P<close>/?)(?:[\w.-]+:)?" + tag
+        + rb"(?=[\s/>])(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+    outside = expat.ParserCreate("utf-8")
+    names: list[str] = []
+    outside.StartElementHandler = lambda name, _: names.append(name) if not names else None
+    held, seen = b"", 0
+    # Whole elements that are not given out yet, the number of the first, and where one is open.
+    start, end, first, opened = None, 0, 0, None
+    number, given, more = -1, False, True
+    while more:
+        chunk = next(chunks, None)
+        more = chunk is not None
+        held += chunk or b""
+        limit = _unclosed(held, seen) if more else len(held)
+        for found in token.finditer(held, seen, limit):
+            seen = found.end()
+            if found["close"] is None:
+                continue  # a comment or literal text
+            if not found["close"]:
+                named = re.search(rb"(?:^|\s)r\s*=\s*[\"']([^\"']*)", found["attributes"])
+                number = int(named[1]) - 1 if named else number + 1
+                opened = found.start()
+                if start is None:
+                    outside.Parse(held[end:opened])
+                    start, end, first = opened, opened, number
+            if found["close"] or found["attributes"].endswith(b"/"):
+                end, opened = found.end(), None
+        # What was looked through needs no second look, but for a tag that may go on.
+        seen = max(seen, limit - _OVERLAP)
+        if start is not None and end - start >= BLOCK_BYTES:
+            yield names[0].rpartition(":")[0], first, held[start:end]
+            given, held, seen = True, held[end:], seen - end
+            start, end, first, opened = None, 0, number, opened and opened - end
+            if opened is not None:
+                outside.Parse(held[:opened])
+                start = end = opened
+        elif start is None:
+            outside.Parse(held[end:seen])
+            held, seen, end = held[seen:], 0, 0
+    if start is not None and end > start:
+        yield names[0].rpartition(":")[0], first, held[start:end]
+        given = True
+    outside.Parse(held[end:], True)
+    if not given:
+        yield names[0].rpartition(":")[0], 0, b""
+
+
+def _unclosed(held: bytes, seen: int) -> int:
+    """Where a comment or literal text begins that goes on in the next chunk; else the end."""
+    for opening, closing in ((b"<!--", b"-->"), (b"<![CDATA[", b"]]>")):
+        at = held.rfind(opening, seen)
+        if at >= 0 and held.find(closing, at) < 0:
+            return at
+    return len(held)
+
+
 class _Columns(dict):
     """Position from 0 of a column's letters, remembered: A is 0, Z is 25, AA is 26."""
 

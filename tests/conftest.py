@@ -3,10 +3,16 @@ import sys
 import tempfile
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import feedwell  # noqa: E402
+
+# Tasks get the package as the test has it, with parameters that it changed.
+cloudpickle.register_pickle_by_value(feedwell)
+
 
 @pytest.fixture(scope="session")
 def spark():

@@ -1,9 +1,14 @@
 """The cell reader against generated sheets, whole and damaged."""
 
+import io
+import random
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from feedwell.sources.ooxml import Book
+from feedwell.sources import ooxml
+from feedwell.sources.ooxml import Book, block_rows, block_strings
 from feedwell.testing.books import book_bytes
 
 LEGAL = st.characters(codec="utf-8", exclude_categories=["Cc", "Cs"], exclude_characters="￾￿") | st.sampled_from("\t\n\r")
@@ -41,3 +46,52 @@ def test_damage_raises_or_reads(junk, at, cut):
         read(damaged)
     except Exception:  # noqa: S110 - any error is fine, a hang or a crash is not
         pass
+
+
+def read_blocks(chunks, tag=b"row"):
+    found = list(ooxml._cut(iter(chunks), tag))
+    return [r for block in found for r in block_rows(*block)], found
+
+
+PIECES = st.sampled_from([
+    "<x:row><x:c><x:v>1</x:v></x:c></x:row>", '<x:row r="7"><x:c><x:v>2</x:v></x:c></x:row>', "<x:row/>", '<x:row r="3"/>', "\n ",
+    "<!-- </x:row> <x:row> -->", '<x:row a="b>c"><x:c t="str"><x:v><![CDATA[</x:row>]]>q</x:v></x:c></x:row>',
+    "<x:row>" + "<x:c><x:v>5</x:v></x:c>" * 40 + "</x:row>",
+])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(PIECES, max_size=12), st.integers(1, 90), st.integers(1, 400), st.integers(0, 10_000))
+def test_blocks_hold_the_same_rows_wherever_they_are_cut(pieces, chunk, block, end):
+    xml = f"<?xml version='1.0'?><x:worksheet><x:cols/><x:sheetData>{''.join(pieces)}</x:sheetData><x:rowBreaks/></x:worksheet>".encode()
+    whole, _ = read_blocks([xml])
+    before = ooxml.BLOCK_BYTES, ooxml._OVERLAP
+    ooxml.BLOCK_BYTES, ooxml._OVERLAP = block, 200
+    try:
+        assert read_blocks([xml[n : n + chunk] for n in range(0, len(xml), chunk)])[0] == whole
+        with pytest.raises(Exception):  # a sheet that ends early is damaged
+            read_blocks([xml[: end % len(xml)]])
+    finally:
+        ooxml.BLOCK_BYTES, ooxml._OVERLAP = before
+
+
+@pytest.mark.parametrize("encoding", ["utf-8-sig", "utf-16", "iso-8859-1", "utf-8"])
+def test_other_encodings(encoding):
+    declared = f"<?xml version='1.0' encoding='{encoding.removesuffix('-sig')}'?>"
+    xml = f"{declared}<w><row><c t='str'><v>\u00e9t\u00e9</v></c></row></w>".encode(encoding)
+    assert read_blocks(ooxml._as_utf8(io.BytesIO(xml)))[0] == [(0, [(0, "str", 0, "\u00e9t\u00e9")])]
+
+
+def test_strings_by_number():
+    rng = random.Random(2)
+    texts = [rng.choice(["", "a", "b" * 50, "<&>"]) + str(n) * (n % 4) for n in range(500)]
+    book = Book(book_bytes({"S": []}, strings=texts))
+    assert [t for prefix, _, xml in book.string_blocks() for t in block_strings(prefix, xml)] == texts
+    assert book.strings({0, 499, 500, 7}) == {n: texts[n] for n in (0, 7, 499)} and book.strings(set()) == {}
+
+
+def test_a_long_row_is_not_looked_through_again_and_again():
+    cells = b"<c><v>1</v></c>" * 400_000
+    xml = b"<w><row>" + cells + b"</row></w>"
+    rows, blocks = read_blocks(xml[n : n + 20_000] for n in range(0, len(xml), 20_000))
+    assert len(blocks) == 1 and len(rows[0][1]) == 400_000

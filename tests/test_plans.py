@@ -18,8 +18,7 @@ GLOBAL = {"load_stats", "flag_total", "latest_file"}
 STRING_ORDER: set[str] = set()
 NO_SHUFFLE = {
     "normalise_key", "normalise_substring", "path_filter", "basename", "minute_stamp", "nonblank_rows",
-    "canonical_select", "current_table", "workbook_sheets", "workbook_rows", "workbook_rejects", "workbook_cells",
-    "decode_cells", "file_lines",
+    "canonical_select", "current_table", "workbook_sheets", "workbook_rows", "decode_cells", "file_lines",
 }
 
 

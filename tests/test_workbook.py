@@ -4,11 +4,12 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from feedwell.operators import decode_cells, header_texts, list_headers, missing_columns, shown
 from feedwell.plans import FeedSpec, feed_counts, rejects, sheet_rows
 from feedwell.plans.load import kept_rows
-from feedwell.sources import read_parts
+from feedwell.sources import ooxml, read_parts, workbook
 from feedwell.sources.workbook import PART_ROWS
 from feedwell.testing.books import Raw, book_bytes
 
@@ -231,10 +232,95 @@ def test_long_cells_come_in_bounded_batches(spark):
         "path", "`count(1)`", "length(`max(column_b)`)").orderBy("path").collect()] == [("x", 100, 400_000), ("y", 100, 400_000)]
 
 
-def test_parsing_needs_no_shuffle_and_one_pass(spark):
-    plan = sheet_rows(loaded(spark, x=sheet(HEAD)), SPEC)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+@pytest.fixture()
+def stage(spark, tmp_path):
+    """Keeps each staged table, in order."""
+    kept = []
+
+    def write(df):
+        df.write.parquet(f"{tmp_path}/{len(kept)}")
+        kept.append(spark.read.schema(df.schema).parquet(f"{tmp_path}/{len(kept)}"))
+        return kept[-1]
+
+    write.kept = kept
+    return write
+
+
+def test_bytes_are_opened_once_and_cells_decoded_by_spark(spark, stage):
+    plan = sheet_rows(loaded(spark, x=sheet(HEAD)), SPEC, stage)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" not in plan  # blocks and cells are staged
+    lazy = sheet_rows(loaded(spark, x=sheet(HEAD)), SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in lazy and "CartesianProduct" not in lazy and "NestedLoop" not in lazy
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_small_blocks_give_the_same_answers(spark, stage, monkeypatch, staged):
+    rows = [[i if i % 5 else None, Raw(f'<c t="s"><v>{i % 9}</v></c>'), "y" if i % 3 else None] for i in range(700)]
+    rows[300] = Raw('<row r="500"><c><v>7</v></c></row>')  # numbers go on from there
+    data = sheet(HEAD, *rows, strings=[f"text {n}" for n in range(7)] + [""])
+    books = loaded(spark, a=data, b=data, c=sheet(HEAD, ["k", "v", "y"]))
+
+    def answers():
+        found = sheet_rows(books, SPEC, stage if staged else None)
+        return sorted(map(tuple, kept_rows(found, SPEC).collect()), key=repr), sorted(map(tuple, feed_counts(found, SPEC).collect()))
+
+    whole = answers()
+    blocks, parts = (t.count() for t in stage.kept) if staged else (0, 0)
+    for size in (1, 3_000):
+        monkeypatch.setattr(ooxml, "BLOCK_BYTES", size)
+        assert answers() == whole
+    if staged:
+        assert (blocks, parts) == (5, 3) and stage.kept[2].count() > 1_400
+    kept_a = [r for r in whole[0] if r[1] == "a"]
+    assert len(kept_a) == 561 and {r[3] for r in kept_a} == {f"text {n}" for n in range(7)} | {None}
+
+
+def test_a_sheet_of_two_million_rows_is_read_by_many_tasks(spark, stage):
+    size = 2_000_000
+    body = "".join(f'<row><c><v>{n}</v></c><c t="s"><v>{n % 3}</v></c></row>' for n in range(size))
+    head = "<row><c t='inlineStr'><is><t>Column_A</t></is></c><c t='inlineStr'><is><t>Column_B</t></is></c></row>"
+    data = book_bytes({"Sheet prefix": [Raw(head + body)]}, strings=["x", "y", "z"])
+    rows = sheet_rows(loaded(spark, x=data), SPEC, stage)
+    blocks = stage.kept[0].filter("part_no >= 0")
+    assert blocks.count() > 40 and blocks.agg({"size": "max"}).first()[0] < 3 * ooxml.BLOCK_BYTES
+    assert workbook._dealt(blocks, True).rdd.getNumPartitions() >= blocks.count()
+    found = kept_rows(rows, SPEC).groupBy("column_b").agg({"*": "count", "column_a": "max"}).collect()
+    assert sorted(tuple(r)[:2] for r in found) == [("x", 666_667), ("y", 666_667), ("z", 666_666)]
+    # Every task read a share of the rows, not one of them all.
+    files = stage.kept[1].groupBy("_metadata.file_path").agg(F.sum(F.size("rows")).alias("n")).collect()
+    assert sum(r.n for r in files) == size + 1 and max(r.n for r in files) < size / 10
+
+
+def test_shared_strings_are_joined_as_a_table(spark, stage):
+    many = [f"string {n} " + "x" * 100 for n in range(200_000)]
+    rows = [["k", Raw(f'<c t="s"><v>{n}</v></c>'), None] for n in (5, 199_999, 77_777, 200_000, 5)] + [["k", Raw('<c t="s"><v>-1</v></c>')]]
+    data = sheet(HEAD, *rows, strings=many)
+    found = sheet_rows(loaded(spark, x=data, same=data), SPEC, stage)
+    texts = sorted((r.column_b or "") for r in kept_rows(found, SPEC).collect())
+    assert texts == sorted(2 * [many[5], many[199_999], many[77_777], "", many[5], ""])
+    blocks, parts = stage.kept
+    strings = blocks.filter("part_no = -1")
+    assert strings.count() > 20 and strings.agg({"size": "max"}).first()[0] < 3 * ooxml.BLOCK_BYTES
+    assert [list(r.wanted) for r in parts.select("wanted").distinct().collect()] == [[5, 77_777, 199_999, 200_000]]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "number" in plan
+
+
+def test_damaged_shared_strings_make_a_reject(spark):
+    broken = Raw("<si><t>a</x></si>")
+    books = loaded(
+        spark, bad=sheet(HEAD, [Raw('<c t="s"><v>0</v></c>'), "v"], strings=[broken]), unused=sheet(HEAD, ["k", "v"], strings=[broken]),
+        good=sheet(HEAD, [Raw('<c t="s"><v>0</v></c>'), "v"], strings=["k"]))
+    rows = sheet_rows(books, SPEC)
+    assert [(r.path, "shared strings" in r.reason) for r in rejects(rows).collect()] == [("bad", True)]
+    assert sorted(r.path for r in kept_rows(rows, SPEC).collect()) == ["good", "unused"]
+
+
+def test_several_damaged_blocks_make_one_reject(spark, monkeypatch):
+    monkeypatch.setattr(ooxml, "BLOCK_BYTES", 200)
+    rows = [[str(n), "v", "y" if n % 20 else Raw("<c><v>1</c>")] for n in range(100)]
+    found = rejects(sheet_rows(loaded(spark, x=sheet(HEAD, *rows)), SPEC)).collect()
+    assert [(r.path, r.reason.startswith("unreadable sheet: ")) for r in found] == [("x", True)]
 
 
 def test_only_wanted_columns_leave_the_reader(spark):
