@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 import feedwell
 from feedwell.functions import basename, key_text, marker_text, minute_stamp, non_blank
 from feedwell.operators import (
-    canonical_rows, change_gate, decode_cells, drop_blank_keys, flag_counts, header_texts, history_record, keep_changes,
+    canonical_rows, change_gate, decode_cells, drop_blank_keys, flag_counts, header_texts, history_record, infer_types, keep_changes,
     latest_per, latest_record, list_headers, load_stats, missing_columns, resolve_flag, resolve_headers,
-    resolve_headers_all, shown,
+    resolve_headers_all, resolve_targets, shown, with_inferred_types,
 )
 from feedwell.plans import FeedSpec, feed_counts, ingest_loaded, rejects, sheet_rows
 from feedwell.plans.load import kept_rows
@@ -128,6 +128,16 @@ def _resolve_headers_all(spark, d):
     return resolve_headers_all(_headers(spark, d), prefixes, ["p_brand"], "p_name", "p_partkey")
 
 
+def _resolve_targets(spark, d):
+    """Every brand with targets of its own: the beginnings of its names, of two lengths."""
+    headers = _headers(spark, d)
+    cuts = F.array(*[F.concat(F.lit(f"{n}: "), F.left("p_name", F.lit(n))) for n in (6, 10)])
+    targets = headers.select("p_brand", F.explode(cuts).alias("target")).distinct()
+    targets = targets.select("p_brand", "target", F.upper(F.split("target", ": ", 2)[1]).alias("prefix"))
+    found = resolve_targets(headers, targets, ["p_brand"], "p_brand", "p_name", "p_partkey")
+    return found.select("p_brand", "target", "p_partkey", "p_name")
+
+
 def _flag_header(spark, d):
     return resolve_flag(_headers(spark, d), "cold", ["widget", "Gádget"], ["p_brand"], "p_name", "p_partkey")
 
@@ -199,6 +209,35 @@ def _flag_empty(spark, d):
     return load_stats(orders, "o_key", by=["o_orderstatus"])
 
 
+# --- types --------------------------------------------------------------------
+
+
+def _as_texts(spark, d):
+    """Orders as a sheet gives them, all text, with dates, booleans, mixed and blank columns."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    return _table(spark, d, "orders").select(
+        key.cast("string").alias("whole"), price.alias("number"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 00:00:00")).alias("day"),
+        F.when(F.col("o_orderstatus") == "O", "True").otherwise("False").alias("open"),
+        F.when(key == 7, "seven").otherwise(key.cast("string")).alias("mixed"),
+        F.when(key % 3 == 0, F.lit(None)).otherwise(key.cast("string")).alias("gaps"),
+        F.lpad(key.cast("string"), 9, "0").alias("padded"), F.lit(None).cast("string").alias("blank"),
+    )
+
+
+def _infer_types(spark, d):
+    """Types of the orders' columns, and of the events' by kind of event."""
+    orders, events = _as_texts(spark, d), _table(spark, d, "events")
+    found = infer_types(orders, orders.columns).select(F.lit("orders").alias("feed"), "column", "type")
+    texts = events.select("event_type", *[
+        F.col(c).cast("string").alias(c) for c in ("event_id", "ts", "user_id", "value")])
+    return found.unionByName(infer_types(texts, texts.columns[1:], ["event_type"]).withColumnRenamed("event_type", "feed"))
+
+
+def _typed_rows(spark, d):
+    return with_inferred_types(_as_texts(spark, d), ["whole", "number", "day", "open", "mixed", "gaps", "padded", "blank"])
+
+
 # --- history -----------------------------------------------------------------
 
 
@@ -536,6 +575,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_lines": _file_lines,
     "resolve_headers": _resolve_headers,
     "resolve_headers_all": _resolve_headers_all,
+    "resolve_targets": _resolve_targets,
     "flag_header": _flag_header,
     "missing_columns": _missing_columns,
     "nonblank_rows": _nonblank_rows,
@@ -545,6 +585,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flag_summary": _flag_summary,
     "flag_total": _flag_total,
     "flag_empty": _flag_empty,
+    "infer_types": _infer_types,
+    "typed_rows": _typed_rows,
     "history_record": _history_record,
     "latest_record": _latest_record,
     "latest_per_source": _latest_per_source,
@@ -688,6 +730,13 @@ _SQL = {
         from {_HEADERS} h
         join (values (0, 'coldw'), (1, 'cold'), (2, 'blue')) t(target_no, prefix) on starts_with(k, prefix)
         group by p_brand, p_name""",
+    "resolve_targets": f"""
+        with targets as (
+            select distinct p_brand, n, n || ': ' || left(p_name, n) as target, {_key('left(p_name, n)')} as prefix
+            from part, (values (6), (10)) t(n))
+        select p_brand, target, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
+        from {_HEADERS} h join targets using (p_brand) where starts_with(k, prefix)
+        group by p_brand, target""",
     "flag_header": f"""
         select p_brand, min(p_partkey) as p_partkey, arg_min(p_name, p_partkey) as p_name
         from {_HEADERS} h
@@ -723,6 +772,34 @@ _SQL = {
             count(*) filter (trim(o_key) <> '' and o_orderstatus <> 'P') as rows_kept,
             cast(0 as bigint) as flagged
         from ({_KEYED_ORDERS}) group by o_orderstatus""",
+    "infer_types": r"""
+        with cells as (
+            select 'orders' as feed, unnest([
+                {'c': 'whole', 'v': cast(o_orderkey as varchar)}, {'c': 'number', 'v': cast(o_totalprice as varchar)},
+                {'c': 'day', 'v': strftime(o_orderdate, '%Y-%m-%d 00:00:00')},
+                {'c': 'open', 'v': case when o_orderstatus = 'O' then 'True' else 'False' end},
+                {'c': 'mixed', 'v': case when o_orderkey = 7 then 'seven' else cast(o_orderkey as varchar) end},
+                {'c': 'gaps', 'v': case when o_orderkey % 3 > 0 then cast(o_orderkey as varchar) end},
+                {'c': 'padded', 'v': lpad(cast(o_orderkey as varchar), 9, '0')}, {'c': 'blank', 'v': null}], recursive := true)
+            from orders
+            union all
+            select event_type, unnest([
+                {'c': 'event_id', 'v': cast(event_id as varchar)}, {'c': 'ts', 'v': cast(ts as varchar)},
+                {'c': 'user_id', 'v': cast(user_id as varchar)}, {'c': 'value', 'v': cast(value as varchar)}], recursive := true)
+            from events)
+        select feed, c as column, case when count(v) = 0 then 'string'
+            when bool_and(v in ('True', 'False')) filter (v is not null) then 'boolean'
+            when bool_and(try_cast(v as bigint) is not null and regexp_full_match(v, '0|-?[1-9][0-9]*')) filter (v is not null) then 'bigint'
+            when bool_and(try_cast(v as double) is not null and regexp_full_match(v, '-?(0|[1-9][0-9]*)([.][0-9]+)?(e[+-]?[0-9]+)?')) filter (v is not null) then 'double'
+            when bool_and(try_cast(v as timestamp) is not null and (length(v) = 10 or v like '% 00:00:00')) filter (v is not null) then 'date'
+            when bool_and(try_cast(v as timestamp) is not null) filter (v is not null) then 'timestamp_ntz' else 'string' end as type
+        from cells group by feed, c""",
+    "typed_rows": """
+        select o_orderkey as whole, o_totalprice as number, cast(o_orderdate as date) as day, o_orderstatus = 'O' as open,
+            case when o_orderkey = 7 then 'seven' else cast(o_orderkey as varchar) end as mixed,
+            case when o_orderkey % 3 > 0 then o_orderkey end as gaps, lpad(cast(o_orderkey as varchar), 9, '0') as padded,
+            cast(null as varchar) as blank
+        from orders""",
     "history_record": """
         select event_type || '.xlsx' as filename, strftime(max(ts), '%Y-%m-%d %H:%M') as processing_timestamp,
             count(case when value > 100 then 1 end) as flagged_line_count

@@ -7,7 +7,8 @@ costs no single task more than its share. A *header list* is one array per
 sheet and is searched in place, without a shuffle.
 
 Prefixes are parameters, so they become literals in the plan; there is no join
-of headers to prefixes.
+of headers to prefixes. Where each feed has its own, they are a table, which is
+joined by equal beginnings (``resolve_targets``).
 """
 
 from __future__ import annotations
@@ -127,3 +128,28 @@ def flag_position(keys: Column, marks: Column, prefix: str, markers: Sequence[st
 
 def _first_true(tests: Column) -> Column:
     return F.nullif(F.array_position(tests, F.lit(True)), F.lit(0)).cast("int") - 1
+
+
+def resolve_targets(
+    headers: DataFrame, targets: DataFrame, by: Sequence[str], feed: str = "feed",
+    header: str = "header", ordinal: str = "ordinal",
+) -> DataFrame:
+    """As ``resolve_headers``, with the targets of each feed in a table (feed, target, prefix) of any size.
+
+    ``by`` are the columns of a file, among them its feed. A header meets the prefixes of its feed by
+    equal keys: for each length that the feed's prefixes have, what its key begins with. A prefix whose
+    key is empty fails the job, as it would match everything.
+    """
+    keys = key_text("prefix")
+    checked = F.when(keys != "", keys).otherwise(F.raise_error(F.concat(
+        F.lit("prefix '"), F.coalesce("prefix", F.lit("")), F.lit("' is empty after normalisation and would match every name"))))
+    wanted = targets.select(F.col(feed).alias("__feed"), "target", checked.alias("__start"))
+    wanted = wanted.withColumn("__length", F.length("__start")).distinct()
+    lengths = wanted.groupBy("__feed").agg(F.collect_set("__length").alias("__lengths"))
+    keyed = _keyed(headers, by, header, ordinal).join(lengths, F.col(feed).eqNullSafe(F.col("__feed"))).drop("__feed")
+    fitting = F.filter("__lengths", lambda n: n <= F.length(_KEY))
+    starts = keyed.select(*by, ordinal, header, _KEY, F.explode(fitting).alias("__cut"))
+    starts = starts.withColumn("__begin", F.left(_KEY, F.col("__cut")))
+    same = F.col(feed).eqNullSafe(F.col("__feed")) & (F.col("__cut") == F.col("__length")) & (F.col("__begin") == F.col("__start"))
+    hits = starts.join(wanted, same).select(*by, ordinal, header, "target")
+    return _first_hits(hits, [*by, "target"], header, ordinal).select(*by, "target", ordinal, header)
