@@ -184,7 +184,7 @@ class WordTokens:
         """The ids of each text; give texts of about SEGMENT characters together."""
         if sum(map(len, texts)) > 4 * SEGMENT:
             return [self._long(t) for t in texts]
-        parts = [t.split(" ") for t in texts]
+        parts = [_folded(t).split(" ") for t in texts]
         values, sizes = self.table.rows(list(chain.from_iterable(parts)), self._encode)
         chunk_ends = np.cumsum(list(map(len, parts)))
         ends = np.concatenate([[0], np.cumsum(sizes)])[chunk_ends]
@@ -195,11 +195,17 @@ class WordTokens:
         while start <= len(text):
             cut = text.find(" ", start + SEGMENT) if len(text) - start > SEGMENT else -1
             cut = len(text) if cut < 0 else cut
-            ids.append(self.table.rows(text[start:cut].split(" "), self._encode)[0])
+            ids.append(self.table.rows(_folded(text[start:cut]).split(" "), self._encode)[0])
             start = cut + 1
         return np.concatenate(ids)
 
 
+def _folded(text: str) -> str:
+    """Text with fewer different chunks and the same ids: lines end like words, and ASCII is in lower case."""
+    text = text.replace("\n", " ")
+    return text.lower() if text.isascii() else text
+
+
 class ByteTokens:
     """Ids by a byte-level BPE vocabulary whose ids are the ranks of its merges."""
 
