@@ -219,8 +219,9 @@ def test_stages_take_odd_rows(spark, make_docs):
             kept = stage(spark, kept, SF_DIR)
             assert kept.columns == docs.columns
         found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
-        expected = [r for r in rows if r not in [(4, rows[5][1]), (5, "b"), (7, rows[10][1])]]
+        expected = [r for r in rows if r not in [(4, rows[5][1]), (7, rows[10][1])]]
         expected.remove((5, "a"))
+        expected.remove((None, "no id"))
         assert found == sorted([*expected, (7, "[SECRET]")], key=repr)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, make_docs([]), SF_DIR).count() == 0
@@ -232,11 +233,14 @@ def test_stages_decide_by_row(spark, make_docs, duck):
     near = dict(corpus_pipeline.STAGES)["near_duplicates"]
 
     def left(rows):
-        return sorted((r.doc_id, r.text) for r in near(spark, make_docs(rows), SF_DIR).collect())
+        found = near(spark, make_docs(rows), SF_DIR).collect()
+        return sorted(((r.doc_id, r.text) for r in found), key=lambda r: (r[0] is None, r))
 
-    # An id whose one text is a copy keeps the other; a copy is not lost with an id that keeps another text.
+    # Texts of one id are linked each by itself.
     assert left([(3, same), (10, same), (10, "zz " + other)]) == [(3, same), (10, "zz " + other)]
-    assert left([(3, same), (3, "a " + other), (10, same), (11, lone)]) == [(3, "a " + other), (10, same), (11, lone)]
+    assert left([(3, same), (3, "a " + other), (10, same), (11, lone)]) == [(3, "a " + other), (3, same), (11, lone)]
+    assert left([(10, "b " + same), (10, "a " + same), (12, same)]) == [(10, "a " + same)]
+    assert left([(None, same), (None, same), (10, same), (10, same), (None, lone), (None, lone)]) == [(10, same), (None, lone)]
     assert left([(3, same), (3, same), (10, same)]) == [(3, same)]
     rows = [(None, f"x {passage} y"), (1, f"x {passage} y"), (None, "clean"), (4, "clean"), (4, f"b {passage}"), (None, None)]
     found = dict(corpus_pipeline.STAGES)["decontamination"](spark, make_docs(rows), SF_DIR).collect()
