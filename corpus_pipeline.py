@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedwell.llm.jaccard import link_documents
+from feedwell.llm.keep_one import keep_one
 from feedwell.llm.packing import pack_sequences
 from feedwell.llm.secret_scan import redact
 from feedwell.llm.shared import Scratch
@@ -22,50 +22,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(model.column("text") < 0.5)
 
 
-def _keyed(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
-    """The rows with a hash of the columns, never null, under a name that no column has."""
-    place = max(docs.columns, key=len) + "_"
-    return docs.withColumn(place, F.xxhash64(*columns)), place
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is linked by five-word shingles and a similarity of 0.8: the one with the smallest id.
-
-    Rows are linked by their own id and text. Rows of one id are one document: of its texts that no
-    group of another id stands for, the least stays, and a group prefers documents that it is the
-    least text of. Rows without an id stay.
-    """
-    keyed, place = _keyed(docs, "doc_id", "text")
-    named = keyed.filter("doc_id is not null")
+    """One document of each group that is linked by five-word shingles and a similarity of 0.8."""
     with Scratch(spark) as scratch:
-        ids = scratch.table(named.select("doc_id", F.col(place).alias("place")))
-        linked = link_documents(named.select(F.col(place).alias("place"), "text"), scratch, width=5, percent=80, doc_id="place")
-        linked = scratch.table(linked.select(F.col("doc_id").alias("place"), F.col("component_id").alias("of")).distinct())
-        again = scratch.result(ids.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
-        once = again.isEmpty()
-        if once:
-            rows = ids.withColumns({"text": F.lit(None).cast("string"), "other": F.lit(False)})
-        else:
-            texts = named.join(again, "doc_id", "left_semi").select("doc_id", F.col(place).alias("place"), "text").distinct()
-            least = texts.groupBy("doc_id").agg(F.min(F.struct("text", "place")).alias("least"))
-            texts = texts.join(least, "doc_id").select("doc_id", "place", "text", (F.col("place") != F.col("least.place")).alias("other"))
-            rows = ids.join(again, "doc_id", "left_anti").withColumns({"text": F.lit(None).cast("string"), "other": F.lit(False)})
-            rows = scratch.table(rows.unionByName(texts))
-        kept = rows.join(linked, "place").groupBy("of").agg(F.min(F.struct("other", "doc_id", "text", "place")).alias("k")).select("k.*")
-        if not once:
-            kept = kept.groupBy("doc_id").agg(F.min(F.struct("text", "place")).alias("k")).select("k.place")
-        gone = scratch.result(linked.join(kept.select("place"), "place", "left_anti").select(F.col("place").alias(place)), "gone")
-    left = keyed.join(gone, place, "left_anti")
-    if not once:
-        repeated = left.join(again, "doc_id", "left_semi").dropDuplicates([place])
-        left = left.join(again, "doc_id", "left_anti").select(keyed.columns).unionByName(repeated.select(keyed.columns))
-    return left.select(docs.columns)
+        return keep_one(docs, scratch, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a passage of the benchmark; each row by its own text, whatever its id."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    keyed, place = _keyed(docs, "text")
+    place = max(docs.columns, key=len) + "_"
+    keyed = docs.withColumn(place, F.xxhash64("text"))
     with Scratch(spark) as scratch:
         hits = contaminated(keyed.select(F.col(place).alias("place"), "text"), items, doc_id="place")
         hits = scratch.result(hits.select(F.col("doc_id").alias(place)).distinct())
