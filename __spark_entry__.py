@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import re
 import tempfile
 from collections.abc import Callable
@@ -613,12 +612,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _optional(registry: str) -> dict:
-    """What the operators for training data register under this name; nothing when they are not there."""
-    if not (importlib.util.find_spec("corpus_pipeline") and importlib.util.find_spec("feedwell.llm")):
+    """What the operators for training data register under this name; nothing when they, or what they need, are not there."""
+    try:
+        import corpus_pipeline
+        from feedwell.llm import queries as llm
+    except ImportError:
         return {}
-    import corpus_pipeline
-    from feedwell.llm import queries as llm
-
     found = dict(getattr(llm, registry))
     if registry == "QUERIES":
         found["pipeline"] = corpus_pipeline.run
