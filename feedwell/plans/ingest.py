@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedwell.operators.history import change_gate, history_record
@@ -83,28 +83,27 @@ def ingest_loaded(
     if spec.feed is not None and "feed" not in history.columns:
         raise ValueError(f"{history_table} has no feed column, so it can hold one unnamed feed only")
     with staging(spark) as stage:
-        rows = stage(sheet_rows(loaded.withColumn("feed", spec.feed_of()), spec, stage))
-        bad = rejects(rows)
-        rejected = bad.count()
+        # Counts are observed as the copies are written, which takes no pass of its own.
+        seen, listed, summed = Observation(), Observation(), Observation()
+        refused = F.count_if(F.col("reason").isNotNull()).alias("rows")
+        rows = stage(sheet_rows(loaded.withColumn("feed", spec.feed_of()), spec, stage).observe(seen, refused))
+        bad, rejected = rejects(rows), 0
         if rejects_table is not None:
-            write_current(bad, rejects_table)
-        elif rejected:
-            raise ValueError(_refused(bad, rejected))
-
-        counts = feed_counts(rows, spec).persist()  # one row per workbook, used twice
-        try:
-            sums = counts.agg(
-                F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_kept", "flagged")]
-            ).first()
-            if sums[0]:
-                replace_feeds(kept_rows(rows, spec), current_table, counts)
-                stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
-                new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
-                append_changes(spark, history_table, lambda held: change_gate(
-                    new, with_feed_and_time(held), ["feed"], HISTORY_ORDER).select(*held.columns))
-        finally:
-            counts.unpersist()
-    return Totals(sums[0], rejected, *sums[1:])
+            write_current(bad.observe(listed, F.count(F.lit(1)).alias("rejected")), rejects_table)
+            rejected = listed.get["rejected"]
+        elif seen.get["rows"]:
+            raise ValueError(_refused(bad, bad.count()))
+
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_read", "rows_kept", "flagged")]
+        counts = stage(feed_counts(rows, spec).observe(summed, F.count(F.lit(1)).alias("workbooks"), *sums))
+        totals = Totals(rejected=rejected, **summed.get)
+        if totals.workbooks:
+            replace_feeds(kept_rows(rows, spec), current_table, counts)
+            stamp = F.current_timestamp() if recorded_at is None else F.lit(str(recorded_at)).cast("timestamp")
+            new = history_record(counts, "path", stamp, "flagged", keep=["feed"])
+            append_changes(spark, history_table, lambda held: change_gate(
+                new, with_feed_and_time(held), ["feed"], HISTORY_ORDER).select(*held.columns))
+    return totals
 
 
 def _refused(bad: DataFrame, rejected: int) -> str:

@@ -8,7 +8,7 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import functions as F
 
-from feedwell import FeedSpec, Totals, ingest, ingest_file
+from feedwell import FeedSpec, Totals, ingest, ingest_file, ingest_loaded
 from feedwell.operators import change_gate
 from feedwell.sinks import (
     append_changes, append_history, commits, read_history, replace_feeds, shared_folder, tables, write_current,
@@ -30,6 +30,10 @@ def put(folder, name, when, rows, head=HEAD, sheet="Datà 1"):
     os.utime(path, (1_700_000_000 + when,) * 2)
 
 
+#: Jobs of one run over two workbooks; with actions that count the rejects and sum the counts there were 26.
+JOBS_OF_A_RUN = 24
+
+
 class Job:
     def __init__(self, spark, folder):
         self.spark, self.folder, self.runs = spark, folder, 0
@@ -106,6 +110,19 @@ def test_a_bad_workbook_raises_before_any_table_changes(job):
     assert job.rows() == [("a", "1", "y", True)] and len(job.log()) == 1
 
 
+def test_counts_take_no_pass_of_their_own(job):
+    """Totals are observed while the copies are written."""
+    put(job.folder, "north_1.xlsx", 0, [["a", 1, "y"], [None, 1, "y"]])
+    put(job.folder, "south_1.xlsx", 0, b"junk")
+    opened = job.spark.read.format("binaryFile").load(str(job.folder))
+    group = f"run {uuid4().hex}"
+    job.spark.sparkContext.setJobGroup(group, "one run")
+    done = ingest_loaded(opened, FEEDS, job.current, job.history, job.rejects)
+    jobs = len(job.spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    job.spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert done == Totals(1, 1, 2, 1, 1) and jobs <= JOBS_OF_A_RUN
+
+
 def test_rejects_are_listed_and_the_others_loaded(job):
     put(job.folder, "north_1.xlsx", 0, [["a", 1, "y"]])
     put(job.folder, "south_1.xlsx", 0, b"junk")
