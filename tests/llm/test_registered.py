@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from test_toxicity import plain_score
 from tests_shared import base_spans, components_of, plain_tiles
 
 import __spark_entry__ as entry_points
@@ -18,6 +19,7 @@ import corpus_pipeline
 from feedwell.llm.chunks import load_tokenizer
 from feedwell.llm.queries import ORACLE_SQL, QUERIES, SHARD_BYTES, _shards_sql
 from feedwell.llm.shared import Scratch
+from feedwell.llm.toxicity import fit_toxicity
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -76,6 +78,11 @@ def test_op2(spark, texts):
     rows = result(spark, "op2_toxicity")
     assert sorted(r.doc_id for r in rows) == sorted(texts)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in rows)
+    # The scores are those of a model fitted alike, word by word.
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    with Scratch(spark) as scratch:
+        model = fit_toxicity(docs, labels.filter("crc32(cast(doc_id as string)) % 5 <> 0"), scratch)
+    assert {r.doc_id: r.score for r in rows} == {i: pytest.approx(plain_score(t, model), abs=1e-6) for i, t in texts.items()}
 
 
 def test_op3(spark, texts):

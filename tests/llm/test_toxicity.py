@@ -1,6 +1,8 @@
 """Toxicity: held-out accuracy, located sentences, gradient, odd rows."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -97,3 +99,23 @@ def test_fit_lowers_the_loss():
     bags = [Bag(1, 5, [(0, 0), (1, 1)]) for _ in range(50)] + [Bag(0, 5, [(0, 1), (1, 1)]) for _ in range(150)]
     weights, bias = _fit(bags, 2, 0.25)
     assert weights[0] + bias > 1 and weights[1] + bias < -3 and bias < -3
+
+
+def plain_score(text, model):
+    """Noisy-or over sentences, word by word."""
+    harmless, now = 1.0, model.bias
+    for part in re.findall(r"[^\W\d_]+|[.!?…。\n]+|[ ]", (text or "").casefold()):
+        if part[0].isalpha():
+            now += model.weights.get(part + "$", 0.0) + sum(model.weights.get(part[:n], 0.0) for n in range(4, 8) if n <= len(part))
+        elif part != " ":
+            harmless *= 1 - 1 / (1 + math.exp(-now))
+            now = model.bias
+    return 1 - harmless * (1 - 1 / (1 + math.exp(-now)))
+
+
+def test_scores_equal_a_plain_noisy_or(fitted, make_docs):
+    _, texts, _, model = fitted
+    odd = [None, "", "...", "zorkel!!! Dolt?\n\nknave", "GRUMBLEFACE…dolt", "dolt. " * 3000, "no end of dolt", "dolt_knave9grumbleface", " . . zorkelish ."]
+    rows = [*odd, *texts[:80]]
+    found = {r.doc_id: r.score for r in model.score(make_docs(rows)).collect()}
+    assert found == {n: pytest.approx(plain_score(t, model), abs=1e-9) for n, t in enumerate(rows)}
