@@ -92,7 +92,8 @@ def op9_licenses(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op10_shards(spark: SparkSession, d: str) -> DataFrame:
-    return assign_shards(_table(spark, d, "documents"), SHARD_BYTES)
+    with Scratch(spark) as scratch:
+        return assign_shards(_table(spark, d, "documents"), SHARD_BYTES, scratch=scratch)
 
 
 def op11_lexical_search(spark: SparkSession, d: str) -> DataFrame:

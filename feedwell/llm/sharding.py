@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedwell.llm.shared import Scratch
+
 #: Bits of the hash that the directory may use.
 MOST_BITS = 56
 #: Bits that are looked at in one pass over the sizes.
@@ -58,17 +60,20 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         rest = rest.withColumn("cell", cell).join(large, "cell", "left_semi").drop("cell")
 
 
-def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def assign_shards(
+    docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None,
+) -> DataFrame:
     """Key, bytes (UTF-8 bytes of the text, null: 0), shard name and depth of every row.
 
     The name is the bucket's bits, or ``all`` for the only bucket, with ``+n`` for an overflow page.
     A row larger than the limit has a bucket or a page of its own. Repeated rows count each; an empty table
-    gives no rows; other columns take no part.
+    gives no rows; other columns take no part. With ``scratch`` texts are read once, for their lengths.
     """
     rows = docs.select(
         F.col(key).alias("key"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
         key_bits(key).alias("bits"),
     )
+    rows = rows if scratch is None else scratch.result(rows, "keyed")
     buckets = directory(rows.select("bits", "bytes"), limit)
     buckets = buckets.select("depth", "prefix", ((F.col("bytes") > limit) & (F.col("n") > 1)).alias("over"))
     depths = [r.depth for r in buckets.select("depth").distinct().collect()]  # MOST_BITS + 1 at most
