@@ -79,7 +79,8 @@ def _is_kind(number: int):
 
 
 def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
-    found = secret_scan.find_secrets(_table(spark, d, "documents").select("doc_id", "text"))
+    with Scratch(spark) as scratch:
+        found = secret_scan.find_secrets(_table(spark, d, "documents").select("doc_id", "text"), scratch=scratch, texts=False)
     counts = [
         F.size(F.filter("_base", _is_kind(n))).cast("long").alias(f"n_{kind}") for n, kind in enumerate(secret_scan.BASE)
     ]

@@ -1,13 +1,16 @@
 """Spans of secrets against Python's patterns, strings that look random, redaction."""
 
+import math
 import random
 import re
 import string
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from feedwell.llm.secret_scan import BASE, find_secrets, listed, redact, spans
+from feedwell.llm.secret_scan import BASE, BIN, BINS, ENCODINGS, find_secrets, listed, redact, scan, spans, threshold
+from feedwell.llm.shared import Scratch
 
 PATTERNS = [
     (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8),
@@ -65,6 +68,120 @@ def test_random_strings_are_added_and_ordinary_ones_are_not(make_docs):
     assert {rows[n]: found[n] for n in range(40, len(rows)) if found[n]} == {}
 
 
+def above(z):
+    t = 1.5976 * z + 0.070565992 * z**3
+    return max(0.0, t) + math.log1p(math.exp(-abs(t)))
+
+
+def fisher(parts):
+    total = sum(parts)
+    return total - math.log(sum(total**k / math.factorial(k) for k in range(len(parts))))
+
+
+def runs_of(s):
+    return sum(1 for k, c in enumerate(s) if not k or s[k - 1] != c)
+
+
+def battery(value):
+    """Evidence against "ordinary", and whether the value fits uniform symbols, symbol by symbol."""
+    body = value.rstrip("=")
+    alphabet, (two, three) = next((al, eq) for p, al, eq in ENCODINGS.values() if re.search(p, value))
+    a, n, counts = len(alphabet), len(body), Counter(body)
+    if n < 3 or n * math.log2(a) < 100:
+        return 0.0, False
+    kinds = [string.ascii_lowercase, string.ascii_uppercase, string.digits, "+/_=-"]
+    squares = sum(k * k for k in counts.values())
+    chi = (squares * a / n - n - (a - 1)) / math.sqrt(2 * (a - 1) * (1 - 1 / n))
+    shares = [(k, sum(x in k for x in alphabet) / a) for k in kinds]
+    shares = [(k, p) for k, p in shares if p]
+    ranks = [alphabet.find(c) - (a - 1) / 2 for c in body]
+    half = (runs_of([alphabet.find(c) < a // 2 for c in body]) - (n + 1) / 2) / math.sqrt((n - 1) / 4)
+    serial = sum(x * y for x, y in zip(ranks, ranks[1:])) / ((a * a - 1) / 12) / math.sqrt(n - 1)
+    both = lambda z: max(above(abs(z)) - math.log(2), 0.0)
+    tests = [above(chi), both(half), both(serial)]
+    if len(shares) > 1:
+        by_kind = sum((sum(counts[c] for c in k) - n * p) ** 2 / (n * p) for k, p in shares)
+        tests.append(above((by_kind - len(shares) + 1) / math.sqrt(2 * (len(shares) - 1))))
+    if fisher(tests) >= -math.log(1e-5):
+        return 0.0, False
+    pairs = n * (n - 1) / 2
+    spread = math.sqrt(pairs * two * (1 - two) + n * (n - 1) * (n - 2) * max(three - two * two, 0.0))
+    alike = (pairs * two - sum(k * (k - 1) / 2 for k in counts.values()) - 0.5) / spread
+    kind_of = [next(i for i, k in enumerate(kinds) if c in k) for c in body]
+    changes = (runs_of(kind_of) - 1.5 - 0.1 * (n - 1)) / math.sqrt(0.09 * (n - 1))
+    letters = [(x.lower() in "aeiou") != (y.lower() in "aeiou") for x, y in zip(body, body[1:]) if x.isalpha() and y.isalpha()]
+    m, heard = len(letters), 0.0
+    if m:
+        heard = above((0.62 * m - sum(letters) - 0.5) / math.sqrt(m * 0.62 * 0.38))
+    return fisher([above(alike), above(changes), heard]), True
+
+
+def strings():
+    rng = random.Random(5)
+    alphabets = [string.ascii_lowercase, string.ascii_uppercase, string.digits + "ABCDEF", string.ascii_letters + string.digits + "+/",
+                 string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits, string.ascii_letters + "-_",
+                 string.ascii_uppercase + string.digits]
+    drawn = ["".join(rng.choices(al, k=rng.randint(20, 90))) for al in alphabets for _ in range(12)]
+    plain = ["internationalization", "counterrevolutionaries", "thndhendatatreoningthathewhan", "abcdefghijklmnopqrstuvwxyz", "b" * 40,
+             "com/example/project/module/File", "1234567890" * 4, "=" * 30, "-" * 25 + "=", "AbCd" * 9, "THEQUICKBROWNFOXJUMPSOVERTHELAZYDOG"]
+    return [s for s in drawn + plain if not re.search(r"[0-9a-f]{32,}|AKIA[A-Z0-9]{12}", s)]
+
+
+def test_battery_and_threshold_equal_plain_python(make_docs):
+    values = strings()
+    docs = make_docs([f"see {v} here" for v in values])
+    scanned = scan(docs).select(F.col("_row.doc_id").alias("doc_id"), "_random", "_tried")
+    found = {r.doc_id: r for r in scanned.collect()}
+    plain = [battery(v) for v in values]
+    assert len({fits for _, fits in plain}) == 2
+    for n, (evidence, fits) in enumerate(plain):
+        assert found[n]["_tried"] == 1 and len(found[n]["_random"]) == fits, values[n]
+        if fits:
+            assert found[n]["_random"][0].test.evidence == pytest.approx(evidence, rel=1e-9, abs=1e-9), values[n]
+    levels = sorted((min(math.floor(e / BIN), BINS) for e, fits in plain if fits), reverse=True)
+    least = min((k * BIN for n, k in enumerate(levels) if math.exp(-k * BIN) <= 0.01 * sum(x >= k for x in levels) / len(values)), default=math.inf)
+    assert threshold(scanned, 0.01) == pytest.approx(least)
+    out = {r.doc_id: r.s for r in find_secrets(docs).select("doc_id", listed("_secrets").alias("s")).collect()}
+    expected = {n: f"random:4:{4 + len(v)}" if fits and math.floor(e / BIN) * BIN >= least - 1e-9 else "" for n, (v, (e, fits)) in enumerate(zip(values, plain))}
+    assert out == expected
+
+
+def test_strings_of_one_kind_are_found(make_docs):
+    rng = random.Random(3)
+    drawn = ["".join(rng.choices(al, k=64)) for al in (string.ascii_lowercase, string.ascii_uppercase) for _ in range(20)]
+    words = ["pseudohypoparathyroidisms", "electroencephalographically", "thequickbrownfoxjumpsoverthelazydog", "HYPERCHOLESTEROLEMIAPATIENTS"]
+    rows = [f"see {v} here" for v in drawn + words * 5]
+    found = [r.s for r in find_secrets(make_docs(rows)).select("doc_id", listed("_secrets").alias("s")).orderBy("doc_id").collect()]
+    assert sum(s == "random:4:68" for s in found[:40]) >= 36 and set(found[40:]) == {""}
+
+
+def test_what_lies_beside_a_base_span_is_judged(make_docs):
+    rng = random.Random(13)
+    drawn = ["".join(rng.choices("GHJKMNPQRSTVWXYZghjkmnpqrstvwxyz23456789", k=48)) for _ in range(30)]
+    hexed = "".join(rng.choices("0123456789abcdef", k=40))
+    # On both sides of a hexadecimal string, without a space.
+    rows = [f"é G{d}Z{hexed}Z{d}G." for d in drawn] + [f"G{'x' * 10}Z{hexed}Z"]
+    found = {r.doc_id: r for r in find_secrets(make_docs(rows)).select("doc_id", "_base", listed("_secrets").alias("s")).collect()}
+    assert all([tuple(b) for b in r["_base"]] == base(rows[n]) for n, r in found.items())
+    both = [n for n in range(30) if found[n].s == "random:2:52,hex:52:92,random:92:142"]
+    assert len(both) >= 27 and found[30].s == "hex:12:52"
+    assert [redact(make_docs(rows)).filter(F.col("doc_id") == n).first().text for n in both[:1]] == ["é [SECRET]."]
+
+
+def test_many_spans_in_one_text(spark, make_docs):
+    rng = random.Random(17)
+    hexed = ["".join(rng.choices("0123456789abcdef", k=33)) for _ in range(5000)]
+    text = "é " + " ".join(f"{h} token={h[:9]}" for h in hexed)
+    with Scratch(spark) as scratch:
+        found = find_secrets(make_docs([text, None], clash=False), scratch=scratch).orderBy("doc_id").collect()
+        assert [tuple(s) for s in found[0]["_base"]] == base(text) and found[0].text == text and found[1]["_base"] == []
+    with Scratch(spark) as scratch:
+        clean = redact(make_docs([text]), scratch=scratch).first().text
+    assert clean == "é " + " ".join(["[SECRET]"] * 10000)
+    with Scratch(spark) as scratch:
+        assert "text" not in find_secrets(make_docs([text]), scratch=scratch, texts=False).columns
+
+
 def test_redaction(make_docs):
     hexed = "0123456789abcdef" * 3
     rows = [f"a password={hexed} b", hexed, f"{hexed}", None, "", "clean", f"é token: {'q' * 9}; secret={'z' * 8}", f"token={hexed}"]
