@@ -41,7 +41,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret replaced by a mark; ``n_chars`` follows."""
-    clean = redact(docs)
+    with Scratch(spark) as scratch:
+        clean = redact(docs, scratch=scratch)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast("long"))
     return clean.select(docs.columns)
