@@ -165,12 +165,28 @@ def _joined_sql(lines: str) -> str:
     return rf"trim(regexp_replace({lines}, '[ \n]+', ' ', 'g'))"
 
 
+def _values(rows: list[tuple[str, str]]) -> str:
+    return ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in rows)
+
+
 def _licenses_sql() -> str:
-    known = ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in [*licenses.NOTICES.items(), *licenses.TEXTS.items()])
+    """Every text, title, name and id that the query knows, in every wording."""
+    texts, named, tagged = [*licenses.NOTICES.items(), *licenses.TEXTS.items()], [], []
+    for row in licenses.shipped():
+        name, names = row["license"], row.get("names", [])
+        texts += [(name, title + row["text"]) for title in ("", *(t + "\n\n" for t in row.get("titles", []))) if "text" in row]
+        named += [(name, form) for own in names for form in (own, ("a " if own.startswith("Creative Commons") else "the ") + own)]
+        tagged += [(name, own) for own in (*names, *([row["id"]] if "id" in row else []))]
+    lists = {k: ", ".join(map(_quoted, v)) for k, v in vars(licenses).items() if k in ("SUBJECTS", "VERBS", "ENDS", "TAGS")}
     return f"""
-        with known as (
-            select distinct name as license, {_joined_sql(_canonical_sql('body'))} as whole
-            from (values {known}) t(name, body)),
+        with bodies as (
+            select name, body from (values {_values(texts)}) t(name, body)
+            union all
+            select name, concat_ws(' ', subject, verb, own, ending) from (values {_values(named)}) t(name, own),
+                unnest([{lists['SUBJECTS']}]) u(subject), unnest([{lists['VERBS']}]) v(verb), unnest([{lists['ENDS']}]) w(ending)
+            union all
+            select name, tag || ' ' || own from (values {_values(tagged)}) t(name, own), unnest([{lists['TAGS']}]) u(tag)),
+        known as (select distinct name as license, {_joined_sql(_canonical_sql('body'))} as whole from bodies),
         lined as (select doc_id, {_canonical_sql('text')} as body from documents where text is not null),
         units as (
             select doc_id, 0 as line_no, {_joined_sql('body')} as unit from lined

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 
 from feedwell.llm import sharding
-from feedwell.llm.licenses import NOTICES, TEXTS, known_texts, scan_licenses
+from feedwell.llm.licenses import NOTICES, TEXTS, known_digests, known_texts, scan_licenses
 from feedwell.llm.sharding import assign_shards
 
 
@@ -105,3 +105,14 @@ def test_equal_keys_get_overflow_pages_within_the_limit(make_docs):
 
 def test_no_rows(make_docs):
     assert assign_shards(make_docs([]), 10).count() == 0
+
+
+def test_sql_knows_the_same_texts(spark):
+    import duckdb
+
+    from feedwell.llm.queries import ORACLE_SQL
+
+    known = ORACLE_SQL["op9_licenses"].split("lined as (")[0].rstrip().rstrip(",")
+    expected = duckdb.execute(f"{known} select license, md5(whole) from known where whole <> ''").fetchall()
+    found = [tuple(r) for r in known_digests(known_texts(spark)).select("license", "digest").collect()]
+    assert len(found) > 100_000 and sorted(found) == sorted(expected)
