@@ -6,7 +6,8 @@ two sets x, y whose Jaccard similarity reaches t share at least l of the first
 sets meet by chance; it decides only how much work there is.
 
 1. Documents with equal sets become one class.
-2. Classes with equal prefix and size become one group, which is listed under each prefix shingle.
+2. Classes with equal prefix and size become one group, which is listed under each prefix shingle. Each task
+   gives the prefix of a group once, and no later step moves prefixes.
 3. Groups of a list are paired by size. Short lists give pairs at once, and pairs that share too few
    shingles are dropped; long lists stay lists, without pairs.
 4. Groups are expanded into classes, and their texts verified exactly. A list is searched breadth
@@ -67,8 +68,8 @@ def _sets(batches, width: int, *extra: str) -> Iterator[tuple]:
             yield shingles(own, width), *row[1:]
 
 
-def _key(found: np.ndarray) -> int:
-    return xxh3_64_intdigest(found) - (1 << 63)
+def _key(found: np.ndarray, seed: int = 0) -> int:
+    return xxh3_64_intdigest(found, seed) - (1 << 63)
 
 
 def _frequent(docs: DataFrame, width: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
@@ -111,30 +112,36 @@ def _frequent(docs: DataFrame, width: int, scratch: Scratch) -> tuple[np.ndarray
 
 
 def _profiles(docs: DataFrame, width: int, percent: int, frequent: tuple) -> DataFrame:
-    """doc_id, size and 64-bit key of each set, and its prefix."""
+    """doc_id, size and 64-bit key of each set, its group, and the prefix of the first set of a group in each task.
+
+    A group are sets of one size and prefix. Sets of rows without an id have no prefix.
+    """
     known, counts = frequent
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([*((c, pa.int64()) for c in ("doc_id", "n", "key", "a")), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
-        out = Out(schema)
+        out, seen = Out(schema), set()
         for found, doc_id in _sets(batches, width, "doc_id"):
             at = np.searchsorted(known, found)
             at[at == len(known)] = 0
             weight = np.where(known[at] == found, counts[at], 0) if len(known) else np.zeros(len(found), np.int64)
             # The set is ascending, so a stable sort orders equal counts by hash.
             prefix = found[np.argsort(weight, kind="stable")[: prefix_size(len(found), percent)]]
-            row = doc_id, len(found), _key(found) if len(found) else None, prefix.view(np.int64)
-            if out.add(row, 8 * len(prefix)):
+            group = _key(prefix, len(found)) if len(found) else None
+            if new := group is not None and doc_id is not None and group not in seen:
+                seen.add(group)
+            row = doc_id, len(found), _key(found) if len(found) else None, group, prefix.view(np.int64) if new else None
+            if out.add(row, 8 * len(prefix) if new else 0):
                 yield out.batch()
         yield out.batch()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, a long, prefix array<long>")
 
 
 def _listed(postings: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups in short lists, and the groups of long lists: token (null: a pair), a, na, b, nb.
 
-    Rows come sorted by token; a list is held only until it is long.
+    Rows come sorted by token and group, and those that come again are dropped; a list is held only until it is long.
     """
     names = ("token", "a", "na", "b", "nb")
     kind = [pa.int64()] * 5
@@ -169,8 +176,16 @@ def _listed(postings: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         rest = [np.empty(0, np.int64)] * 3
         open_token = None  # of a list that is already known to be long
+        before = None
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)]
+            if not len(new[0]):
+                continue
+            fresh = np.ones(len(new[0]), bool)
+            fresh[1:] = (np.diff(new[0]) != 0) | (np.diff(new[1]) != 0)
+            fresh[0] = (new[0][0], new[1][0]) != before
+            before = new[0][-1], new[1][-1]
+            new = [c[fresh] for c in new]
             token, group, sizes = (np.concatenate([r, x]) for r, x in zip(rest, new))
             if not len(token):
                 continue
@@ -194,7 +209,7 @@ def _listed(postings: DataFrame, percent: int) -> DataFrame:
         yield from closed(*rest)
         yield pa.RecordBatch.from_arrays([pa.array([], t) for t in kind], names)
 
-    ordered = postings.select("token", "a", "na").repartition("token").sortWithinPartitions("token")
+    ordered = postings.select("token", "a", "na").repartition("token").sortWithinPartitions("token", "a")
     return ordered.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
@@ -276,12 +291,9 @@ def _blocks(members: DataFrame) -> DataFrame:
         "unit", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"), "key", "centre")
 
 
-def _units(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _units(classes: DataFrame, profiles: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """What is to be compared: unit, key, n, centre (stars: the others are compared with it only)."""
-    grouped = classes.withColumn("same", F.xxhash64("prefix"))
-    groups = grouped.groupBy("n", "same").agg(
-        F.min("key").alias("a"), F.any_value("prefix").alias("prefix"), F.count("*").alias("classes"))
-    postings = groups.select(F.explode("prefix").alias("token"), "a", F.col("n").alias("na"))
+    postings = profiles.select(F.explode("prefix").alias("token"), "a", F.col("n").alias("na"))
     listed = scratch.table(_listed(postings, percent))
 
     # Two sets that short lists do not pair must share all they need in long ones.
@@ -306,11 +318,10 @@ def _units(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     stars = pairs.select("unit", "a", F.lit(True).alias("centre")).distinct().unionByName(
         pairs.select("unit", F.col("b").alias("a"), F.lit(False).alias("centre")))
 
-    inner = groups.filter("classes > 1").select(
+    inner = classes.groupBy("a").count().filter("count > 1").select(
         F.xxhash64(F.lit("group"), "a").alias("unit"), "a", F.lit(False).alias("centre"))
     units = lists.unionByName(stars).unionByName(inner)
-    members = grouped.select("key", "n", "same").join(groups.select("n", "same", "a"), ["n", "same"]).select("a", "key", "n")
-    return units.join(members, "a").select("unit", "key", "n", "centre")
+    return units.join(classes.select("a", "key", "n"), "a").select("unit", "key", "n", "centre")
 
 
 def link_documents(
@@ -326,13 +337,12 @@ def link_documents(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     profiles = scratch.table(_profiles(rows, width, percent, _frequent(rows, width, scratch)))
     classes = profiles.filter("doc_id is not null and n > 0").groupBy("n", "key").agg(
-        F.min("doc_id").alias("first"), F.any_value("prefix").alias("prefix"))
+        F.min("doc_id").alias("first"), F.min("a").alias("a"))
     classes = scratch.table(classes)
-    units = scratch.table(_units(classes, percent, scratch))
-    blocks = _blocks(units)
-    needed = units.select("key").distinct().join(classes.select("key", "first"), "key")
-    texts = rows.join(needed.select(F.col("first").alias("doc_id"), "key"), "doc_id").select("key", "text")
-    links = scratch.table(_verified(blocks.join(texts, "key"), width, percent))
+    units = scratch.table(_units(classes, profiles, percent, scratch))
+    # Texts move twice: to the places of their ids, and from there to the units.
+    needed = _blocks(units).join(classes.select("key", F.col("first").alias("doc_id")), "key")
+    links = scratch.table(_verified(needed.join(rows, "doc_id").drop("doc_id"), width, percent))
 
     labels = components(links, scratch)
     named = classes.select("key", "first").join(labels.withColumnRenamed("node", "key"), "key", "left")

@@ -127,3 +127,22 @@ def test_components(spark, links, groups):
             found.setdefault(r.label, set()).add(r.node)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups))
     assert all(label in nodes for label, nodes in found.items())
+
+
+def test_tasks_give_a_prefix_once(spark, make_docs):
+    line = " ".join(f"w{n}" for n in range(40))
+    rows = [(None, line), *((n, line) for n in range(6)), (6, "a b c d"), (7, ""), (8, f"{line} x")]
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    found = jaccard._profiles(make_docs(rows).coalesce(1), 3, 90, none).collect()
+    groups = {r.a for r in found if r.n}
+    given = [r for r in found if r.prefix is not None]
+    assert len(groups) == 3 and sorted(r.a for r in given) == sorted(groups)
+    assert all(r.doc_id is not None and len(r.prefix) == prefix_size(r.n, 90) for r in given)
+
+
+def test_lists_hold_a_group_once(spark):
+    short, long = [(7, 1, 50), (7, 2, 50)], [(9, n, 50) for n in range(2 * jaccard.SHORT)]
+    postings = spark.createDataFrame((short + long) * 3, "token long, a long, na long")
+    found = jaccard._listed(postings, 80).collect()
+    assert [(r.a, r.b) for r in found if r.token is None] == [(1, 2)]
+    assert sorted(r.a for r in found if r.token == 9) == [a for _, a, _ in long]
