@@ -519,10 +519,13 @@ def _jobs(spark, d, runs, keep):
     tables = {t: f"{name}_{t}" for t in ("current", "history", "rejects")}
     spec = replace(_load_spec(), feed=lambda name: F.substring_index(name, ".", 1))
     docs = _table(spark, d, "documents").join(_table(spark, d, "labels"), "doc_id", "left")
-    for run, books in enumerate(runs):
-        ingest_loaded(
-            books(docs), spec, tables["current"], tables["history"], tables["rejects"], recorded_at=datetime(2024, 2, 1, 6, run),
-        )
+    with staging(spark) as stage:
+        for run, books in enumerate(runs):
+            # The books lie on storage, as files do, before the job reads them: no task has a worker that writes and one that reads.
+            ingest_loaded(
+                stage(books(docs)), spec, tables["current"], tables["history"], tables["rejects"],
+                recorded_at=datetime(2024, 2, 1, 6, run),
+            )
     for table in set(tables) - {keep}:
         spark.sql(f"drop table {tables[table]}")
     return spark.table(tables[keep])

@@ -106,7 +106,7 @@ def append_history(df: DataFrame, table: str, path: str | None = None) -> None:
 def append_changes(spark: SparkSession, table: str, decide: Decide, schema: str = HISTORY_SCHEMA) -> bool:
     """Append what ``decide`` gives for the history, creating it the first time; once, however many runs there are."""
     if not spark.catalog.tableExists(table):
-        spark.createDataFrame([], schema).write.mode("ignore").saveAsTable(table)
+        _no_rows(spark, schema).write.mode("ignore").saveAsTable(table)
     return append_decided(spark, table, decide)
 
 
@@ -114,7 +114,12 @@ def read_history(spark: SparkSession, table: str, schema: str = HISTORY_SCHEMA)
     """The history table, or no rows when it does not exist yet. Other errors propagate."""
     if spark.catalog.tableExists(table):
         return spark.table(table)
-    return spark.createDataFrame([], schema)
+    return _no_rows(spark, schema)
+
+
+def _no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table; made from a list, it would start Python workers of its own on the executors."""
+    return spark.range(0).select(F.from_json(F.lit("{}"), schema).alias("row")).select("row.*")
 
 
 def with_feed_and_time(history: DataFrame) -> DataFrame:

@@ -68,3 +68,24 @@ def test_filters_reach_the_scan_through_keys(spark, query):
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     plan = query(table).filter("doc_id = 5")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(doc_id,5)" in plan
+
+
+def test_jobs_read_books_from_storage(spark, monkeypatch):
+    plans, job = [], entry_points.ingest_loaded
+
+    def seen(loaded, *given, **named):
+        plans.append(loaded._jdf.queryExecution().executedPlan().toString())
+        return job(loaded, *given, **named)
+
+    monkeypatch.setattr(entry_points, "ingest_loaded", seen)
+    assert QUERIES["ingest_history"](spark, SF_DIR).count()
+    assert len(plans) == 2 and not any("InArrow" in plan for plan in plans)
+
+
+def test_an_empty_history_needs_no_python_worker(spark):
+    history = entry_points.read_history(spark, "no_such_history")
+    assert "ExistingRDD" not in history._jdf.queryExecution().executedPlan().toString()
+    assert [(f.name, f.dataType.simpleString()) for f in history.schema] == [
+        ("feed", "string"), ("filename", "string"), ("processing_timestamp", "string"), ("flagged_line_count", "bigint"),
+        ("recorded_at", "timestamp")]
+    assert history.count() == 0
