@@ -21,8 +21,9 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-#: The public pattern that splits text before the merges of byte-level BPE (fixed value).
-BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The public pattern that splits text before the merges of byte-level BPE, in the form that the engine's
+#: library gives for the same vocabulary: runs give nothing back, so that it splits alike and faster (fixed value).
+BYTE_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: Characters of text that are split at once; bounds the Python strings in memory.
 SEGMENT = 1 << 20
 #: Distinct chunks kept; beyond it the table starts anew.
@@ -213,18 +214,17 @@ class ByteTokens:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         special = {t["content"] for t in spec["added_tokens"]}
-        alphabet = _byte_alphabet()
+        letters = {ord(c): chr(b) for c, b in _byte_alphabet().items()}
         self.bytes = {
-            i: bytes(alphabet[c] for c in token) for token, i in spec["model"]["vocab"].items() if token not in special
+            i: token.translate(letters).encode("latin-1") for token, i in spec["model"]["vocab"].items() if token not in special
         }
         self.encoding = tiktoken.Encoding(
             "bytes", pat_str=BYTE_PATTERN, mergeable_ranks={b: i for i, b in self.bytes.items()}, special_tokens={}
         )
         most = max(self.bytes) + 1
         self.ends, self.opens = np.zeros(most, bool), np.zeros(most, bool)
-        for i, b in self.bytes.items():
-            self.ends[i] = b.rstrip(b"\"')]").endswith((b".", b"!", b"?")) or b"\n" in b
-            self.opens[i] = b[:1].isspace()
+        self.ends[[i for i, b in self.bytes.items() if b.rstrip(b"\"')]").endswith((b".", b"!", b"?")) or b"\n" in b]] = True
+        self.opens[[i for i, b in self.bytes.items() if b[:1].isspace()]] = True
 
     def ids(self, text: str) -> np.ndarray:
         return self.encoding.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)

@@ -161,13 +161,15 @@ def pack_sequences(
         unpadded = tuple(n for n in (window // 4, window // 2, window) if n and n & (n - 1) == 0)
     if window < max(LONG, STEP):
         raise ValueError(f"window must hold {max(LONG, STEP)} tokens at least")
+    # A worker builds the tables of the vocabulary once, whatever the number of its tasks.
+    vocabulary = docs.sparkSession.sparkContext.broadcast(ByteTokens(tokenizer))
     schema = pa.schema([
         *((c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")),
         ("ids", pa.binary()),
     ])
 
     def run(batches):
-        tokens, out, end = ByteTokens(tokenizer), Out(schema), np.array([end_id], "<u4")
+        tokens, out, end = vocabulary.value, Out(schema), np.array([end_id], "<u4")
         packer = _Packer(window, unpadded, TaskContext.get().partitionId() << 40)
 
         def pieces():

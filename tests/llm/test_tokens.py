@@ -6,8 +6,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 
-from feedwell.llm.chunks import SEGMENT, ByteTokens, WordTokens, load_tokenizer
+from feedwell.llm.chunks import BYTE_PATTERN, SEGMENT, ByteTokens, WordTokens, load_tokenizer
 from feedwell.llm.packing import candidates, pack_sequences, plan_cuts, utilisation
 from feedwell.llm.shared import Scratch
 from feedwell.llm.token_file import pack, unpack, write_tokens
@@ -42,6 +43,15 @@ def test_ids_equal_the_library_on_every_kind_of_character(readers):
             assert ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, hex(point)
 
 
+def test_byte_pattern_gives_nothing_back_and_splits_as_the_plain_one():
+    plain = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    assert r"\p{L}++" in BYTE_PATTERN
+    # In the engine "$" is the very end.
+    ours, rng = BYTE_PATTERN.replace("$", r"\Z"), random.Random(5)
+    for text in [*ODD, *("".join(rng.choice(" \n\t\r\xa0 ab'sStvélr漢1²_.!🙂\u0301") for _ in range(rng.randint(0, 14))) for _ in range(3000))]:
+        assert regex.findall(ours, text) == regex.findall(plain, text), repr(text)
+
+
 def test_very_long_text_is_read_whole(readers):
     words = WordTokens(WORD)
     text = "some words\n" * (SEGMENT // 2)
