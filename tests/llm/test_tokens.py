@@ -52,6 +52,14 @@ def test_byte_pattern_gives_nothing_back_and_splits_as_the_plain_one():
         assert regex.findall(ours, text) == regex.findall(plain, text), repr(text)
 
 
+def test_byte_engine_looks_for_a_special_token_that_texts_hold_as_text():
+    parts, library = ByteTokens(BYTE), load_tokenizer(BYTE)
+    assert parts.encoding.special_tokens_set == {ByteTokens.UNUSED}
+    for text in [ByteTokens.UNUSED, f"a{ByteTokens.UNUSED * 3} b{ByteTokens.UNUSED}", f" {ByteTokens.UNUSED}\n"]:
+        ids = parts.ids(text).tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids and parts.encoding.n_vocab - 1 not in ids
+
+
 def test_very_long_text_is_read_whole(readers):
     words = WordTokens(WORD)
     text = "some words\n" * (SEGMENT // 2)
