@@ -31,6 +31,7 @@ from feedwell.llm.arrow import Out, rows_of
 from feedwell.llm.chunks import by_size
 from feedwell.llm.components import components
 from feedwell.llm.shared import Scratch
+from feedwell.llm.sieve import sieve
 from feedwell.llm.words import PlainWords, grams, mixed
 
 #: Shingles counted together when looking for frequent ones, and least sets that make one frequent there.
@@ -340,9 +341,10 @@ def link_documents(
         F.min("doc_id").alias("first"), F.min("a").alias("a"))
     classes = scratch.table(classes)
     units = scratch.table(_units(classes, profiles, percent, scratch))
-    # Texts move twice: to the places of their ids, and from there to the units.
-    needed = _blocks(units).join(classes.select("key", F.col("first").alias("doc_id")), "key")
-    links = scratch.table(_verified(needed.join(rows, "doc_id").drop("doc_id"), width, percent))
+    # Texts that are compared move twice: to the places of their ids, and from there to the units. Others stay.
+    needed = scratch.table(_blocks(units).join(classes.select("key", F.col("first").alias("doc_id")), "key"))
+    compared, _ = sieve(rows, F.xxhash64("doc_id"), needed.select(F.xxhash64("doc_id").alias("hash")).distinct(), "hash")
+    links = scratch.table(_verified(needed.join(compared, "doc_id").drop("doc_id"), width, percent))
 
     labels = components(links, scratch)
     named = classes.select("key", "first").join(labels.withColumnRenamed("node", "key"), "key", "left")

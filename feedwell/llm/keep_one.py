@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedwell.llm.jaccard import link_documents
 from feedwell.llm.shared import Scratch
+from feedwell.llm.sieve import sieve
 
 
 def keep_one(
@@ -38,7 +39,8 @@ def keep_one(
     several = own.groupBy("of").count().filter("count > 1").select("of")
     rivals = scratch.table(own.join(several, "of", "left_semi").select("of", "id", "digest"))
     if not rivals.isEmpty():
-        read = keyed.join(rivals.select(F.col("digest").alias(digest)).distinct(), digest, "left_semi")
+        read, _ = sieve(keyed, F.xxhash64(digest), rivals.select(F.xxhash64("digest").alias("hash")).distinct(), "hash")
+        read = read.join(rivals.select(F.col("digest").alias(digest)).distinct(), digest, "left_semi")
         read = read.select(F.col(digest).alias("digest"), F.col(text).alias("text")).distinct()
         least = rivals.join(read, "digest").groupBy("of").agg(F.min(F.struct("text", "digest")).alias("least"))
         winners = rivals.join(least.select("of", F.col("least.digest").alias("digest")), ["of", "digest"])
@@ -53,8 +55,11 @@ def keep_one(
         F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")), "left_anti").select(
             F.col("id").alias(key), F.col("digest").alias(of_text)), "gone")
     again = scratch.result(kept.filter("times > 1").select(F.col("id").alias(key), F.col("digest").alias(of_text)), "again")
-    left = keyed.drop(place).join(gone, same, "left_anti")
+    # Rows whose texts are in neither list stay where they are.
+    named = gone.unionByName(again).select(F.xxhash64(of_text).alias("hash")).distinct()
+    met, sure = sieve(keyed.drop(place), F.xxhash64(digest), named, "hash")
+    left = met.join(gone, same, "left_anti")
     if not again.isEmpty():
         once = left.join(again, same, "left_semi").dropDuplicates([doc_id, digest])
         left = left.join(again, same, "left_anti").unionByName(once)
-    return left.select(docs.columns)
+    return left.unionByName(sure).select(docs.columns)
