@@ -118,8 +118,11 @@ def read_history(spark: SparkSession, table: str, schema: str = HISTORY_SCHEMA)
 
 
 def _no_rows(spark: SparkSession, schema: str) -> DataFrame:
-    """An empty table; made from a list, it would start Python workers of its own on the executors."""
-    return spark.range(0).select(F.from_json(F.lit("{}"), schema).alias("row")).select("row.*")
+    """An empty table; made from a list, it would start Python workers of its own on the executors.
+
+    Its columns are no constants: of those the optimizer would make joins without keys.
+    """
+    return spark.range(0).select(F.from_json(F.col("id").cast("string"), schema).alias("row")).select("row.*")
 
 
 def with_feed_and_time(history: DataFrame) -> DataFrame:
